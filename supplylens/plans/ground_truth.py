@@ -1 +1,191 @@
-"""Ground-truth tables: KPI values as (id, metric, value) rows."""
+"""Ground-truth tables: KPI values as (id, metric, value) rows.
+
+Each source is reduced to one row of named values and that row is turned into
+metric rows; the pieces are stacked by name. Values stay numeric, since the text
+of a double differs between engines.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from supplylens.functions import calendar as C
+from supplylens.functions import measures as M
+from supplylens.operators import derive
+from supplylens.plans import certified as Q
+from supplylens.plans import disruption as D
+from supplylens.plans import metric_views as V
+from supplylens.plans import reports as R
+
+
+def metric_rows(one_row: DataFrame, names: dict[str, tuple[str, str]], first: str) -> DataFrame:
+    """Turn the columns of a one-row result into rows of (first, metric, value)."""
+    entries = [
+        F.struct(F.lit(a).alias(first), F.lit(metric).alias("metric"), F.col(col).cast("double").alias("value"))
+        for col, (a, metric) in names.items()
+    ]
+    return one_row.select(F.explode(F.array(*entries)).alias("_m")).select("_m.*")
+
+
+def stack(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def region_sales(t, region: str) -> DataFrame:
+    """One row of a region's demand values, from one pass over two months."""
+    day, cents, status = F.col("order_date"), F.col("amount_cents"), F.col("order_status")
+    last_m, prior_m = C.month_window(day, t.anchor), C.prior_month_window(day, t.anchor)
+    last, prior = M.sum_if(last_m, cents), M.sum_if(prior_m, cents)
+    rows = C.filter_dimension(t.sales_orders(), region=region).where(C.two_month_window(day, t.anchor))
+    of = lambda name: last_m & (status == name)
+    return rows.agg(
+        M.dollars(last).alias("last"),
+        M.dollars(prior).alias("prior"),
+        M.dollars(last - prior).alias("change"),
+        M.change_pct(last, prior).alias("change_pct"),
+        M.count_if(of(derive.FULFILLED)).alias("fulfilled"),
+        M.dollars(M.sum_if(of(derive.CANCELLED), cents)).alias("cancelled"),
+        M.count_if(of(derive.BACKORDERED)).alias("backordered"),
+        M.ratio_pct(M.count_if(of(derive.FULFILLED)), M.count_if(last_m)).alias("fulfillment"),
+        M.ratio_pct(M.count_if(of(derive.PARTIAL)), M.count_if(last_m)).alias("partial"),
+    )
+
+
+def continent_orders(t, continents: list[str]) -> DataFrame:
+    """One row of supplier values, overall and for each named continent."""
+    late, days = F.col("is_late"), F.col("lead_time_variance_days")
+    rows = t.supplier_orders().where(C.month_window(F.col("order_date"), t.anchor))
+    measures = [
+        F.count("*").alias("all_pos"),
+        M.sum_flag(late).alias("all_late"),
+        M.rate_pct(late).alias("all_late_pct"),
+        F.round(F.avg(days), 2).alias("all_variance"),
+    ]
+    for i, name in enumerate(continents):
+        here = F.col("supplier_continent") == name
+        measures += [
+            M.count_if(here).alias(f"pos_{i}"),
+            F.round(F.avg(F.when(here, late.cast("double"))) * 100, 2).alias(f"late_pct_{i}"),
+            F.round(F.avg(F.when(here, days)), 2).alias(f"variance_{i}"),
+        ]
+    return rows.agg(*measures)
+
+
+def ground_truth_kpis(t, region: str) -> DataFrame:
+    """Nine primary metrics as (agent, metric, value)."""
+    late = F.col("is_late")
+    delivery = (
+        t.shipments()
+        .where((F.col("destination_region") == region) & C.month_window(F.col("ship_date"), t.anchor))
+        .agg(M.rate_pct(~late, 1).alias("otd"), M.avg_if(late, F.col("delay_days"), 1).alias("delay"))
+    )
+    stock = Q.inventory_positions(C.filter_dimension(t.inventory_ledger(), region=region))
+    vendors = t.supplier_orders().where(C.month_window(F.col("order_date"), t.anchor))
+    fill = t.sales_orders().where(C.month_window(F.col("order_date"), t.anchor)).agg(
+        M.ratio_pct(M.sum_flag(F.col("order_status") == derive.FULFILLED), F.count("*"), 1).alias("fill")
+    )
+    cod = D.region_cost_of_disruption(t.sales_orders(), t.shipments(), t.vendor_slas(), t.anchor, region)
+    rows = lambda df, **names: metric_rows(df, names, "agent")
+    return stack(
+        [
+            rows(region_sales(t, region), change=("demand-analysis", "Revenue MoM change")),
+            rows(
+                delivery,
+                otd=("logistics-operations", "On-time delivery rate"),
+                delay=("logistics-operations", "Avg delay days"),
+            ),
+            rows(fill, fill=("executive-reporting", "Fill rate")),
+            rows(
+                stock,
+                positions_below_safety_stock=("inventory-management", "Below safety stock positions"),
+                stockout_skus=("inventory-management", "Stockout SKUs"),
+            ),
+            rows(
+                t.vendor_slas().where("is_breached").agg(F.round(F.sum("penalty_amount"), 1).alias("pool")),
+                pool=("supplier-risk", "Total vendor SLA penalties"),
+            ),
+            rows(vendors.agg(M.rate_pct(late, 1).alias("pct")), pct=("supplier-risk", "Vendor late delivery pct")),
+            rows(cod, total_cost_of_disruption=("executive-reporting", "Cost of Disruption")),
+        ]
+    )
+
+
+def ground_truth_40(t, region: str, continents: list[str]) -> DataFrame:
+    """The forty test values as (id, metric, value)."""
+    delivery = V.delivery_performance(t.shipments(), t.anchor)
+    inventory = V.inventory_safety_stock(t.inventory_ledger())
+    here = lambda df: df.where(F.col("region") == region)
+    worst = Q.worst_family_decline(t.sales_orders(product=True), t.anchor, region)
+    executive = t.sales_orders().where(C.month_window(F.col("order_date"), t.anchor)).agg(
+        M.ratio_pct(M.sum_flag(F.col("order_status") == derive.FULFILLED), F.count("*"), 1).alias("fill")
+    )
+    cost = D.cost_of_disruption(t.sales_orders(), t.shipments(), t.vendor_slas(), t.inventory_ledger(), t.anchor)
+    target = Q.fiscal_targets(t.spark).where("fiscal_quarter = 'Q3'")
+    sales, orders = region_sales(t, region), continent_orders(t, continents)
+    rows = lambda df, **names: metric_rows(df, names, "id")
+    return stack(
+        [
+            rows(
+                here(delivery.query(["region"])),
+                on_time_delivery_rate=("A01", "on_time_delivery_rate"),
+                late_delivery_rate=("A02", "late_delivery_rate"),
+                avg_delay_days=("A03", "avg_delay_days"),
+                total_shipments=("A04", "total_shipments"),
+                late_shipments=("A05", "late_shipments"),
+                wasted_freight_cost=("A06", "wasted_freight_cost"),
+            ),
+            rows(
+                sales.withColumn("again", F.col("last")),
+                last=("B01", "revenue_last_month"),
+                prior=("B02", "revenue_prior_month"),
+                change=("B03", "revenue_change_dollars"),
+                change_pct=("B04", "revenue_change_pct"),
+                again=("F01", "revenue_last_month"),
+                fulfilled=("F03", "fulfilled_orders"),
+                cancelled=("F04", "cancelled_revenue"),
+                backordered=("F05", "backordered_orders"),
+                fulfillment=("H03", "fulfillment_rate"),
+                partial=("H04", "partial_rate"),
+            ),
+            rows(
+                here(inventory.query(["region"])),
+                positions_below_safety_stock=("C01", "positions_below_safety_stock"),
+                unique_skus_below_safety=("C02", "unique_skus_below_safety"),
+                stockout_positions=("C03", "stockout_positions"),
+                unique_skus_in_stockout=("C04", "unique_skus_in_stockout"),
+                avg_days_of_supply=("C05", "avg_days_of_supply"),
+            ),
+            rows(
+                orders.withColumn("vendor_pct", F.col("all_late_pct")),
+                all_pos=("D01", "total_purchase_orders"),
+                all_late=("D02", "late_purchase_orders"),
+                all_late_pct=("D03", "supplier_late_rate_pct"),
+                all_variance=("D04", "avg_lead_time_variance"),
+                late_pct_0=("D05", "supplier_late_rate_pct (continent)"),
+                variance_0=("D06", "avg_lead_time_variance (continent)"),
+                pos_0=("D07", "total_purchase_orders (continent)"),
+                vendor_pct=("F02", "supplier_late_rate_pct"),
+                variance_1=("H01", "avg_lead_time_variance (continent)"),
+                variance_2=("H02", "avg_lead_time_variance (continent)"),
+            ),
+            rows(executive, fill=("E01", "fill_rate")),
+            rows(Q.sla_penalty_total(t.vendor_slas()), total_sla_penalties=("E02", "sla_penalties")),
+            rows(
+                here(cost),
+                total_cost_of_disruption=("E03", "cost_of_disruption"),
+                revenue_at_risk_from_disruptions=("H05", "revenue_at_risk"),
+                revenue_at_risk_per_stockout_sku=("H06", "revenue_at_risk_per_stockout_sku"),
+                disruption_to_revenue_ratio=("H07", "disruption_to_revenue_ratio"),
+            ),
+            rows(worst.select(F.abs("revenue_change").alias("decline")), decline=("F06", "worst_family_decline")),
+            rows(
+                target.select(F.col("service_level_target_pct").alias("q3"), F.col("service_level_target_pct").alias("again")),
+                q3=("G01", "service_level_target"),
+                again=("G02", "service_level_target"),
+            ),
+        ]
+    )

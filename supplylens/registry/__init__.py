@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from supplylens.registry import base
-from supplylens.registry import kpi  # noqa: F401  (registers on import)
+from supplylens.registry import actions, facts, kpi, text  # noqa: F401  (they register on import)
 
 
 def queries():

@@ -401,3 +401,98 @@ def _(t):
       FROM po WHERE {LAST.format(DAY)})"""))
 def _(t):
     return Q.non_group_late_rate(t.supplier_orders(), t.anchor, "ASIA")
+
+
+# ground truth -------------------------------------------------------------------------
+
+GT_SQL = f"""SELECT 'demand-analysis' AS agent, 'Revenue MoM change' AS metric,
+      ROUND(({_LAST_SUM} - {_PRIOR_SUM}) / 100.0, 2) AS value FROM sales WHERE region = '{REGION}'
+    UNION ALL SELECT 'logistics-operations', 'On-time delivery rate',
+      ROUND(AVG(CASE WHEN is_late = false THEN 1.0 ELSE 0.0 END) * 100, 1) FROM ship
+      WHERE {LAST.format('ship_date')} AND destination_region = '{REGION}'
+    UNION ALL SELECT 'logistics-operations', 'Avg delay days', ROUND(AVG(CASE WHEN is_late THEN delay_days END), 1)
+      FROM ship WHERE {LAST.format('ship_date')} AND destination_region = '{REGION}'
+    UNION ALL SELECT 'executive-reporting', 'Fill rate',
+      ROUND(SUM(CASE WHEN order_status = 'Fulfilled' THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 1) FROM sales
+      WHERE {LAST.format(DAY)}
+    UNION ALL SELECT 'inventory-management', 'Below safety stock positions', COUNT(*) FROM inv
+      WHERE region = '{REGION}' AND below_safety_stock_flag
+    UNION ALL SELECT 'inventory-management', 'Stockout SKUs', COUNT(DISTINCT sku_id) FROM inv
+      WHERE region = '{REGION}' AND stockout_flag
+    UNION ALL SELECT 'supplier-risk', 'Total vendor SLA penalties', ROUND(SUM(penalty_amount), 1) FROM sla
+      WHERE is_breached
+    UNION ALL SELECT 'supplier-risk', 'Vendor late delivery pct',
+      ROUND(AVG(CASE WHEN is_late THEN 1.0 ELSE 0.0 END) * 100, 1) FROM po WHERE {LAST.format(DAY)}
+    UNION ALL SELECT 'executive-reporting', 'Cost of Disruption', total_cost_of_disruption FROM cod
+      WHERE region = '{REGION}'"""
+
+
+@query("ground_truth_kpis", with_tables("sales ship inv sla po cod", GT_SQL))
+def _(t):
+    return G.ground_truth_kpis(t, REGION)
+
+
+CONTINENTS = ["ASIA", "EUROPE", "AMERICA"]
+
+
+def _forty() -> str:
+    ship = f"FROM ship WHERE {LAST.format('ship_date')} AND destination_region = '{REGION}'"
+    inv = f"FROM inv WHERE below_safety_stock_flag AND region = '{REGION}'"
+    po = f"FROM po WHERE {LAST.format(DAY)}"
+    sale = f"FROM sales WHERE region = '{REGION}' AND {LAST.format(DAY)}"
+    both = f"FROM sales WHERE region = '{REGION}'"
+    cod = f"FROM cod WHERE region = '{REGION}'"
+    rate = "ROUND(AVG(CASE WHEN {0} THEN 1.0 ELSE 0.0 END) * 100, 2)"
+    share = "ROUND(SUM(CASE WHEN order_status = '{0}' THEN 1 ELSE 0 END) * 100.0 / COUNT(*), {1})"
+    at = lambda name: f"{po} AND supplier_continent = '{name}'"
+    rows = [
+        ("A01", "on_time_delivery_rate", rate.format("NOT is_late"), ship),
+        ("A02", "late_delivery_rate", rate.format("is_late"), ship),
+        ("A03", "avg_delay_days", "ROUND(AVG(CASE WHEN is_late THEN delay_days END), 2)", ship),
+        ("A04", "total_shipments", "COUNT(*)", ship),
+        ("A05", "late_shipments", "COUNT(CASE WHEN is_late THEN 1 END)", ship),
+        ("A06", "wasted_freight_cost", "ROUND(SUM(CASE WHEN is_late THEN cost_cents ELSE 0 END) / 100.0, 2)", ship),
+        ("B01", "revenue_last_month", f"ROUND({_LAST_SUM} / 100.0, 2)", both),
+        ("B02", "revenue_prior_month", f"ROUND({_PRIOR_SUM} / 100.0, 2)", both),
+        ("B03", "revenue_change_dollars", f"ROUND(({_LAST_SUM} - {_PRIOR_SUM}) / 100.0, 2)", both),
+        ("B04", "revenue_change_pct", f"ROUND(CAST({_LAST_SUM} - {_PRIOR_SUM} AS DOUBLE) / {_PRIOR_SUM} * 100, 2)", both),
+        ("C01", "positions_below_safety_stock", "COUNT(*)", inv),
+        ("C02", "unique_skus_below_safety", "COUNT(DISTINCT sku_id)", inv),
+        ("C03", "stockout_positions", "COUNT(CASE WHEN stockout_flag THEN 1 END)", inv),
+        ("C04", "unique_skus_in_stockout", "COUNT(DISTINCT CASE WHEN stockout_flag THEN sku_id END)", inv),
+        ("C05", "avg_days_of_supply", "ROUND(AVG(days_of_supply), 2)", inv),
+        ("D01", "total_purchase_orders", "COUNT(*)", po),
+        ("D02", "late_purchase_orders", "COUNT(CASE WHEN is_late THEN 1 END)", po),
+        ("D03", "supplier_late_rate_pct", rate.format("is_late"), po),
+        ("D04", "avg_lead_time_variance", "ROUND(AVG(variance), 2)", po),
+        ("D05", "supplier_late_rate_pct (continent)", rate.format("is_late"), at("ASIA")),
+        ("D06", "avg_lead_time_variance (continent)", "ROUND(AVG(variance), 2)", at("ASIA")),
+        ("D07", "total_purchase_orders (continent)", "COUNT(*)", at("ASIA")),
+        ("E01", "fill_rate", share.format("Fulfilled", 1), f"FROM sales WHERE {LAST.format(DAY)}"),
+        ("E02", "sla_penalties", "ROUND(SUM(penalty_amount), 2)", "FROM sla WHERE is_breached"),
+        ("E03", "cost_of_disruption", "MAX(total_cost_of_disruption)", cod),
+        ("F01", "revenue_last_month", f"ROUND({_LAST_SUM} / 100.0, 2)", both),
+        ("F02", "supplier_late_rate_pct", rate.format("is_late"), po),
+        ("F03", "fulfilled_orders", "COUNT(*)", f"{sale} AND order_status = 'Fulfilled'"),
+        ("F04", "cancelled_revenue", "ROUND(SUM(amount_cents) / 100.0, 2)", f"{sale} AND order_status = 'Cancelled'"),
+        ("F05", "backordered_orders", "COUNT(*)", f"{sale} AND order_status = 'Backordered'"),
+        ("F06", "worst_family_decline", "ABS(MIN(c))", f"""FROM (SELECT ROUND(({_LAST_SUM} - {_PRIOR_SUM}) / 100.0, 2)
+            AS c FROM sales WHERE region = '{REGION}' AND {BOTH.format(DAY)} GROUP BY product_family)"""),
+        ("G01", "service_level_target", "95", ""),
+        ("G02", "service_level_target", "95", ""),
+        ("H01", "avg_lead_time_variance (continent)", "ROUND(AVG(variance), 2)", at("EUROPE")),
+        ("H02", "avg_lead_time_variance (continent)", "ROUND(AVG(variance), 2)", at("AMERICA")),
+        ("H03", "fulfillment_rate", share.format("Fulfilled", 2), sale),
+        ("H04", "partial_rate", share.format("Partially_Fulfilled", 2), sale),
+        ("H05", "revenue_at_risk", "MAX(revenue_at_risk_from_disruptions)", cod),
+        ("H06", "revenue_at_risk_per_stockout_sku", "MAX(revenue_at_risk_per_stockout_sku)", cod),
+        ("H07", "disruption_to_revenue_ratio", "MAX(disruption_to_revenue_ratio)", cod),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{i}' AS id, '{m}' AS metric, CAST({expr} AS DOUBLE) AS value {src}" for i, m, expr, src in rows
+    )
+
+
+@query("ground_truth_40", with_tables("sales ship inv sla po cod", _forty()))
+def _(t):
+    return G.ground_truth_40(t, REGION, CONTINENTS)
