@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -43,10 +44,34 @@ def match_terms(df: DataFrame, text: str, terms: list[tuple[str, ...]], names: l
     """One row per term whose phrase occurs in the text (case ignored).
 
     ``terms`` is the declared dictionary, a list fixed by the views and not by the
-    data, so it travels as an array literal: the texts are scanned once, nothing
-    is joined or shuffled.
+    data, so it travels inside the plan: the texts are scanned once, nothing is
+    joined or shuffled. One pattern finds the longest phrase at every position of
+    the text; the phrases inside a found one are listed with it, so none is missed.
     """
-    entries = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, term)]) for term in terms])
-    lowered = F.lower(F.col(text))
-    found = F.filter(entries, lambda t: lowered.contains(t[names[0]]))
-    return df.withColumn("_term", F.explode(found)).select(*df.columns, "_term.*")
+    entries: dict[str, list[tuple[str, ...]]] = {}
+    phrases = {term[0].lower() for term in terms}
+    for phrase in phrases:
+        entries[phrase] = [term for term in terms if term[0].lower() in phrase]
+    inside = F.create_map(
+        *[
+            part
+            for phrase, held in sorted(entries.items())
+            for part in (
+                F.lit(phrase),
+                F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, term)]) for term in held]),
+            )
+        ]
+    )
+    hits = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(phrase_pattern(phrases)), F.lit(1)))
+    found = df.withColumn("_hits", hits).where(F.size("_hits") > 0)
+    held = F.array_distinct(F.flatten(F.transform("_hits", lambda hit: F.element_at(inside, hit))))
+    return found.withColumn("_term", F.explode(held)).select(*df.columns, "_term.*")
+
+
+def phrase_pattern(phrases: set[str]) -> str:
+    """Zero-width pattern capturing the longest phrase at a position, branched on the first letter."""
+    by_letter: dict[str, list[str]] = {}
+    for phrase in sorted(phrases, key=lambda p: (-len(p), p)):
+        by_letter.setdefault(phrase[0], []).append(re.escape(phrase[1:]))
+    branches = [re.escape(letter) + "(?:" + "|".join(rest) + ")" for letter, rest in sorted(by_letter.items())]
+    return "(?=(" + "|".join(branches) + "))"

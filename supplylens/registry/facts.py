@@ -130,7 +130,7 @@ def _(t):
     placed = index_within_key(
         t.table("events").select("event_id", "user_id", "event_type", "ts"),
         ["user_id"],
-        F.to_date("ts"),
+        F.date_trunc("hour", "ts"),
         ["ts", "event_id"],
         "event_index",
     )

@@ -430,8 +430,8 @@ def _(t):
     certified = here(Q.month_over_month(t.sales_orders(), t.anchor, "region"))
     truth = stack(
         [
-            metric_rows(certified, {"revenue_last_month": ("demand", "ASIA revenue")}, "agent"),
-            metric_rows(here(delivery), {"late_delivery_rate": ("logistics", "ASIA late delivery rate")}, "agent"),
+            metric_rows(certified, [("demand", "ASIA revenue", F.col("revenue_last_month"))], "agent"),
+            metric_rows(here(delivery), [("logistics", "ASIA late delivery rate", F.col("late_delivery_rate"))], "agent"),
         ]
     )
     return S.verify_views(checks, truth)

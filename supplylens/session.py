@@ -22,6 +22,8 @@ def build_session(app: str = "supplylens", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -10,7 +10,7 @@ decides from measured sizes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,9 +30,13 @@ class SupplyTables:
     spark: SparkSession
     root: str
     anchor: date = ANCHOR
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """The table's scan; files are listed and the footer is read once per table."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._read[name]
 
     # dimensions -------------------------------------------------------------
 

@@ -1,0 +1 @@
+"""Incremental maintenance with Structured Streaming."""
