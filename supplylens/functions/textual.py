@@ -94,6 +94,29 @@ def section_title(section: Column, position: Column) -> Column:
     return F.when(head.rlike(SECTION_HEAD), named).otherwise(F.concat(F.lit("section_"), position.cast("string")))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def last_sections(text: Column) -> Column:
+    """Array of (title, pos, body), one per title, the last body of a repeated title.
+
+    Sorting the entries puts equal titles side by side, so the text never leaves its row.
+    """
+    entries = F.transform(
+        F.split(text, SECTION_BREAK),
+        lambda part, i: F.struct(
+            section_title(part, i).alias("title"), i.alias("pos"), stripped(part).alias("body")
+        ),
+    )
+    following = lambda s, i: F.try_element_at(s, i + 2)["title"]
+    return let(
+        F.array_sort(entries),
+        lambda s: F.filter(s, lambda e, i: F.coalesce(following(s, i) != e["title"], F.lit(True))),
+    )
+
+
 def requoted(sql: Column, regions: list[str], date_pattern: str = r"20\d{2}-\d{2}-\d{2}") -> Column:
     """Quotes put back around region names and date literals."""
     names = "|".join(regions)

@@ -14,7 +14,8 @@ def skew_safe_join(
     Keys holding more than ``max_share`` of the fact's rows are found by a counted
     aggregate over the key column. There can be at most ``1 / max_share`` of them,
     which bounds the broadcast. Their fact rows are spread over several salts and
-    their single row is repeated once per salt; every other key keeps salt 0.
+    their single row is repeated once per salt; every other key keeps salt 0. Rows
+    without a key match nothing and are spread at will.
     """
     total = many.select(F.count("*")).scalar()
     hot = (
@@ -24,9 +25,10 @@ def skew_safe_join(
         .select(key, F.ceil(F.col("_rows") / (total * F.lit(max_share))).cast("int").alias("_salts"))
     )
     salts = F.coalesce(F.col("_salts"), F.lit(1))
+    keyless = F.when(F.col(key).isNull(), F.lit(int(1 / max_share)))
     spread = (
         many.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int"))
+        .withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.coalesce(keyless, salts)).cast("int"))
         .drop("_salts")
     )
     repeated = (

@@ -107,11 +107,8 @@ def markdown_tables(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 def sections(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Sections split at headings; a repeated title keeps its last body."""
-    parts = df.select(*keys, F.posexplode(F.split(F.col(text), X.SECTION_BREAK)).alias("_pos", "_body"))
-    titled = parts.select(
-        *keys, X.section_title(F.col("_body"), F.col("_pos")).alias("section"), "_pos", X.stripped(F.col("_body")).alias("_body")
-    )
-    return titled.groupBy(*keys, "section").agg(F.max_by("_body", "_pos").alias("body"))
+    found = df.select(*keys, F.explode(X.last_sections(F.col(text))).alias("_s"))
+    return found.select(*keys, F.col("_s.title").alias("section"), F.col("_s.body").alias("body"))
 
 
 def status_word_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
