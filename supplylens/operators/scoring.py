@@ -38,17 +38,17 @@ def find_value(df: DataFrame, expected: str = "expected") -> DataFrame:
     placed = df.withColumn("_target", target).withColumn("_hit", F.array_position("_abs", F.col("_target")))
     hit = F.coalesce(F.col("_hit") > 0, F.lit(False))
     read = F.when(hit, F.slice("_abs", F.lit(1), (F.col("_hit") - 1).cast("int"))).otherwise(F.col("_abs"))
-    distances = F.transform(read, lambda n, i: F.struct(F.abs(n - F.col("_target")).alias("diff"), i.alias("i")))
-    best = placed.withColumn("_best", F.array_min(distances))
+    distances = F.transform(read, lambda n: F.abs(n - F.col("_target")))
+    best = placed.withColumn("_distances", distances).withColumn("_best", F.array_min("_distances"))
     found = F.when(hit, F.try_element_at("_nums", F.col("_hit").cast("int")))
-    nearest = F.try_element_at("_nums", F.col("_best.i") + 1)
+    nearest = F.try_element_at("_nums", F.array_position("_distances", F.col("_best")).cast("int"))
     kept = [c for c in df.columns if c not in ("_nums", "_abs")]
     return best.select(
         *kept,
         hit.alias("is_match"),
         found.alias("found"),
         F.coalesce(found, nearest).alias("closest"),
-        F.col("_best.diff").alias("best_diff"),
+        F.col("_best").alias("best_diff"),
         nearest.alias("nearest"),
     )
 
