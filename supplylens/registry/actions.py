@@ -35,21 +35,22 @@ def _(t):
 
 
 @query("domain_summary", with_tables("items evals", """SELECT domain, category, COUNT(*) AS action_count,
-    CAST(SUM(CASE WHEN recommendation = 'PROCEED' THEN 1 ELSE 0 END) AS BIGINT) AS proceed_count,
-    CAST(SUM(CASE WHEN recommendation = 'PROCEED_WITH_CAUTION' THEN 1 ELSE 0 END) AS BIGINT) AS caution_count,
-    CAST(SUM(CASE WHEN recommendation = 'DEFER' THEN 1 ELSE 0 END) AS BIGINT) AS defer_count,
-    CAST(SUM(CASE WHEN recommendation = 'REJECT' THEN 1 ELSE 0 END) AS BIGINT) AS reject_count,
+    COUNT(*) FILTER (recommendation = 'PROCEED') AS proceed_count,
+    COUNT(*) FILTER (recommendation = 'PROCEED_WITH_CAUTION') AS caution_count,
+    COUNT(*) FILTER (recommendation = 'DEFER') AS defer_count,
+    COUNT(*) FILTER (recommendation = 'REJECT') AS reject_count,
     ROUND(AVG(practicality_score), 2) AS avg_practicality
-    FROM items i LEFT JOIN evals e ON i.action_id = e.action_id AND e.rn = 1 GROUP BY 1, 2"""))
+    FROM items LEFT JOIN (SELECT * FROM evals WHERE rn = 1) USING (action_id) GROUP BY ALL"""))
 def _(t):
     return A.domain_summary(t.action_items(), t.action_evaluations())
 
 
-CHANGES_SQL = """SELECT l.action_id, i.title, p.recommendation AS prev_rec, l.recommendation AS curr_rec,
-    ROUND(p.practicality_score, 2) AS prev_score, ROUND(l.practicality_score, 2) AS curr_score,
-    CASE WHEN p.recommendation <> l.recommendation THEN 'CHANGED' ELSE 'STABLE' END AS status
-    FROM evals l JOIN evals p ON l.action_id = p.action_id AND p.rn = 2
-    JOIN items i ON l.action_id = i.action_id WHERE l.rn = 1"""
+CHANGES_SQL = """SELECT action_id, title, prev_rec, recommendation AS curr_rec, ROUND(prev_score, 2) AS prev_score,
+    ROUND(practicality_score, 2) AS curr_score, IF(prev_rec = recommendation, 'STABLE', 'CHANGED') AS status
+    FROM (SELECT action_id, rn, recommendation, practicality_score, LEAD(recommendation) OVER older AS prev_rec,
+        LEAD(practicality_score) OVER older AS prev_score FROM evals
+        WINDOW older AS (PARTITION BY action_id ORDER BY rn)) JOIN items USING (action_id)
+    WHERE rn = 1 AND prev_rec IS NOT NULL"""
 
 
 @query("recommendation_changes", with_tables("items evals", CHANGES_SQL))
