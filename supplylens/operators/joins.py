@@ -15,7 +15,8 @@ def skew_safe_join(
     aggregate over the key column. There can be at most ``1 / max_share`` of them,
     which bounds the broadcast. Their fact rows are spread over several salts and
     their single row is repeated once per salt; every other key keeps salt 0. Rows
-    without a key match nothing and are spread at will.
+    without a key match nothing and are spread at will. The fact is read for its
+    key column once more, so pass a stored table or a scan rather than a long plan.
     """
     total = many.select(F.count("*")).scalar()
     hot = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from supplylens.operators import actions as A
-from supplylens.operators.windows import nth_latest_per_key
+from supplylens.operators.windows import latest_per_key, nth_latest_per_key
 from supplylens.registry.base import query
 from supplylens.registry.ctes import LAST, with_tables
 from supplylens.sources import tables as T
@@ -211,8 +211,6 @@ def _(t):
 @query("update_by_key", with_tables("items", f"""SELECT i.action_id, COALESCE(n.decision, i.status) AS status
     FROM items i LEFT JOIN ({NEW_SQL}) n ON i.action_id = n.action_id"""))
 def _(t):
-    from supplylens.operators.windows import latest_per_key
-
     target = T.publish(t.action_items().select("action_id", "status"), "update_items")
     changes = latest_per_key(new_decisions(t), ["action_id"], ["decided_at", "event_id"])
     return T.publish(T.updated(target, changes, "action_id", "status", "decision"), "update_items")

@@ -4,7 +4,8 @@ The recurring job reads only evaluations that arrived since its last run, merges
 them into a state of at most two rows per action and emits the actions whose
 recommendation changed. State and changes are written per batch id, each batch
 reading the state of the one before, so a batch that is replayed after a failure
-overwrites its own output with the same rows.
+overwrites its own output with the same rows. Only the newest state and the one
+before it are ever read; older batch folders can be expired by the storage.
 """
 
 from __future__ import annotations

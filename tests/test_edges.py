@@ -214,7 +214,8 @@ def test_calendar_functions(spark):
 
 def test_scalar_helpers(spark):
     row = spark.range(1).select(
-        M.to_cents(F.lit(-1.005)).alias("negative"),
+        M.to_cents(F.lit(-1.004)).alias("negative"),
+        M.to_cents(F.lit(-0.125) * 10).alias("half"),
         M.to_cents(F.lit(19.99)).alias("positive"),
         M.ratio_pct(F.lit(1), F.lit(0)).alias("nothing"),
         M.residual_rate(F.lit(75.0), F.lit(48), F.lit(100.0), F.lit(30)).alias("rest"),
@@ -227,8 +228,8 @@ def test_scalar_helpers(spark):
         derive.budget_variance(F.lit(110), F.lit(100)).alias("over"),
         derive.concentration_risk(F.lit("Footwear")).alias("risk"),
     ).collect()[0]
-    assert row["negative"] == -100 or row["negative"] == -101
-    assert row["positive"] == 1999 and row["nothing"] is None
+    assert row["negative"] == -100
+    assert row["half"] == -125 and row["positive"] == 1999 and row["nothing"] is None
     assert abs(row["rest"] - 33.333333) < 1e-5 and row["nobody"] == 0.0 and row["left"] == 0.0
     assert row["repl"] == "Low" and row["late_event"] == "Returned"
     assert row["note"] == "Shipment at hub - DELAYED" and row["over"] == 10.0 and row["risk"] == "High"
