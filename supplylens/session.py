@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,22 +32,18 @@ def build_session(app: str = "supplylens", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else a folder in the warehouse.
 
-    A local master runs all tasks on one machine, so there an unset value falls
-    back to a new temporary folder. On a cluster it is an error.
+    Both settings name shared storage on a cluster, so one rule holds for every master.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="supplylens-")
-    spark.conf.set(CHECKPOINT_CONF, named)
-    spark.sparkContext.setCheckpointDir(named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF)
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        spark.conf.set(CHECKPOINT_CONF, named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
