@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +11,6 @@ from supplylens.session import new_folder
 
 #: A word of the query contracts: a run of anything but space, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
-WORDS = re.compile(WORD)
-UPPER_TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -52,26 +49,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: A-Z to a-z on UTF-8 bytes.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Words of a text as UTF-8; ``bytes.split`` parts at exactly the characters that WORD excludes."""
+    return text.encode("utf-8", "surrogatepass").split() if text else []
+
+
+def lower_words(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
+
+
 class WordHashes:
     """64-bit hashes of words with a table of those seen, cleared when it holds ``keep`` entries."""
 
     def __init__(self, keep: int = 400_000):
-        import xxhash
-
-        self.of, self.table, self.keep = xxhash.xxh64_intdigest, {}, keep
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        table, of = self.table, self.of
-        if len(table) > self.keep:
-            table.clear()
-        get = table.get
-        out = [get(w) for w in words]
-        if None in out:
-            for i, v in enumerate(out):
-                if v is None:
-                    w = words[i]
-                    v = table.get(w)
-                    if v is None:
-                        v = table[w] = of(w.encode("utf-8", "surrogatepass"))
-                    out[i] = v
-        return np.array(out, dtype=np.uint64)
+        self.table, self.keep = {}, keep
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        if len(self.table) > self.keep:
+            self.table.clear()
+        table = self.table
+        for w in set(words) - table.keys():
+            table[w] = xxhash.xxh64_intdigest(w)
+        return np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))

@@ -31,7 +31,7 @@ class Settings:
     embed: int = 8
     filters: int = 12
     widths: tuple[int, ...] = (2, 3, 4)
-    epochs: int = 6
+    steps: int = 1200
     batch: int = 64
     rate: float = 0.004
     seed: int = 11
@@ -60,12 +60,15 @@ def has_letter(text: str | None) -> bool:
 def sample(docs: DataFrame, usable: Column, s: Settings) -> pd.DataFrame:
     """At most ``per_language`` usable labelled texts a language, those of the smallest hash of their text.
 
-    Every task first keeps its own smallest ones, so no more than that is shuffled for a hot language.
+    Hashes are ranked without the texts, and every task first keeps its own smallest ones, so a hot language shuffles
+    no more than that; the chosen texts are then fetched by their hash.
     """
     rows = docs.where(usable & F.col("lang").isNotNull() & F.rlike(F.coalesce("text", F.lit("")), F.lit(r"\p{L}")))
-    rows = rows.select("lang", "text", F.xxhash64("text", F.lit(s.seed)).alias("h"))
+    rows = rows.select("lang", F.xxhash64("text", F.lit(s.seed)).alias("h"), "text")
     first = Window.partitionBy("lang").orderBy("h")
-    return rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= s.per_language).select("lang", "text", "h").toPandas()
+    chosen = rows.select("lang", "h").withColumn("n", F.row_number().over(first)).where(F.col("n") <= s.per_language)
+    chosen = F.broadcast(chosen.select("lang", "h").distinct())  # per_language numbers for each language
+    return rows.join(chosen, ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text", "h").toPandas()
 
 
 def train(rows: pd.DataFrame, s: Settings) -> Network:
@@ -90,17 +93,16 @@ def train(rows: pd.DataFrame, s: Settings) -> Network:
     wide = len(s.widths) * s.filters
     p += [rng.normal(0, wide**-0.5, (wide, len(languages))), np.zeros(len(languages))]
     p = [a.astype(np.float32) for a in p]
-    first, second, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
-    for _ in range(s.epochs):
-        order = rng.permutation(len(x))
-        for start in range(0, len(order), s.batch):
-            at = order[start : start + s.batch]
-            grads = _gradients(p, x[at], y[at], s)
-            step += 1
-            for a, g, m, v in zip(p, grads, first, second):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                a -= s.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    first, second = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
+    order = np.zeros(0, dtype=np.int64)
+    for step in range(1, s.steps + 1):
+        if len(order) < s.batch:
+            order = np.concatenate([order, rng.permutation(len(x))])
+        at, order = order[: s.batch], order[s.batch :]
+        for a, g, m, v in zip(p, _gradients(p, x[at], y[at], s), first, second):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            a -= s.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     k = len(s.widths)
     return Network(languages, p[0], p[1 : 1 + 2 * k : 2], p[2 : 2 + 2 * k : 2], p[-2], p[-1])
 

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplylens.llm import language_id, mixing, packing, url_filter
+from supplylens.llm import (
+    fingerprint,
+    html_extraction,
+    language_id,
+    mixing,
+    nearest,
+    ngram_join,
+    packing,
+    ppm,
+    substring_dedup,
+    url_filter,
+)
 from supplylens.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,11 +30,22 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_fingerprint(spark, sf_dir):
+    return fingerprint.fingerprinted(read(spark, sf_dir, "documents"))
+
+
 @query
 def op2_url_filter(spark, sf_dir):
     return url_filter.judged(read(spark, sf_dir, "pages"))
 
 
+@query
+def op3_substring_dedup(spark, sf_dir):
+    found = substring_dedup.removed(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op4_language_id(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -32,11 +54,37 @@ def op4_language_id(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op5_ppm_score(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    found = ppm.scored(docs, ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op6_best_fit_packing(spark, sf_dir):
     return packing.packed(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_nearest(spark, sf_dir):
+    return nearest.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op8_ngram_join(spark, sf_dir):
+    found = ngram_join.linked(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op9_source_mixing(spark, sf_dir):
     return mixing.mixed(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html_extraction(spark, sf_dir):
+    return html_extraction.extracted(read(spark, sf_dir, "pages"))
