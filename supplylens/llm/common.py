@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +39,7 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser on uint64: spreads all bits, same result on every machine."""
-    x = x.astype(np.uint64, copy=True)
+    x = x.astype(np.uint64)
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
@@ -51,27 +50,75 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: A-Z to a-z on UTF-8 bytes.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0x9DDFEA08EB382D69
+_SEGMENT = 1 << 20
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words of a text as UTF-8; ``bytes.split`` parts at exactly the characters that WORD excludes."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
-
-
-def lower_words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
+def as_bytes(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
 
 
-class WordHashes:
-    """64-bit hashes of words with a table of those seen, cleared when it holds ``keep`` entries."""
-
-    def __init__(self, keep: int = 400_000):
-        self.table, self.keep = {}, keep
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.table) > self.keep:
-            self.table.clear()
-        table = self.table
-        for w in set(words) - table.keys():
-            table[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
+def words_of(text: str | None) -> list[bytes]:
+    """Words of a text as UTF-8; ``bytes.split`` parts at exactly the characters that WORD excludes."""
+    return as_bytes(text).split()
+
+
+class Powers:
+    """Powers of an odd number modulo 2**64 and of its inverse, as many as were asked for so far."""
+
+    def __init__(self):
+        self.up, self.down = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            k = len(self.up)
+            self.up = np.concatenate([self.up, self.up * np.uint64(pow(_BASE, k, 1 << 64))])
+            self.down = np.concatenate([self.down, self.down * np.uint64(pow(_BASE, -k, 1 << 64))])
+        return self.up, self.down
+
+
+_POWERS = Powers()
+
+
+def span_hashes(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs start .. stop of an array: equal runs of values have equal hashes."""
+    up, down = _POWERS(len(values) + 1)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
+
+
+def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """``span_hashes`` of all windows of ``size`` values."""
+    n = len(values) - size + 1
+    if n < 1:
+        return np.zeros(0, dtype=np.uint64)
+    up, down = _POWERS(len(values) + 1)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[size:] - total[:n]) * down[:n] + np.uint64(size))
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text given as UTF-8, in order."""
+    out, at, size = [], 0, len(raw)
+    while at < size:  # long texts in segments that end between words
+        end = min(size, at + _SEGMENT)
+        code = np.frombuffer(raw, dtype=np.uint8, count=end - at, offset=at)
+        blank = _SPACE[code]
+        if end < size:
+            last = np.flatnonzero(blank)
+            while not len(last) and end < size:  # a word longer than a segment
+                end = min(size, at + 2 * (end - at))
+                code = np.frombuffer(raw, dtype=np.uint8, count=end - at, offset=at)
+                blank = _SPACE[code]
+                last = np.flatnonzero(blank)
+            if end < size:
+                end = at + int(last[-1]) + 1
+                code, blank = code[: end - at], blank[: end - at]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
+        out.append(span_hashes(_BYTE[code], edge[::2], edge[1::2]))
+        at = end
+    return out[0] if len(out) == 1 else np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)

@@ -114,21 +114,23 @@ def mixed(
     most: float = 2.0,
     size: Column | None = None,
     block: int = BLOCK,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Copies to take of each document: the columns doc_id, source, size, source_size, target, copies, taken.
 
     ``size`` defaults to the words of ``text``. Nulls: a null text has size 0, a null source is a source of its
     own, a null doc_id is a document like any other. Documents of size 0 get the sure copies alone and take no
     words; a source without words has the target 0. Repeated rows are separate documents. An empty table
-    gives an empty table. Other columns are not carried. The result depends on the rows alone, not on their order
+    gives an empty table. Other columns are not carried, unless ``carry`` names them. The result depends on the rows alone, not on their order
     or partitioning.
     """
-    base = docs.select("doc_id", "source", (word_count(F.col("text")) if size is None else size).alias("size"))
+    own = [F.col(c) for c in ("doc_id", "source", *carry)]
+    base = docs.select(*own, (word_count(F.col("text")) if size is None else size).alias("size"))
     base = written(base, "mix-sizes")
     goal = targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     goal = written(goal, "mix-targets").withColumnRenamed("source", "_source")  # one row per source
     # identical rows are told apart by a number, which no order of rows changes
-    same = Window.partitionBy("source", "doc_id", "size").orderBy(F.lit(1))
+    same = Window.partitionBy(*own, "size").orderBy(F.lit(1))
     rows = (
         base.withColumn("_row", F.row_number().over(same))
         .join(goal, F.col("source").eqNullSafe(F.col("_source")))
@@ -136,7 +138,7 @@ def mixed(
         .withColumn("_rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
         .withColumn("_sure", F.floor("_rate").cast("int"))
         .withColumn("_p", F.when(F.col("size") == 0, 0.0).otherwise(F.col("_rate") - F.col("_sure")))
-        .withColumn("_key", F.xxhash64("source", "doc_id", "size", "_row"))
+        .withColumn("_key", F.xxhash64("source", "doc_id", "size", "_row", *carry))
         .drop("_rate")
     )
     is_open = (F.col("_p") > EDGE) & (F.col("_p") < 1 - EDGE)
@@ -151,6 +153,5 @@ def mixed(
         largest = 2 * parts
     done = done.union(open_.groupBy("source").applyInPandas(lambda d: _land(d[columns]), schema))
     copies = F.col("_sure") + F.round("_p").cast("int")
-    return done.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
-    )
+    taken = (F.col("size") * copies).alias("taken")
+    return done.select(*own, "size", "source_size", "target", copies.alias("copies"), taken)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import WordHashes, lower_words, mix, written
+from supplylens.llm.common import LOWER, as_bytes, mix, window_hashes, word_hashes, written
 
 U = np.uint64
 
@@ -45,20 +45,13 @@ class Join:
     members: int = 1000
 
 
-def shingles(words: list[bytes], hashed: WordHashes, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles; fewer words make one shingle."""
-    if not words:
-        return np.zeros(0, dtype=U)
-    h = hashed(words)
-    if len(h) < n:
-        total = np.array([len(h)], dtype=U)
-        for x in h:
-            total = mix(total * U(31) + x)
-        return total
-    total = np.zeros(len(h) - n + 1, dtype=U)
-    for j in range(n):
-        total = total * U(0x9DDFEA08EB382D69) + h[j : len(h) - n + 1 + j]
-    return np.unique(mix(total))
+def shingles(text: str | None, n: int) -> np.ndarray:
+    """Sorted distinct hashes of the n-word shingles, case of A-Z ignored; fewer words make one shingle."""
+    h = word_hashes(as_bytes(text).translate(LOWER))
+    if not len(h):
+        return h
+    s = np.sort(window_hashes(h, min(n, len(h))))
+    return s[np.append(True, s[1:] != s[:-1])]
 
 
 def overlap_links(a: np.ndarray, b: np.ndarray, j: Join) -> bool:
@@ -154,9 +147,8 @@ def members(docs: DataFrame, j: Join) -> DataFrame:
 
     @F.pandas_udf("n_shingles long, set_id long")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes()
         for texts in batches:
-            sets = [shingles(lower_words(t), hashed, j.words) for t in texts]
+            sets = [shingles(t, j.words) for t in texts]
             yield pd.DataFrame({"n_shingles": [len(h) for h in sets], "set_id": [set_id(h) for h in sets]}, dtype="int64")
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), scan("text").alias("s"))
@@ -170,11 +162,11 @@ def key_members(docs: DataFrame, parts: int, j: Join) -> DataFrame:
     """
 
     def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed, seen = WordHashes(), set()
+        seen = set()
         for batch in batches:
             keys, owners = [], []
             for text in batch["text"]:
-                h = shingles(lower_words(text), hashed, j.words)
+                h = shingles(text, j.words)
                 own = set_id(h)
                 if not len(h) or own in seen:
                     continue
@@ -224,13 +216,13 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, j: Join) -> D
     both = both.join(own.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed, last, known = WordHashes(), None, None
+        last, known = None, None
         for batch in batches:
             keep = []
             for a, text_a, text_b in zip(batch["a"], batch["text_a"], batch["text_b"]):
                 if a != last:
-                    last, known = a, shingles(lower_words(text_a), hashed, j.words)
-                keep.append(overlap_links(known, shingles(lower_words(text_b), hashed, j.words), j))
+                    last, known = a, shingles(text_a, j.words)
+                keep.append(overlap_links(known, shingles(text_b, j.words), j))
             yield batch.loc[keep, ["a", "b"]]
 
     return both.mapInPandas(check, "a long, b long")
@@ -241,6 +233,8 @@ def components(edges: DataFrame) -> DataFrame:
     at = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc"
     )
+    mark = F.struct(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
+    before = at.agg(mark).first()
     while True:
         # large star: the larger neighbours of a node go to its smallest neighbour
         near = at.union(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -250,10 +244,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = written(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
-        mark = F.struct(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-        if at.agg(mark).first() == new.agg(mark).first():
+        after = new.agg(mark).first()
+        if after == before:
             return new.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        at = new
+        at, before = new, after
 
 
 def labelled(sets: DataFrame, name: str, classes: DataFrame, label: str) -> DataFrame:
@@ -266,10 +260,9 @@ def _lost(docs: DataFrame, given_up: DataFrame, j: Join) -> DataFrame:
     """(band, set_id, key) of sets whose segments without given-up keys are worth H at most; key is given up."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes()
         for batch in batches:
             for text in batch["text"]:
-                h = shingles(lower_words(text), hashed, j.words)
+                h = shingles(text, j.words)
                 for b in set_bands(len(h), j) if len(h) else ():
                     keys, owner, worth, most = _keys_in_band(h, b, j)
                     of = worth[np.searchsorted(np.unique(owner), owner)]

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import WordHashes, lower_words, mix, written
+from supplylens.llm.common import LOWER, as_bytes, mix, word_hashes, written
 
 U = np.uint64
 #: A byte that UTF-8 never uses, coded after each text.
@@ -30,9 +30,9 @@ LN10 = float(np.log(10))
 
 @dataclass(frozen=True)
 class Ppm:
-    """``block``: bytes of text in a block; ``part``: n-grams or words of the model in a part, on average."""
+    """``order``: bytes of context at most; ``block``: bytes of text in a block; ``parts``: of the model."""
 
-    order: int = 5
+    order: int = 4
     block: int = 32_000_000
     parts: int = 64
 
@@ -53,10 +53,6 @@ def grams(raw: list[bytes], order: int) -> np.ndarray:
     return code[keep]
 
 
-def as_bytes(text: str | None) -> bytes:
-    return text.encode("utf-8", "replace") if text else b""
-
-
 def _cut(key: np.ndarray, part: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
     """The arrays as bytes per part."""
     order = np.argsort(part, kind="stable")
@@ -87,16 +83,14 @@ def packed(docs: DataFrame, training: Column, m: Ppm) -> DataFrame:
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes()
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             at = 0
             texts, rows, learn = batch["text"].tolist(), batch["row"].tolist(), batch["learn"].tolist()
             while at < len(texts):
-                raw, words, size, stop = [], [], 0, at
+                raw, size, stop = [], 0, at
                 while stop < len(texts) and (size < m.block or stop == at):
                     raw.append(as_bytes(texts[stop]))
-                    words.append(lower_words(texts[stop]))
                     size += len(raw[-1]) + 1
                     stop += 1
                 own = np.array(rows[at:stop], dtype=np.int64)
@@ -110,7 +104,7 @@ def packed(docs: DataFrame, training: Column, m: Ppm) -> DataFrame:
                     if not pick:
                         continue
                     code, n = _unique_grams([raw[i] for i in pick], m.order)
-                    ids, k = np.unique(hashed([w for i in pick for w in words[i]]), return_counts=True)
+                    ids, k = np.unique(word_hashes(b" ".join(raw[i] for i in pick).translate(LOWER)), return_counts=True)
                     asked["gram"].append(code)
                     asked["word"].append(ids.view(np.int64))
                     if learned:
@@ -313,7 +307,7 @@ def scored(docs: DataFrame, training: Column, m: Ppm = Ppm()) -> DataFrame:
     w = words.groupBy("part").cogroup(ask("word")).applyInPandas(word_answers, answer).withColumn("kind", F.lit("word"))
 
     def score(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        hashed, frames = WordHashes(), []
+        frames = []
         part = answers[answers["kind"] == "gram"]
         code = Lookup(np.frombuffer(b"".join(part["ids"]), np.int64), np.frombuffer(b"".join(part["counts"]), np.float32))
         part = answers[answers["kind"] == "word"]
@@ -329,8 +323,8 @@ def scored(docs: DataFrame, training: Column, m: Ppm = Ppm()) -> DataFrame:
                 value = code(grams(raw, order)).astype(np.float64)
                 total = np.add.reduceat(value, np.cumsum(size) - size)
                 for r, t in zip(raw, total.tolist()):
-                    own = lower_words(r.decode("utf-8"))
-                    c = seen(hashed(own).view(np.int64)) if own else np.zeros(0, np.int64)
+                    own = word_hashes(r.translate(LOWER))
+                    c = seen(own.view(np.int64)) if len(own) else np.zeros(0, np.int64)
                     logs = np.log10((c + 1) / (n + v + 1)).sum() + np.log10((ends + 1) / (n + v + 1))
                     out.append((len(own) + 1, int((c > 0).sum()) + bool(ends), float(logs), t))
             frame = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score"])

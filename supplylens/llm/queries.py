@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from supplylens.llm import (
     fingerprint,
     html_extraction,
@@ -88,3 +89,12 @@ def op9_source_mixing(spark, sf_dir):
 @query
 def op10_html_extraction(spark, sf_dir):
     return html_extraction.extracted(read(spark, sf_dir, "pages"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

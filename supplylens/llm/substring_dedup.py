@@ -10,7 +10,7 @@ more. Intervals of a full window or longer are reported back to the documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import WordHashes, mix, words_of, written
+from supplylens.llm.common import as_bytes, span_hashes, window_hashes, word_hashes, words_of, written
 from supplylens.llm.fm_index import FMIndex
 
 U = np.uint64
@@ -35,22 +35,29 @@ class Dedup:
     crowd: int = 5_000
 
 
+def smallest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest value, the leftmost on ties, in each window of ``width`` values."""
+    n = len(values)
+    bits = U(max(1, int(n).bit_length()))
+    keyed = ((values >> bits) << bits) | np.arange(n, dtype=U)
+    padded = np.full(-(-n // width) * width, np.iinfo(U).max, dtype=U)
+    padded[:n] = keyed
+    rows = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(rows, axis=1).ravel()
+    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    least = np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
+    return (least & ((U(1) << bits) - U(1))).astype(np.int64)
+
+
 def runs(h: np.ndarray, d: Dedup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, number of windows and minimizer of each run of a text given by its word hashes."""
     n = len(h) - d.window + 1
     if n < 1:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty.astype(U)
-    grams = np.zeros(len(h) - d.minimizer + 1, dtype=U)
-    for j in range(d.minimizer):
-        grams = grams * U(0x9DDFEA08EB382D69) + h[j : len(h) - d.minimizer + 1 + j]
-    grams = mix(grams)
-    width = d.window - d.minimizer + 1
-    best = np.empty(n, dtype=np.int64)
-    for a in range(0, n, 1 << 16):  # long texts in pieces, so that the view stays small
-        b = min(n, a + (1 << 16))
-        view = np.lib.stride_tricks.sliding_window_view(grams[a : b + width - 1], width)
-        best[a:b] = view.argmin(axis=1) + np.arange(a, b)
+    grams = window_hashes(h, d.minimizer)
+    # only the leading bits take part, the same ones in a text of any length
+    best = smallest_in_windows((grams >> U(32)) << U(32), d.window - d.minimizer + 1)
     first = np.flatnonzero(np.append(True, best[1:] != best[:-1]))
     return first, np.diff(np.append(first, n)), grams[best[first]]
 
@@ -59,11 +66,10 @@ def shared_runs(docs: DataFrame, parts: int, d: Dedup) -> DataFrame:
     """text_key and first window of the runs whose minimizer occurs more than once."""
 
     def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes()
         for batch in batches:
             keys, owners, places = [], [], []
             for own, text in zip(batch["text_key"], batch["text"]):
-                first, _, key = runs(hashed(words_of(text)), d)
+                first, _, key = runs(word_hashes(as_bytes(text)), d)
                 keys.append(key)
                 owners.append(np.full(len(key), own, dtype=np.int64))
                 places.append(first)
@@ -109,17 +115,17 @@ def run_words(docs: DataFrame, shared: DataFrame, d: Dedup) -> DataFrame:
     texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(per_text, "text_key").dropDuplicates(["text_key"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes()
         for batch in batches:
             rows = []
             for own, text, places in zip(batch["text_key"], batch["text"], batch["places"]):
-                h = hashed(words_of(text))
+                h = word_hashes(as_bytes(text))
                 first, size, key = runs(h, d)
                 at = np.searchsorted(first, np.unique(np.asarray(places, dtype=np.int64)))
-                for a, n, k in zip(first[at].tolist(), size[at].tolist(), key[at].view(np.int64).tolist()):
-                    words = h[a : a + n + d.window - 1]
-                    content = mix(np.array([np.add.reduce(mix(words + mix(np.arange(len(words), dtype=U))))], dtype=U))
-                    rows.append((own, a, k, content.view(np.int64)[0], words.tobytes()))
+                first, key = first[at], key[at].view(np.int64)
+                stop = first + size[at] + d.window - 1
+                content = span_hashes(h, first, stop).view(np.int64)
+                for a, b, k, c in zip(first.tolist(), stop.tolist(), key.tolist(), content.tolist()):
+                    rows.append((own, a, k, c, h[a:b].tobytes()))
             yield pd.DataFrame(rows, columns=["text_key", "place", "minimizer", "content", "words"])
 
     schema = "text_key long, place int, minimizer long, content long, words binary"
@@ -207,10 +213,9 @@ def _single_windows(different: DataFrame, shards: int, search, d: Dedup) -> Data
             rows = []
             for content, copies, raw in zip(batch["content"], batch["copies"], batch["words"]):
                 w = np.frombuffer(raw, dtype=U)
-                for a in range(len(w) - d.window + 1):
-                    own = w[a : a + d.window]
-                    key = mix(np.array([np.add.reduce(mix(own + mix(np.arange(d.window, dtype=U))))], dtype=U)).view(np.int64)[0]
-                    rows.append((content, a, key, copies, own.tobytes()))
+                keys = window_hashes(w, d.window).view(np.int64)
+                for a, key in enumerate(keys.tolist()):
+                    rows.append((content, a, key, copies, w[a : a + d.window].tobytes()))
             yield pd.DataFrame(rows, columns=["run", "first", "content", "copies", "words"])
 
     windows = different.mapInPandas(cut, "run long, first int, content long, copies long, words binary")
@@ -222,21 +227,23 @@ def _single_windows(different: DataFrame, shards: int, search, d: Dedup) -> Data
     return back.select(F.col("run").alias("content"), "first", (F.col("first") + d.window - 1).alias("last"))
 
 
-def removed(docs: DataFrame, d: Dedup = Dedup()) -> DataFrame:
+def removed(docs: DataFrame, d: Dedup = Dedup(), carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, text, n_words, n_removed and kept (the words left, joined by a space) of every row of ``docs``.
 
     Windows are judged on the input. Nulls: a null text has no words and kept is empty; a null doc_id is a document like
     any other. A text with fewer words than a window loses nothing. Repeated rows are copies of each other: all their
-    words go if they fill a window. An empty table gives an empty table. Other columns are not carried.
+    words go if they fill a window. An empty table gives an empty table. Other columns are not carried, unless ``carry``
+    names them.
     """
     base = docs.select("doc_id", "text")
-    # a lower bound of two characters a word keeps the parts near their size without a pass over the words
+    # runs per text, from its characters: six a word and 13 windows a run
     chars = base.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shared = shared_runs(base, max(1, int(chars) // 80 // d.part), d)
     found = written(run_words(base, shared, d), "dedup-found")
-    spans = repeats(found, d).groupBy("text_key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    spans = repeats(found, d).groupBy("text_key").agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
     copies = base.groupBy(F.xxhash64("text").alias("_k"), F.md5("text").alias("_m")).count().where("count > 1")
-    keyed = base.withColumns({"_k": F.xxhash64("text"), "_m": F.md5("text")})
+    rows = docs.select("doc_id", "text", *[F.col(c) for c in carry])
+    keyed = rows.withColumns({"_k": F.xxhash64("text"), "_m": F.md5("text")})
     keyed = keyed.join(copies.select("_k", "_m", F.lit(True).alias("_copy")), ["_k", "_m"], "left")
     keyed = keyed.join(spans, F.col("_k") == F.col("text_key"), "left")
 
@@ -255,5 +262,5 @@ def removed(docs: DataFrame, d: Dedup = Dedup()) -> DataFrame:
             rows.append((len(words), int(gone.sum()), kept))
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
-    out = keyed.withColumn("_r", strip("text", "spans", "_copy"))
-    return out.select("doc_id", "text", "_r.n_words", "_r.n_removed", "_r.kept")
+    out = keyed.withColumn("_r", strip("text", "_spans", "_copy"))
+    return out.select("doc_id", "text", *[F.col(c) for c in carry], "_r.n_words", "_r.n_removed", "_r.kept")

@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from supplylens.llm import fingerprint, language_id, mixing, nearest, ngram_join, packing, ppm, queries, substring_dedup
-from supplylens.llm.common import WordHashes, fold, lower_words, read
+from supplylens.llm import common
+from supplylens.llm.common import fold, read
 from supplylens.llm.fm_index import FMIndex
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -348,7 +349,23 @@ def test_empty_tables(no_documents):
     assert packing.packed(no_documents).count() == 0
 
 
-def test_words_split_where_the_pattern_splits():
-    text = "a\x0bb\x0cc\x1cd\x85e\u00a0f\u2003g \tH\r\n"
-    assert [w.decode() for w in lower_words(text)] == brute.WORD.findall(brute.lower(text))
-    assert len(WordHashes()(lower_words(text))) == len(brute.WORD.findall(text))
+def test_words_split_where_the_pattern_splits(monkeypatch):
+    text = "a\x0bb\x0cc\x1cd\x85e\u00a0f\u2003g \tH a\r\n"
+    words = brute.WORD.findall(brute.lower(text))
+    raw = common.as_bytes(text).translate(common.LOWER)
+    assert [w.decode() for w in raw.split()] == words
+    assert len(set(common.word_hashes(raw).tolist())) == len(set(words))
+    rng = random.Random(0)
+    raw = b" ".join(bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 30))) for _ in range(400)) + b"  "
+    whole = common.word_hashes(raw)
+    by_word = [common.word_hashes(w)[0] for w in raw.split()]
+    assert whole.tolist() == by_word and len(set(by_word)) == len(set(raw.split()))
+    monkeypatch.setattr(common, "_SEGMENT", 16)
+    assert common.word_hashes(raw).tolist() == by_word
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5), min_size=4, max_size=40), st.integers(1, 4))
+def test_smallest_in_windows(values, width):
+    got = substring_dedup.smallest_in_windows(np.array(values, dtype=np.uint64) << np.uint64(32), width)
+    assert got.tolist() == [i + int(np.argmin(values[i : i + width])) for i in range(len(values) - width + 1)]
