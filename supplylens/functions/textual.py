@@ -16,6 +16,12 @@ BARE_SQL = r"(?i)(SELECT\s+[\s\S]{10,}?FROM\s+\S+[\s\S]*?)(?:\n\n|\z)"
 PIPE_TABLE = r"(\|[^\n]+\|\n\|[\s\-:|]+\|\n(?:\|[^\n]+\|\n?)+)"
 SECTION_BREAK = r"\n(?=(?:#{1,3}\s|\d+\.\s*\*\*))"
 SECTION_HEAD = r"^(?:#{1,3}\s*|\d+\.\s*\*\*)(.*?)(?:\*\*)?$"
+SAID_EXACT = r"(\d+)\s+(?:of|out of)\s+(?:the\s+)?(\d+)\b.*?EXACT"
+SAID_COUNT = r"(\d+)\s+(?:(?:metrics?\s+)?(?:were|as)\s+)?"
+SAID_NONE = r"\bno\s+"
+LISTED_EXACT = r":\s*EXACT\b"
+LISTED_MISSING = r":\s*NOT_FOUND\b"
+DATE_LITERAL = r"20\d{2}-\d{2}-\d{2}"
 STATUS_WORDS = {"exact": "EXACT", "close": "CLOSE", "miss": "MISS"}
 METRIC_LABELS = {
     "revenue_aug": r"(?:August|Aug).*?(?:revenue|total)[:\s]*\$?([\d,]+\.?\d*)",
@@ -42,6 +48,11 @@ METRIC_LABELS = {
 }
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def to_number(token: Column) -> Column:
     """Token to double, thousands commas removed; null when it is not a number."""
     return F.replace(token, F.lit(","), F.lit("")).try_cast("double")
@@ -62,12 +73,11 @@ def labelled_value(text: Column, label: str) -> Column:
     return to_number(F.nullif(F.regexp_extract(text, "(?i)" + METRIC_LABELS[label], 1), F.lit("")))
 
 
-def sql_blocks(text: Column, limit: int = 3, fallback_limit: int = 2) -> Column:
-    """Fenced SQL blocks, or else bare statements longer than 30 characters."""
+def sql_blocks(text: Column) -> Column:
+    """Every fenced SQL block, or else every bare statement."""
+    bare = F.transform(F.regexp_extract_all(text, F.lit(BARE_SQL), F.lit(1)), stripped)
     fenced = F.regexp_extract_all(text, F.lit(FENCED_SQL), F.lit(1))
-    bare = F.transform(F.regexp_extract_all(text, F.lit(BARE_SQL), F.lit(1)), lambda s: s)
-    long = F.transform(F.filter(bare, lambda s: F.length(s) > 30), stripped)
-    return F.slice(F.when(F.size(fenced) > 0, fenced).otherwise(F.slice(long, 1, fallback_limit)), 1, limit)
+    return let(fenced, lambda found: F.when(F.size(found) > 0, found).otherwise(bare))
 
 
 def without_edge_pipes(line: Column) -> Column:
@@ -94,11 +104,6 @@ def section_title(section: Column, position: Column) -> Column:
     return F.when(head.rlike(SECTION_HEAD), named).otherwise(F.concat(F.lit("section_"), position.cast("string")))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, however often the body reads it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def last_sections(text: Column) -> Column:
     """Array of (title, pos, body), one per title, the last body of a repeated title.
 
@@ -117,7 +122,7 @@ def last_sections(text: Column) -> Column:
     )
 
 
-def requoted(sql: Column, regions: list[str], date_pattern: str = r"20\d{2}-\d{2}-\d{2}") -> Column:
+def requoted(sql: Column, regions: list[str], date_pattern: str = DATE_LITERAL) -> Column:
     """Quotes put back around region names and date literals."""
     names = "|".join(regions)
     quoted = F.regexp_replace(sql, rf"=\s*({names})\b", "= '$1'")
@@ -134,20 +139,19 @@ def narrated_counts(narration: Column, total: Column) -> dict[str, Column]:
     clean = F.replace(narration, F.lit("**"), F.lit(""))
     first = lambda pattern: F.regexp_extract(clean, pattern, 1).try_cast("bigint")
     zero = F.lit(0).cast("bigint")
-    said = lambda word: r"(\d+)\s+(?:(?:metrics?\s+)?(?:were|as)\s+)?" + word
 
     def bounded(word: str, absent: str) -> Column:
-        count = first(said(word))
+        count = first(SAID_COUNT + word)
         value = F.coalesce(F.when(count <= total, count), zero)
-        return F.when(clean.rlike(rf"\bno\s+{absent}"), zero).otherwise(value)
+        return F.when(clean.rlike(SAID_NONE + absent), zero).otherwise(value)
 
-    exact = F.coalesce(first(r"(\d+)\s+(?:of|out of)\s+(?:the\s+)?(\d+)\b.*?EXACT"), zero)
+    exact = F.coalesce(first(SAID_EXACT), zero)
     close, miss = bounded("CLOSE", "CLOSE"), bounded("MISS(?!_)", "MISS")
     missing = bounded("NOT_FOUND", "NOT_FOUND")
     missing = F.when((exact > 0) & (close + miss + missing == 0), F.greatest(zero, total - exact)).otherwise(missing)
     nothing = exact + close + miss + missing == 0
-    listed_exact = F.regexp_count(clean, F.lit(r":\s*EXACT\b")).cast("bigint")
-    listed_missing = F.regexp_count(clean, F.lit(r":\s*NOT_FOUND\b")).cast("bigint")
+    listed_exact = F.regexp_count(clean, F.lit(LISTED_EXACT)).cast("bigint")
+    listed_missing = F.regexp_count(clean, F.lit(LISTED_MISSING)).cast("bigint")
     unlisted = listed_exact + listed_missing == 0
     return {
         "exact": F.when(nothing, listed_exact).otherwise(exact),

@@ -64,14 +64,16 @@ def eval_history(items: DataFrame, evaluations: DataFrame) -> DataFrame:
     attributes = items.select("action_id", "title", "domain", "category")
     joined = skew_safe_join(evaluations, attributes, "action_id", "evaluation_id")
     return joined.select(
-        "title", "domain", "category", "recommendation", "practicality_score", "evaluated_at", "reasoning"
+        "title", "domain", "category", "recommendation", "practicality_score", "evaluated_at", "reasoning", "risks"
     )
 
 
 def evaluated_actions(items: DataFrame, evaluations: DataFrame) -> DataFrame:
     attributes = items.select("action_id", "title", "domain", "priority")
     joined = skew_safe_join(evaluations, attributes, "action_id", "evaluation_id")
-    return joined.select("action_id", "title", "domain", "priority", "recommendation", "practicality_score")
+    return joined.select(
+        "action_id", "title", "domain", "priority", "recommendation", "practicality_score", "risks", "pros", "cons"
+    )
 
 
 def domain_summary(items: DataFrame, evaluations: DataFrame) -> DataFrame:
@@ -112,12 +114,18 @@ def change_rows(pairs: DataFrame) -> DataFrame:
     )
 
 
-def pending_unevaluated(items: DataFrame, evaluations: DataFrame, run_id: str | None = None) -> DataFrame:
+def pending_unevaluated(
+    items: DataFrame, evaluations: DataFrame, run_id: str | None = None, again: bool = False
+) -> DataFrame:
+    """Waiting actions nobody has evaluated; with ``again`` all waiting ones, to be evaluated anew."""
     waiting = C.filter_dimension(items, status="PENDING")
     if run_id:
         waiting = C.filter_dimension(waiting, run_id=run_id)
-    columns = ["action_id", "category", "domain", "title", "priority"]
-    return without_counterpart(waiting, evaluations, "action_id").select(*columns).orderBy("priority", "action_id")
+    if not again:
+        waiting = without_counterpart(waiting, evaluations, "action_id")
+    return waiting.select(
+        "action_id", "category", "domain", "title", "description", "specific_steps", "expected_impact", "priority"
+    )
 
 
 def history_deltas(history: DataFrame) -> DataFrame:
@@ -129,12 +137,12 @@ def history_deltas(history: DataFrame) -> DataFrame:
         "success_rating",
         M.dollars(F.col("cost_cents")).alias("cost_usd"),
         (zero("metric_after") - zero("metric_before")).alias("metric_delta"),
-    ).orderBy(F.col("action_date").desc(), F.col("history_id").desc())
+    )
 
 
 def money_text(cents: Column) -> Column:
-    """Currency rounded to whole units with thousands separators."""
-    return F.concat(F.lit("$"), F.format_number(F.round(cents / F.lit(100.0), 0).cast("bigint"), 0))
+    """Currency rounded half to even to whole units, with thousands separators."""
+    return F.concat(F.lit("$"), F.format_number(cents / F.lit(100.0), 0))
 
 
 def history_display(history: DataFrame) -> DataFrame:
@@ -148,14 +156,14 @@ def history_display(history: DataFrame) -> DataFrame:
         "success_rating",
         "metric_name",
         F.concat(before, F.lit(" → "), after).alias("metric_change"),
-    ).orderBy(F.col("action_date").desc(), F.col("history_id").desc())
+    )
 
 
 def precedent_lines(history: DataFrame) -> DataFrame:
-    """One text line per past action, newest first.
+    """One text line per past action.
 
     The lines stay rows: gluing a growing history into one string would pull the
-    whole table into one task, and a reader of the sorted rows gets the same text.
+    whole table into one task, and a reader who sorts them by date gets the same text.
     """
     zero = lambda name: F.coalesce(F.col(name), F.lit(0))
     delta = zero("metric_after") - zero("metric_before")
@@ -164,12 +172,10 @@ def precedent_lines(history: DataFrame) -> DataFrame:
         F.lit(" ("), money_text(F.col("cost_cents")), F.lit("): "), F.col("metric_name"), F.lit(" "),
         F.coalesce(F.col("metric_before").cast("string"), F.lit("None")), F.lit("→"),
         F.coalesce(F.col("metric_after").cast("string"), F.lit("None")),
-        F.lit(" ("), F.when(delta >= 0, "+").otherwise("-"), F.abs(delta).cast("string"), F.lit(".0). Lesson: "),
-        F.substring("lessons_learned", 1, 150),
-    )
-    return history.select("history_id", "action_date", line.alias("line")).orderBy(
-        F.col("action_date").desc(), F.col("history_id").desc()
+        F.lit(" ("), F.format_string("%+.1f", delta.cast("double")), F.lit("). Lesson: "),
+        F.col("lessons_learned"),
     )
+    return history.select("history_id", "action_date", line.alias("line"))
 
 
 def actions_with_decisions(tracker: DataFrame, decisions: DataFrame) -> DataFrame:

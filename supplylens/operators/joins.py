@@ -67,9 +67,12 @@ def fk_orphans(name: str, child: DataFrame, column: str, parent: DataFrame, pare
 
 
 def alias_values(df: DataFrame, column: str, aliases: dict[str, str], known: list[str], name: str) -> DataFrame:
-    """Map spoken values to stored ones: alias table first, then a prefix of a known value."""
+    """Map spoken values to stored ones: alias table first, then a prefix that fits one known value only.
+
+    A blank value, or one that fits several, stays null.
+    """
     spoken = F.lower(F.trim(F.col(column)))
     pairs = [F.lit(x) for item in aliases.items() for x in item]
     mapped: Column = F.try_element_at(F.create_map(*pairs), spoken) if pairs else F.lit(None).cast("string")
-    guesses = [F.when(F.lower(F.lit(v)).startswith(spoken), F.lit(v)) for v in known]
-    return df.withColumn(name, F.coalesce(mapped, *guesses))
+    fits = F.filter(F.array(*[F.lit(v) for v in known]), lambda v: F.startswith(F.lower(v), spoken) & (spoken != ""))
+    return df.withColumn(name, F.coalesce(mapped, F.when(F.size(fits) == 1, F.try_element_at(fits, F.lit(1)))))

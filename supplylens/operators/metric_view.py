@@ -63,9 +63,8 @@ def match_terms(df: DataFrame, text: str, terms: list[tuple[str, ...]], names: l
         ]
     )
     hits = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(phrase_pattern(phrases)), F.lit(1)))
-    found = df.withColumn("_hits", hits).where(F.size("_hits") > 0)
-    held = F.array_distinct(F.flatten(F.transform("_hits", lambda hit: F.element_at(inside, hit))))
-    return found.withColumn("_term", F.explode(held)).select(*df.columns, "_term.*")
+    held = F.array_distinct(F.flatten(F.transform(hits, lambda hit: F.element_at(inside, hit))))
+    return df.select(*df.columns, F.explode(held).alias("_term")).select(*df.columns, "_term.*")
 
 
 def phrase_pattern(phrases: set[str]) -> str:

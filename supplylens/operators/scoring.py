@@ -82,16 +82,9 @@ def score_coverage(df: DataFrame, expected: str = "expected", close: float = 0.0
     return scored.select(*[c for c in df.columns if c not in ("_nums", "_abs")], verdict.alias("status"), "found", "closest")
 
 
-def with_expected(texts: DataFrame, expected: DataFrame, id_col: str = "id", value_col: str = "expected") -> DataFrame:
-    """Every text next to every row of a reference list.
-
-    The list is a fixed set of named metrics (tens of rows), read as one array by a
-    scalar subquery and exploded in place, so the texts are neither joined nor shuffled.
-    """
-    entries = expected.select(
-        F.sort_array(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(value_col).alias("expected"))))
-    ).scalar()
-    return texts.withColumn("_e", F.explode(entries)).select(*texts.columns, "_e.*")
+def with_expected(texts: DataFrame, expected: DataFrame, on: list[str]) -> DataFrame:
+    """Every text next to the values expected of its group: ``expected`` has the key columns, id and expected."""
+    return texts.join(expected.select(*on, "id", "expected"), on)
 
 
 def values_match(actual: Column, expected: Column, tolerance: float = 0.01) -> Column:
@@ -164,22 +157,19 @@ def failing_subset(tests: DataFrame, results: DataFrame, keys: list[str]) -> Dat
     return tests.join(failed, keys, "left_semi")
 
 
-def verify_views(checks: DataFrame, truth: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Each check's value against the first truth metric whose name holds its keyword.
+def verify_views(checks: DataFrame, truth: DataFrame, metrics: list[str], tolerance: float = 0.01) -> DataFrame:
+    """Each check's value against the first truth metric, by name, that holds its keyword.
 
-    The truth is a fixed list of named metrics, attached as one array.
+    ``metrics`` are the declared names of the truth. A keyword is resolved among them as an expression, so that
+    the values meet by an equi-join.
     """
-    entries = truth.select(F.sort_array(F.collect_list(F.struct("metric", "value")))).scalar()
-    named = F.lower(F.col("_m.metric")).contains(F.lower(F.col("keyword")))
-    looked = (
-        checks.withColumn("_m", F.explode(entries))
-        .groupBy("keyword", "actual")
-        .agg(F.min(F.when(named, F.col("_m"))).alias("_t"))
-    )
+    keyword = F.lower(F.col("keyword"))
+    named = F.coalesce(*[F.when(F.lower(F.lit(m)).contains(keyword), F.lit(m)) for m in sorted(metrics)])
+    looked = checks.withColumn("metric", named).join(truth.select("metric", F.col("value").alias("expected")), "metric", "left")
     return looked.select(
         "keyword",
-        F.col("_t.metric").alias("metric"),
-        F.col("actual"),
-        F.col("_t.value").alias("expected"),
-        F.when(values_match(F.col("actual"), F.col("_t.value"), tolerance), "EXACT").otherwise("MISS").alias("status"),
+        "metric",
+        "actual",
+        "expected",
+        F.when(values_match(F.col("actual"), F.col("expected"), tolerance), "EXACT").otherwise("MISS").alias("status"),
     )

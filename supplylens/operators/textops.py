@@ -6,48 +6,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplylens.functions import textual as X
-from supplylens.operators.windows import previous_within_key
+from supplylens.operators.windows import index_within_key, previous_within_key
 
-TURNS_PER_PART = 1000
+#: Turns ranked together; the border between two such blocks shows in no result.
+TURNS_PER_BLOCK = 1000
 
 
-def assistant_text(messages: DataFrame, role: str = "assistant", turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """Assistant messages of a conversation glued in turn order.
+def assistant_text(messages: DataFrame, role: str = "assistant", turns_per_block: int = TURNS_PER_BLOCK) -> DataFrame:
+    """Assistant messages of every conversation in turn order: conv_id, position, turn, text.
 
-    A part covers ``turns_per_part`` turn numbers, so an ordinary conversation is
-    one part holding its whole text while an endless one becomes many parts in
-    order; nothing is cut and no task ever gathers an unbounded conversation.
+    The messages stay rows, so an endless conversation is never gathered in one task; read by
+    position they are the conversation's text.
     """
     said = messages.where(F.col("role") == role)
-    part = F.floor(F.col("turn") / turns_per_part).cast("bigint")
-    gathered = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    return said.groupBy("conv_id", part.alias("part")).agg(
-        F.array_join(F.transform(gathered, lambda m: m["text"]), "\n").alias("text"),
-        F.count("*").alias("messages"),
-    )
+    block = F.floor(F.col("turn") / turns_per_block).cast("bigint")
+    return index_within_key(said, ["conv_id"], block, ["turn"], "position").select("conv_id", "position", "turn", "text")
 
 
 def text_after_exclusion(
     messages: DataFrame,
     marker_roles: list[str],
     marker_texts: list[str],
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_block: int = TURNS_PER_BLOCK,
 ) -> DataFrame:
-    """Assistant text without excluded messages.
+    """Assistant messages in order without the excluded ones.
 
-    A tool call in ``marker_roles`` or an assistant message carrying a marker text
-    excludes the assistant message that follows; the carrier itself goes too.
+    A call in ``marker_roles`` or an assistant message carrying a marker text excludes the assistant
+    message that follows it directly; the carrier itself goes too. Every role but the user's is a call,
+    and any call in between lifts the mark.
     """
     assistant = F.col("role") == "assistant"
     carries = F.lit(False)
     for marker in marker_texts:
         carries = carries | F.col("text").contains(marker)
     calls = F.col("role").isin(marker_roles)
-    relevant = messages.where(assistant | calls).withColumn("_marks", calls | (assistant & carries))
-    block = F.floor(F.col("turn") / turns_per_part).cast("bigint")
+    relevant = messages.where(F.col("role") != "user").withColumn("_marks", calls | (assistant & carries))
+    block = F.floor(F.col("turn") / turns_per_block).cast("bigint")
     judged = previous_within_key(relevant, ["conv_id"], block, ["turn"], "_marks", "_after_mark")
     kept = judged.where(assistant & ~F.col("_marks") & ~F.coalesce("_after_mark", F.lit(False)))
-    return assistant_text(kept.select("conv_id", "turn", "role", "text"), turns_per_part=turns_per_part)
+    return assistant_text(kept.select("conv_id", "turn", "role", "text"), turns_per_block=turns_per_block)
 
 
 def role_call_counts(messages: DataFrame) -> DataFrame:
@@ -147,11 +144,15 @@ ACTION_LIST = (
 )
 
 
-def parse_action_json(df: DataFrame, run: str, json: str) -> DataFrame:
-    """Action rows from a JSON list, an object with an "actions" list, or one object."""
+def parse_action_json(df: DataFrame, run: str, json: str, stamp: Column | None = None) -> DataFrame:
+    """Action rows from a JSON list, an object with an "actions" list, or one object.
+
+    ``stamp`` is the time of creation, now if none is given.
+    """
+    df = df.withColumn("_stamp", F.current_timestamp() if stamp is None else stamp)
     listed = F.coalesce(F.get_json_object(F.col(json), "$.actions"), F.col(json))
     parsed = F.from_json(listed, ACTION_LIST)
-    rows = df.select(run, F.posexplode(parsed).alias("_i", "_a"))
+    rows = df.select(run, "_stamp", F.posexplode(parsed).alias("_i", "_a"))
     number = F.col("_i") + 1
     text = lambda name, missing: F.coalesce(F.col(f"_a.{name}"), F.lit(missing)).alias(name)
     return rows.select(
@@ -166,4 +167,6 @@ def parse_action_json(df: DataFrame, run: str, json: str) -> DataFrame:
         text("expected_impact", ""),
         F.coalesce(F.col("_a.priority"), number).cast("bigint").alias("priority"),
         F.lit("PENDING").alias("status"),
+        F.col("_stamp").alias("created_at"),
+        F.col("_stamp").alias("updated_at"),
     )

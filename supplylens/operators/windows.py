@@ -110,11 +110,6 @@ def with_share_of_total(grouped: DataFrame, value: str, name: str, digits: int |
     return grouped.withColumn(name, share if digits is None else F.round(share, digits))
 
 
-def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
-    so_far = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.sum(value).over(so_far))
-
-
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplylens.functions import calendar as C
@@ -219,17 +219,17 @@ def continent_ontime_mean(scorecard: DataFrame) -> DataFrame:
     return mean_of_group_means(scorecard, ["risk_tier"], "continent", "on_time_pct", "mean_otd")
 
 
-# Fiscal quarter targets (quarter, calendar months, service level,
-# on-time delivery, fill rate), fiscal year starting in July.
+# Fiscal quarter targets (quarter, year, calendar months, service level, on-time delivery, fill rate,
+# description), fiscal year starting in July.
 FISCAL_TARGETS = [
-    ("Q1", "Jul, Aug, Sep", 92.0, 85.0, 90.0),
-    ("Q2", "Oct, Nov, Dec", 93.0, 88.0, 92.0),
-    ("Q3", "Jan, Feb, Mar", 95.0, 92.0, 95.0),
-    ("Q4", "Apr, May, Jun", 94.0, 90.0, 93.0),
+    ("Q1", 2027, "Jul 2026, Aug 2026, Sep 2026", 92.0, 85.0, 90.0, "FY2027 Q1: Ramp-up quarter."),
+    ("Q2", 2027, "Oct 2026, Nov 2026, Dec 2026", 93.0, 88.0, 92.0, "FY2027 Q2: Holiday season."),
+    ("Q3", 2027, "Jan 2027, Feb 2027, Mar 2027", 95.0, 92.0, 95.0, "FY2027 Q3: Peak performance target. Service level = 95%."),
+    ("Q4", 2027, "Apr 2027, May 2027, Jun 2027", 94.0, 90.0, 93.0, "FY2027 Q4: Wind-down quarter."),
 ]
 FISCAL_SCHEMA = (
-    "fiscal_quarter string, calendar_months string, service_level_target_pct double, "
-    "on_time_delivery_target_pct double, fill_rate_target_pct double"
+    "fiscal_quarter string, fiscal_year int, calendar_months string, service_level_target_pct double, "
+    "on_time_delivery_target_pct double, fill_rate_target_pct double, description string"
 )
 
 
@@ -237,6 +237,12 @@ def fiscal_targets(spark) -> DataFrame:
     return spark.createDataFrame(FISCAL_TARGETS, FISCAL_SCHEMA)
 
 
+def renewed_targets(targets: DataFrame, first: Column, last: Column) -> DataFrame:
+    """The same targets set again for every fiscal year from ``first`` to ``last``."""
+    years = F.explode(F.sequence(first, last)).alias("fiscal_year")
+    return targets.drop("fiscal_year", "calendar_months", "description").select("*", years)
+
+
 def service_level_gap(sales: DataFrame, targets: DataFrame) -> DataFrame:
     """Service level of every fiscal quarter against its target, with a colour band."""
     quarterly = sales.groupBy(
@@ -245,7 +251,9 @@ def service_level_gap(sales: DataFrame, targets: DataFrame) -> DataFrame:
     ).agg(M.ratio_pct(M.sum_flag(F.col("order_status") == derive.FULFILLED), F.count("*"), 1).alias("service_level_pct"))
     gap = F.round(F.col("service_level_target_pct") - F.col("service_level_pct"), 1)
     return (
-        quarterly.join(targets.select("fiscal_quarter", "service_level_target_pct"), "fiscal_quarter")
+        quarterly.join(
+            targets.select("fiscal_year", "fiscal_quarter", "service_level_target_pct"), ["fiscal_year", "fiscal_quarter"]
+        )
         .withColumn("gap", gap)
         .withColumn("band", M.percentage_gap_band(F.col("gap")))
     )

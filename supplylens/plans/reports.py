@@ -81,8 +81,8 @@ def breached_totals(slas: DataFrame) -> DataFrame:
 def supplier_risk_scorecard(suppliers: DataFrame, lead_times: DataFrame, slas: DataFrame) -> DataFrame:
     """Composite score per supplier; a low score is risky.
 
-    ``lead_times`` is read for its newest month and for that month's rows, so pass
-    a stored table or a checkpointed DataFrame.
+    ``lead_times`` is read for its newest month and for that month's rows, so pass a
+    stored table or the lead times of the newest month alone.
     """
     latest = C.latest_period_rows(lead_times, "month").select(
         "supplier_id", "avg_actual_lead_time_days", "lead_time_variance_days", "on_time_delivery_pct"

@@ -11,8 +11,9 @@ from supplylens.registry.ctes import LAST, with_tables
 from supplylens.sources import tables as T
 from supplylens.session import new_folder
 
-TRACKER_COLUMNS = """action_id, category, timeframe, domain, title, priority, action_status, recommendation,
-    practicality_score, reasoning, evaluated_at, created_at, status_color, risk_level"""
+TRACKER_COLUMNS = """action_id, category, timeframe, domain, title, description, specific_steps, expected_impact,
+    priority, action_status, recommendation, practicality_score, reasoning, risks, pros, cons, cost_estimate,
+    evaluated_at, created_at, status_color, risk_level"""
 
 
 def tracker(t):
@@ -29,28 +30,27 @@ def _(t):
 
 
 @query("eval_history", with_tables("items evals", """SELECT title, domain, category, recommendation,
-    practicality_score, evaluated_at, reasoning FROM evals e JOIN items i ON e.action_id = i.action_id"""))
+    practicality_score, evaluated_at, reasoning, risks FROM evals e JOIN items i ON e.action_id = i.action_id"""))
 def _(t):
-    return A.eval_history(t.action_items(), t.action_evaluations()).orderBy("title", "evaluated_at")
+    return A.eval_history(t.action_items(), t.action_evaluations())
 
 
 @query("domain_summary", with_tables("items evals", """SELECT domain, category, COUNT(*) AS action_count,
-    COUNT(*) FILTER (recommendation = 'PROCEED') AS proceed_count,
-    COUNT(*) FILTER (recommendation = 'PROCEED_WITH_CAUTION') AS caution_count,
-    COUNT(*) FILTER (recommendation = 'DEFER') AS defer_count,
-    COUNT(*) FILTER (recommendation = 'REJECT') AS reject_count,
+    COUNT(CASE WHEN recommendation = 'PROCEED' THEN 1 END) AS proceed_count,
+    COUNT(CASE WHEN recommendation = 'PROCEED_WITH_CAUTION' THEN 1 END) AS caution_count,
+    COUNT(CASE WHEN recommendation = 'DEFER' THEN 1 END) AS defer_count,
+    COUNT(CASE WHEN recommendation = 'REJECT' THEN 1 END) AS reject_count,
     ROUND(AVG(practicality_score), 2) AS avg_practicality
-    FROM items LEFT JOIN (SELECT * FROM evals WHERE rn = 1) USING (action_id) GROUP BY ALL"""))
+    FROM items i LEFT JOIN evals e ON i.action_id = e.action_id AND e.rn = 1 GROUP BY domain, category"""))
 def _(t):
     return A.domain_summary(t.action_items(), t.action_evaluations())
 
 
-CHANGES_SQL = """SELECT action_id, title, prev_rec, recommendation AS curr_rec, ROUND(prev_score, 2) AS prev_score,
-    ROUND(practicality_score, 2) AS curr_score, IF(prev_rec = recommendation, 'STABLE', 'CHANGED') AS status
-    FROM (SELECT action_id, rn, recommendation, practicality_score, LEAD(recommendation) OVER older AS prev_rec,
-        LEAD(practicality_score) OVER older AS prev_score FROM evals
-        WINDOW older AS (PARTITION BY action_id ORDER BY rn)) JOIN items USING (action_id)
-    WHERE rn = 1 AND prev_rec IS NOT NULL"""
+CHANGES_SQL = """SELECT i.action_id, i.title, p.recommendation AS prev_rec, c.recommendation AS curr_rec,
+    ROUND(p.practicality_score, 2) AS prev_score, ROUND(c.practicality_score, 2) AS curr_score,
+    CASE WHEN p.recommendation <> c.recommendation THEN 'CHANGED' ELSE 'STABLE' END AS status
+    FROM items i JOIN evals c ON c.action_id = i.action_id AND c.rn = 1
+    JOIN evals p ON p.action_id = i.action_id AND p.rn = 2"""
 
 
 @query("recommendation_changes", with_tables("items evals", CHANGES_SQL))
@@ -59,19 +59,26 @@ def _(t):
 
 
 @query("nth_latest_per_key", with_tables("evals", """SELECT evaluation_id, action_id, evaluated_at, recommendation,
-    practicality_score, reasoning FROM evals WHERE rn = 2"""))
+    practicality_score, reasoning, risks, pros, cons, cost_estimate FROM evals WHERE rn = 2"""))
 def _(t):
     return nth_latest_per_key(t.action_evaluations(), ["action_id"], A.NEWEST, 2)
 
 
-@query("pending_unevaluated", with_tables("items evals", """SELECT action_id, category, domain, title, priority
-    FROM items WHERE status = 'PENDING' AND action_id NOT IN (SELECT action_id FROM evals
-    WHERE recommendation = 'PROCEED' AND practicality_score > 0.9)"""))
+PENDING_SQL = """SELECT c_custkey AS action_id, 'SHORT_TERM' AS category, 'demand' AS domain, 'Call ' || c_name AS title,
+    'Segment ' || c_mktsegment AS description, 'Ask ' || c_name AS specific_steps,
+    'Keeps ' || c_mktsegment AS expected_impact, c_custkey % 10 + 1 AS priority FROM customer
+    WHERE c_custkey % 4 < 2"""
+
+
+@query("pending_unevaluated", f"{PENDING_SQL} AND c_custkey NOT IN (SELECT user_id FROM events)")
 def _(t):
-    strong = t.action_evaluations().where(
-        (F.col("recommendation") == "PROCEED") & (F.col("practicality_score") > 0.9)
-    )
-    return A.pending_unevaluated(t.action_items(), strong)
+    return A.pending_unevaluated(t.customer_actions(), t.action_evaluations())
+
+
+@query("pending_again", f"{PENDING_SQL} AND c_custkey % 3 = 1")
+def _(t):
+    """All waiting actions of one run, evaluated or not."""
+    return A.pending_unevaluated(t.customer_actions(), t.action_evaluations(), "run_1", again=True)
 
 
 @query("context_snapshot", with_tables("inv po sales", f"""SELECT
@@ -91,7 +98,7 @@ def _(t):
     return A.history_deltas(t.action_history())
 
 
-MONEY_SQL = "'$' || format('{:,}', CAST(ROUND(cost_cents / 100.0, 0) AS BIGINT))"
+MONEY_SQL = "'$' || format('{:,}', CAST(round_even(cost_cents / 100.0, 0) AS BIGINT))"
 
 
 @query("history_display", with_tables("history", f"""SELECT history_id, action_date, domain, title,
@@ -104,9 +111,8 @@ def _(t):
 @query("precedent_summary", with_tables("history", f"""SELECT history_id, action_date,
     '- [' || success_rating || '] ' || title || ' (' || {MONEY_SQL} || '): ' || metric_name || ' '
     || COALESCE(CAST(metric_before AS VARCHAR), 'None') || '→' || CAST(metric_after AS VARCHAR)
-    || ' (' || CASE WHEN metric_after - COALESCE(metric_before, 0) >= 0 THEN '+' ELSE '' END
-    || CAST(metric_after - COALESCE(metric_before, 0) AS VARCHAR) || '.0). Lesson: '
-    || substr(lessons_learned, 1, 150) AS line FROM history"""))
+    || format(' ({{:+.1f}}). Lesson: ', CAST(metric_after - COALESCE(metric_before, 0) AS DOUBLE))
+    || lessons_learned AS line FROM history"""))
 def _(t):
     return A.precedent_lines(t.action_history())
 
@@ -165,15 +171,15 @@ def _(t):
 
 
 @query("evaluated_actions", with_tables("items evals", """SELECT i.action_id, title, domain, priority, recommendation,
-    practicality_score FROM evals e JOIN items i ON e.action_id = i.action_id"""))
+    practicality_score, risks, pros, cons FROM evals e JOIN items i ON e.action_id = i.action_id"""))
 def _(t):
-    return A.evaluated_actions(t.action_items(), t.action_evaluations()).orderBy("priority", "action_id")
+    return A.evaluated_actions(t.action_items(), t.action_evaluations())
 
 
 # keyed maintenance: each query writes a version and returns what a reader then sees ----
 
 
-def decision_source(t):
+def new_decisions(t):
     """Every purchase and error as a decision: several rows per action."""
     return t.table("events").where(F.col("event_type").isin("purchase", "error")).select(
         F.col("user_id").alias("action_id"),
@@ -187,7 +193,7 @@ OLD_SQL = "SELECT user_id AS action_id, 'DEFERRED' AS decision, MIN(ts) AS decid
 NEW_SQL = """SELECT action_id, decision, decided_at, event_id FROM (SELECT user_id AS action_id,
     CASE event_type WHEN 'purchase' THEN 'APPROVED' ELSE 'REJECTED' END AS decision, ts AS decided_at, event_id,
     ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
-    WHERE event_type IN ('purchase', 'error') AND user_id % 3 <> 0) WHERE rn = 1"""
+    WHERE event_type IN ('purchase', 'error')) WHERE rn = 1"""
 
 
 def old_decisions(t):
@@ -196,11 +202,6 @@ def old_decisions(t):
     )
 
 
-def new_decisions(t):
-    """Decisions of two runs out of three, so that some targets stay untouched."""
-    return decision_source(t).where(F.pmod("action_id", F.lit(3)) != 0)
-
-
 @query("upsert_by_key", f"""WITH old AS ({OLD_SQL}), new AS ({NEW_SQL}) SELECT * FROM new
     UNION ALL SELECT * FROM old WHERE action_id NOT IN (SELECT action_id FROM new)""")
 def _(t):

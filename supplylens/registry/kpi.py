@@ -12,7 +12,6 @@ from supplylens.plans import reports as R
 from supplylens.functions import calendar as C
 from supplylens.registry.base import query
 from supplylens.registry.ctes import BOTH, LAST, PRIOR, with_tables
-from supplylens.session import reused
 
 REGION = "ASIA"
 DAY = "order_date"
@@ -77,15 +76,19 @@ def _(t):
 # reports ------------------------------------------------------------------------
 
 
-@query("regional_performance_summary", with_tables("sales inv ship", f"""SELECT d.*, COALESCE(
-      (SELECT COUNT(DISTINCT sku_id) FROM inv WHERE inv.region = d.region AND stockout_flag), 0) AS stockout_skus,
-    COALESCE((SELECT ROUND(COUNT(*) FILTER (is_late) * 100.0 / COUNT(*), 1) FROM ship
-      WHERE destination_region = d.region AND {LAST.format('ship_date')}), 0) AS late_shipment_pct
+@query("regional_performance_summary", with_tables("sales inv ship", f"""SELECT d.region, total_orders, avg_order_value,
+    total_revenue, fulfillment_rate, COALESCE(stockout_skus, 0) AS stockout_skus,
+    COALESCE(late_shipment_pct, 0) AS late_shipment_pct
     FROM (SELECT region, COUNT(DISTINCT order_id) AS total_orders,
         ROUND(CAST(SUM(amount_cents) AS DOUBLE) / COUNT(*) / 100.0, 2) AS avg_order_value,
         ROUND(SUM(amount_cents) / 100.0, 2) AS total_revenue,
-        ROUND(COUNT(*) FILTER (order_status = 'Fulfilled') * 100.0 / COUNT(*), 1) AS fulfillment_rate
-      FROM sales WHERE {LAST.format(DAY)} GROUP BY region) d"""))
+        ROUND(COUNT(CASE WHEN order_status = 'Fulfilled' THEN 1 END) * 100.0 / COUNT(*), 1) AS fulfillment_rate
+      FROM sales WHERE {LAST.format(DAY)} GROUP BY region) d
+    LEFT JOIN (SELECT region, COUNT(DISTINCT sku_id) AS stockout_skus FROM inv WHERE stockout_flag GROUP BY region) i
+      ON d.region = i.region
+    LEFT JOIN (SELECT destination_region,
+        ROUND(COUNT(CASE WHEN is_late THEN 1 END) * 100.0 / COUNT(*), 1) AS late_shipment_pct
+      FROM ship WHERE {LAST.format('ship_date')} GROUP BY 1) s ON d.region = s.destination_region"""))
 def _(t):
     return R.regional_performance_summary(t.sales_orders(), t.inventory_ledger(), t.shipments(), t.anchor)
 
@@ -99,8 +102,8 @@ def _(t):
 
 
 def scorecard(t):
-    """Scorecard over a monthly lead-time summary written once, as it is read twice."""
-    return R.supplier_risk_scorecard(t.suppliers(), reused(t.supplier_lead_times()), t.vendor_slas())
+    """Scorecard over the lead times of the newest month; only that month's orders are read for them."""
+    return R.supplier_risk_scorecard(t.suppliers(), t.supplier_lead_times(latest_only=True), t.vendor_slas())
 
 
 @query("supplier_risk_scorecard", with_tables("scorecard", "SELECT * FROM scorecard"))
@@ -108,24 +111,29 @@ def _(t):
     return scorecard(t)
 
 
-EXECUTIVE_SQL = f"""SELECT d.*, i.*, w.*, v.*, b.* FROM
-    (SELECT ROUND(SUM(amount_cents) FILTER ({LAST.format(DAY)}) / 100.0, 0) AS revenue_last_month,
-       ROUND(SUM(amount_cents) FILTER ({PRIOR.format(DAY)}) / 100.0, 0) AS revenue_prior_month,
-       ROUND(COUNT(*) FILTER ({LAST.format(DAY)} AND order_status = 'Fulfilled') * 100.0
-         / COUNT(*) FILTER ({LAST.format(DAY)}), 1) AS service_level_pct FROM sales) d,
-    (SELECT COUNT(DISTINCT sku_id) FILTER (stockout_flag) AS total_stockout_skus,
-       ROUND(AVG(days_of_supply), 1) AS avg_days_of_supply FROM inv) i,
-    (SELECT ROUND(COUNT(*) FILTER (is_late) * 100.0 / COUNT(*), 1) AS late_delivery_pct_last_month,
-       ROUND(AVG(delay_days) FILTER (is_late), 1) AS avg_delay_days_last_month FROM ship
-       WHERE {LAST.format('ship_date')}) w,
-    (SELECT ROUND(COUNT(*) FILTER (is_late) * 100.0 / COUNT(*), 1) AS supplier_late_pct_last_month FROM po
-       WHERE {LAST.format(DAY)}) v,
-    (SELECT COUNT(*) FILTER (is_breached) AS total_sla_breaches FROM sla) b"""
+EXECUTIVE_SQL = f"""SELECT * FROM
+    (SELECT ROUND(SUM(CASE WHEN {LAST.format(DAY)} THEN amount_cents END) / 100.0, 0) AS revenue_last_month,
+       ROUND(SUM(CASE WHEN {PRIOR.format(DAY)} THEN amount_cents END) / 100.0, 0) AS revenue_prior_month,
+       ROUND(COUNT(CASE WHEN {LAST.format(DAY)} AND order_status = 'Fulfilled' THEN 1 END) * 100.0
+         / COUNT(CASE WHEN {LAST.format(DAY)} THEN 1 END), 1) AS service_level_pct FROM sales),
+    (SELECT COUNT(DISTINCT CASE WHEN stockout_flag THEN sku_id END) AS total_stockout_skus,
+       ROUND(AVG(days_of_supply), 1) AS avg_days_of_supply FROM inv),
+    (SELECT ROUND(COUNT(CASE WHEN is_late THEN 1 END) * 100.0 / COUNT(*), 1) AS late_delivery_pct_last_month,
+       ROUND(AVG(CASE WHEN is_late THEN delay_days END), 1) AS avg_delay_days_last_month FROM ship
+       WHERE {LAST.format('ship_date')}),
+    (SELECT ROUND(COUNT(CASE WHEN is_late THEN 1 END) * 100.0 / COUNT(*), 1) AS supplier_late_pct_last_month FROM po
+       WHERE {LAST.format(DAY)}),
+    (SELECT COUNT(CASE WHEN is_breached THEN 1 END) AS total_sla_breaches FROM sla)"""
 
 
 def executive(t):
     return R.executive_kpis(
-        t.sales_orders(), t.inventory_ledger(), t.shipments(), t.supplier_orders(), t.vendor_slas(), t.anchor
+        t.sales_orders(places=False),
+        t.inventory_ledger(),
+        t.shipments(places=False),
+        t.purchase_lines(),
+        t.vendor_slas(),
+        t.anchor,
     )
 
 
@@ -235,7 +243,7 @@ def _(t):
     actual_demand_units, forecast_accuracy_pct, bias FROM forecasts
     WHERE forecast_month = (SELECT MAX(forecast_month) FROM forecasts) AND region = '{REGION}'"""))
 def _(t):
-    return Q.forecast_accuracy_latest(reused(t.demand_forecasts()), REGION).orderBy(
+    return Q.forecast_accuracy_latest(t.demand_forecasts(latest_only=True), REGION).orderBy(
         F.col("bias").desc(), "product_family"
     )
 
@@ -362,7 +370,11 @@ def _(t):
     JOIN (VALUES ('Q1', CAST(92 AS DOUBLE)), ('Q2', 93), ('Q3', 95), ('Q4', 94))
       f(fiscal_quarter, service_level_target_pct) ON q.fiscal_quarter = f.fiscal_quarter"""))
 def _(t):
-    return Q.service_level_gap(t.sales_orders(), Q.fiscal_targets(t.spark))
+    """The targets are renewed for each fiscal year of the orders."""
+    orders = t.table("orders")
+    year = lambda edge: orders.select(C.fiscal_year(edge("o_orderdate").cast("date"))).scalar()
+    targets = Q.renewed_targets(Q.fiscal_targets(t.spark), year(F.min), year(F.max))
+    return Q.service_level_gap(t.sales_orders(), targets)
 
 
 @query("revenue_share_by_region", with_tables("sales", f"""SELECT region,
@@ -403,30 +415,30 @@ def _(t):
 
 
 
-def _nine() -> str:
-    ship = f"ship WHERE {LAST.format('ship_date')} AND destination_region = '{REGION}'"
-    rows = [
-        ("demand-analysis", "Revenue MoM change", f"ROUND(({_LAST_SUM} - {_PRIOR_SUM}) / 100.0, 2)",
-         f"sales WHERE region = '{REGION}'"),
-        ("logistics-operations", "On-time delivery rate", "ROUND(COUNT(*) FILTER (NOT is_late) * 100.0 / COUNT(*), 1)", ship),
-        ("logistics-operations", "Avg delay days", "ROUND(AVG(delay_days) FILTER (is_late), 1)", ship),
-        ("executive-reporting", "Fill rate", "ROUND(COUNT(*) FILTER (order_status = 'Fulfilled') * 100.0 / COUNT(*), 1)",
-         f"sales WHERE {LAST.format(DAY)}"),
-        ("inventory-management", "Below safety stock positions", "COUNT(*) FILTER (below_safety_stock_flag)",
-         f"inv WHERE region = '{REGION}'"),
-        ("inventory-management", "Stockout SKUs", "COUNT(DISTINCT sku_id) FILTER (stockout_flag)",
-         f"inv WHERE region = '{REGION}'"),
-        ("supplier-risk", "Total vendor SLA penalties", "ROUND(SUM(penalty_amount) FILTER (is_breached), 1)", "sla"),
-        ("supplier-risk", "Vendor late delivery pct", "ROUND(COUNT(*) FILTER (is_late) * 100.0 / COUNT(*), 1)",
-         f"po WHERE {LAST.format(DAY)}"),
-        ("executive-reporting", "Cost of Disruption", "MAX(total_cost_of_disruption)", f"cod WHERE region = '{REGION}'"),
-    ]
-    return " UNION ALL ".join(
-        f"SELECT '{a}' AS agent, '{m}' AS metric, CAST({e} AS DOUBLE) AS value FROM {src}" for a, m, e, src in rows
-    )
-
-
-@query("ground_truth_kpis", with_tables("sales ship inv sla po cod", _nine()))
+NINE_SQL = f"""
+    SELECT 'demand-analysis' AS agent, 'Revenue MoM change' AS metric,
+      ROUND(({_LAST_SUM} - {_PRIOR_SUM}) / 100.0, 2) AS value FROM sales WHERE region = '{REGION}'
+    UNION ALL SELECT 'logistics-operations', 'On-time delivery rate',
+      ROUND(COUNT(CASE WHEN NOT is_late THEN 1 END) * 100.0 / COUNT(*), 1)
+      FROM ship WHERE {LAST.format('ship_date')} AND destination_region = '{REGION}'
+    UNION ALL SELECT 'logistics-operations', 'Avg delay days', ROUND(AVG(CASE WHEN is_late THEN delay_days END), 1)
+      FROM ship WHERE {LAST.format('ship_date')} AND destination_region = '{REGION}'
+    UNION ALL SELECT 'executive-reporting', 'Fill rate',
+      ROUND(COUNT(CASE WHEN order_status = 'Fulfilled' THEN 1 END) * 100.0 / COUNT(*), 1)
+      FROM sales WHERE {LAST.format(DAY)}
+    UNION ALL SELECT 'inventory-management', 'Below safety stock positions',
+      CAST(COUNT(CASE WHEN below_safety_stock_flag THEN 1 END) AS DOUBLE) FROM inv WHERE region = '{REGION}'
+    UNION ALL SELECT 'inventory-management', 'Stockout SKUs',
+      CAST(COUNT(DISTINCT CASE WHEN stockout_flag THEN sku_id END) AS DOUBLE) FROM inv WHERE region = '{REGION}'
+    UNION ALL SELECT 'supplier-risk', 'Total vendor SLA penalties',
+      ROUND(SUM(CASE WHEN is_breached THEN penalty_amount END), 1) FROM sla
+    UNION ALL SELECT 'supplier-risk', 'Vendor late delivery pct',
+      ROUND(COUNT(CASE WHEN is_late THEN 1 END) * 100.0 / COUNT(*), 1) FROM po WHERE {LAST.format(DAY)}
+    UNION ALL SELECT 'executive-reporting', 'Cost of Disruption', total_cost_of_disruption
+      FROM cod WHERE region = '{REGION}'"""
+
+
+@query("ground_truth_kpis", with_tables("sales ship inv sla po cod", NINE_SQL))
 def _(t):
     return G.ground_truth_kpis(t, REGION)
 

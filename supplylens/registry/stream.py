@@ -10,17 +10,21 @@ from supplylens.operators.windows import latest_and_previous
 from supplylens.registry.actions import CHANGES_SQL
 from supplylens.registry.base import query
 from supplylens.registry.ctes import with_tables
-from supplylens.session import new_folder
+from supplylens.session import new_folder, path_kind
 from supplylens.streaming.evaluations import current_state, run_available
 
 
 def evaluation_stream(t):
-    """Evaluations read as a file stream with the same binding as the batch table."""
-    events = (
-        t.spark.readStream.schema(t.table("events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(t.root)
-    )
+    """Evaluations read as a file stream with the same binding as the batch table.
+
+    A table written by Spark is a folder of files; a single file is picked out of the folder it lies in.
+    """
+    stream = t.spark.readStream.schema(t.table("events").schema)
+    whole = f"{t.root}/events.parquet"
+    if path_kind(t.spark, whole) == "folder":
+        events = stream.parquet(whole)
+    else:
+        events = stream.option("pathGlobFilter", "events.parquet").parquet(t.root)
     return events.select(
         F.col("event_id").alias("evaluation_id"),
         F.col("user_id").alias("action_id"),
@@ -34,7 +38,6 @@ def evaluation_stream(t):
 def _(t):
     root = new_folder(t.spark, "evaluations")
     run_available(evaluation_stream(t), root)
-    pairs = latest_and_previous(
-        current_state(t.spark, root), ["action_id"], A.NEWEST, ["recommendation", "practicality_score"]
-    )
+    state = current_state(t.spark, root, evaluation_stream(t).schema)
+    pairs = latest_and_previous(state, ["action_id"], A.NEWEST, ["recommendation", "practicality_score"])
     return A.change_rows(pairs).join(t.action_items().select("action_id", "title"), "action_id")

@@ -22,30 +22,39 @@ register("sm", [], """SELECT l_suppkey AS supplier_id, CAST(date_trunc('month',
     CAST(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(ROUND(l_extendedprice * l_tax * 100) AS BIGINT) ELSE 0 END)
       AS BIGINT) AS freight_cents FROM lineitem GROUP BY 1, 2""")
 _CENTS = "format('{{:,}}', {0} // 100) || '.' || lpad(CAST({0} % 100 AS VARCHAR), 2, '0')"
-register("resp0", ["sm"], f"""SELECT *, supplier_id * 1000 + (year(month) - 1990) * 12 + month(month) AS response_id,
+register("resp0", ["sm"], f"""SELECT *, supplier_id * 1000000 + year(month) * 100 + month(month) AS response_id,
     'Summary for supplier ' || supplier_id || chr(10) || '## Delivery report' || chr(10) || 'Total shipments: ' || n
     || CASE WHEN supplier_id % 3 <> 0 THEN chr(10) || 'Late shipments: ' || late_n ELSE '' END
     || chr(10) || 'On-time delivery rate: ' || (((n - late_n) * 1000 // n) // 10) || '.'
     || (((n - late_n) * 1000 // n) % 10) || ' %' AS draft,
     '[{{"category": "IMMEDIATE", "domain": "supplier", "title": "Ship ' || n || ' lines", "priority": '
     || (supplier_id % 9 + 1) || '}}, {{"title": "Audit", "description": "Units ' || units || '"}}]' AS actions
-    FROM sm""".replace("{{", "{").replace("}}", "}"))
+    , 'SELECT region, COUNT(*) AS shipments FROM shipments WHERE region = EUROPE AND ship_date >= DATE '
+    || CAST(month AS VARCHAR) AS statement FROM sm""".replace("{{", "{").replace("}}", "}"))
 register("resp", ["resp0"], f"""SELECT response_id, supplier_id, month, n, late_n, cents, freight_cents, units, draft,
     draft || chr(10) || '## Revenue' || chr(10) || 'August revenue: $' || {_CENTS.format('cents')}
     || chr(10) || 'Wasted freight: $' || {_CENTS.format('freight_cents')}
     || chr(10) || '1. **Expedite orders**' || chr(10) || 'Call the vendor.' || chr(10) || '2. **Review stock**'
     || chr(10) || 'Count units: ' || format('{{:,}}', units) || chr(10) || chr(10) || '| metric | value |' || chr(10)
     || '|---|---|' || chr(10) || '| shipments | ' || n || ' |' || chr(10) || '| units | ' || units || ' |' || chr(10)
-    || chr(10) || '```sql' || chr(10)
-    || 'SELECT region, COUNT(*) AS shipments FROM shipments WHERE region = EUROPE AND ship_date >= DATE '
-    || CAST(month AS VARCHAR) || chr(10) || '```' || chr(10) || 'Done' AS text,
+    || chr(10) || CASE WHEN supplier_id % 7 = 3 THEN statement || chr(10) || chr(10)
+      ELSE '```sql' || chr(10) || statement || chr(10) || '```' || chr(10)
+        || CASE WHEN supplier_id % 4 = 1 THEN '```sql' || chr(10) || 'SELECT COUNT(*) AS total FROM orders' || chr(10)
+             || '```' || chr(10) ELSE '' END END || 'Done' AS text,
     '||supplier | month |' || CASE WHEN late_n > 0 THEN ' late |' ELSE ' |' END || '|' || chr(10) || '|1|2|'
       AS tool_text,
     CASE WHEN supplier_id % 5 = 0 THEN '{{"actions": ' || actions || '}}' ELSE actions END AS actions_json,
-    CASE WHEN supplier_id % 2 = 0 THEN late_n || ' of the **' || n || '** metrics were EXACT, '
-      || LEAST(n, supplier_id % 4) || ' metrics were CLOSE, no MISS'
+    CASE supplier_id % 4
+      WHEN 0 THEN late_n || ' of the **' || n || '** metrics were EXACT, ' || LEAST(n, supplier_id % 5)
+        || ' metrics were CLOSE, no MISS'
+      WHEN 2 THEN late_n || ' of the **' || n || '** metrics were EXACT, 1 metrics were MISS and 2 as NOT_FOUND'
+      WHEN 3 THEN 'no CLOSE, 2 MISS, 1 NOT_FOUND'
       ELSE 'Revenue: EXACT' || chr(10) || 'Freight: NOT_FOUND' || chr(10) || 'Units: EXACT' || chr(10) || 'Rate: n/a'
       END AS narration FROM resp0""".replace("{{", "{").replace("}}", "}"))
+register("blocks", ["resp"], r"""SELECT response_id, supplier_id, CASE WHEN len(fenced) > 0 THEN fenced ELSE bare END AS b
+    FROM (SELECT *, regexp_extract_all(text, '(?s)```sql\s*\n(.*?)\n\s*```', 1) AS fenced,
+      list_transform(regexp_extract_all(text, '(?i)(SELECT\s+[\s\S]{10,}?FROM\s+\S+[\s\S]*?)(?:\n\n|\z)', 1),
+        lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')) AS bare FROM resp)""")
 _NUMS = r"""list_filter(list_transform(regexp_extract_all({0}, '-?[\d,]+\.?\d*'),
     lambda x: TRY_CAST(replace(x, ',', '') AS DOUBLE)), lambda x: x IS NOT NULL)"""
 
@@ -88,18 +97,18 @@ register("covered_draft", ["scored_draft"], f"SELECT response_id, id, {_COVER} A
 # conversations ----------------------------------------------------------------
 
 
-@query("assistant_text", """SELECT conv_id, turn // 1000 AS part, string_agg(text, chr(10) ORDER BY turn) AS text,
-    COUNT(*) AS messages FROM conversations WHERE role = 'assistant' GROUP BY 1, 2""")
+@query("assistant_text", """SELECT conv_id, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position, turn, text
+    FROM conversations WHERE role = 'assistant'""")
 def _(t):
     return O.assistant_text(t.table("conversations"))
 
 
-@query("text_after_exclusion", """SELECT conv_id, turn // 1000 AS part, string_agg(text, chr(10) ORDER BY turn) AS text,
-    COUNT(*) AS messages FROM (SELECT *, role = 'system' OR (role = 'assistant' AND contains(text, 'question')) AS marks,
+@query("text_after_exclusion", """SELECT conv_id, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position,
+    turn, text FROM (SELECT *, role = 'system' OR (role = 'assistant' AND contains(text, 'question')) AS marks,
       LAG(role = 'system' OR (role = 'assistant' AND contains(text, 'question')))
         OVER (PARTITION BY conv_id ORDER BY turn) AS after
-      FROM conversations WHERE role IN ('assistant', 'system'))
-    WHERE role = 'assistant' AND NOT marks AND NOT COALESCE(after, false) GROUP BY 1, 2""")
+      FROM conversations WHERE role <> 'user')
+    WHERE role = 'assistant' AND NOT marks AND NOT COALESCE(after, false)""")
 def _(t):
     return O.text_after_exclusion(t.table("conversations"), ["system"], ["question"])
 
@@ -124,9 +133,8 @@ def _(t):
     return O.extract_numbers(t.table("documents"), ["doc_id"], "text")
 
 
-@query("extract_fenced_blocks", with_tables("resp", r"""SELECT response_id,
-    CAST(generate_subscripts(b, 1) - 1 AS BIGINT) AS pos, UNNEST(b) AS sql_block FROM (SELECT response_id,
-    list_slice(regexp_extract_all(text, '(?s)```sql\s*\n(.*?)\n\s*```', 1), 1, 3) AS b FROM resp)"""))
+@query("extract_fenced_blocks", with_tables("blocks", """SELECT response_id,
+    CAST(generate_subscripts(b, 1) - 1 AS BIGINT) AS pos, UNNEST(b) AS sql_block FROM blocks"""))
 def _(t):
     return O.extract_sql(responses(t), ["response_id"], "text")
 
@@ -190,33 +198,37 @@ def _(t):
     return O.status_word_counts(responses(t), ["response_id"], "narration")
 
 
-@query("parse_counts", with_tables("resp", r"""SELECT response_id,
+def _said(word: str) -> str:
+    """A stated count that is not above the total; "no X" means zero."""
+    count = rf"TRY_CAST(regexp_extract(t, '(\d+)\s+(?:(?:metrics?\s+)?(?:were|as)\s+)?{word}', 1) AS BIGINT)"
+    return f"CASE WHEN NOT regexp_matches(t, '\\bno\\s+{word}') AND {count} <= n THEN {count} ELSE 0 END"
+
+
+@query("parse_counts", with_tables("resp", rf"""SELECT response_id,
     CASE WHEN e + c + m + f0 = 0 THEN le ELSE e END AS exact, c AS close, m AS miss,
     CASE WHEN e + c + m + f0 = 0 THEN CASE WHEN le + lf = 0 THEN n ELSE lf END ELSE f0 END AS not_found
     FROM (SELECT *, CASE WHEN e > 0 AND c + m + f = 0 THEN GREATEST(0, n - e) ELSE f END AS f0 FROM (SELECT response_id, n,
       COALESCE(TRY_CAST(regexp_extract(t, '(\d+)\s+(?:of|out of)\s+(?:the\s+)?(\d+)\b.*?EXACT', 1) AS BIGINT), 0) AS e,
-      CASE WHEN regexp_matches(t, '\bno\s+CLOSE') THEN 0 ELSE COALESCE(CASE WHEN TRY_CAST(regexp_extract(t,
-        '(\d+)\s+(?:(?:metrics?\s+)?(?:were|as)\s+)?CLOSE', 1) AS BIGINT) <= n THEN TRY_CAST(regexp_extract(t,
-        '(\d+)\s+(?:(?:metrics?\s+)?(?:were|as)\s+)?CLOSE', 1) AS BIGINT) END, 0) END AS c,
-      CAST(0 AS BIGINT) AS m, CAST(0 AS BIGINT) AS f,
+      {_said('CLOSE')} AS c, {_said('MISS')} AS m, {_said('NOT_FOUND')} AS f,
       len(regexp_extract_all(t, ':\s*EXACT\b')) AS le, len(regexp_extract_all(t, ':\s*NOT_FOUND\b')) AS lf
       FROM (SELECT *, replace(narration, '**', '') AS t FROM resp)))"""))
 def _(t):
     return O.parse_counts(responses(t), ["response_id"], "narration", "total_metrics")
 
 
-@query("requote_sql", with_tables("resp", r"""SELECT response_id, CAST(0 AS BIGINT) AS pos,
-    regexp_replace(regexp_replace(regexp_extract(text, '(?s)```sql\s*\n(.*?)\n\s*```', 1), '=\s*(ASIA|EUROPE)\b', '= ''\1''', 'g'),
-      'DATE\s+(\d{4}-\d{2}-\d{2})', 'DATE ''\1''', 'g') AS sql_block FROM resp"""))
+@query("requote_sql", with_tables("blocks", r"""SELECT response_id, pos,
+    regexp_replace(regexp_replace(x, '=\s*(ASIA|EUROPE)\b', '= ''\1''', 'g'),
+      'DATE\s+(\d{4}-\d{2}-\d{2})', 'DATE ''\1''', 'g') AS sql_block FROM (SELECT response_id,
+      CAST(generate_subscripts(b, 1) - 1 AS BIGINT) AS pos, UNNEST(b) AS x FROM blocks)"""))
 def _(t):
     return O.requote_sql(responses(t), ["response_id"], "text", ["ASIA", "EUROPE"], r"\d{4}-\d{2}-\d{2}")
 
 
-@query("best_keyword_block", with_tables("resp", r"""SELECT response_id, hits, b AS sql_block FROM (SELECT response_id, b,
+@query("best_keyword_block", with_tables("blocks", r"""SELECT response_id, hits, x AS sql_block FROM (SELECT response_id, pos, x,
     len(list_filter(string_split(CASE WHEN supplier_id % 2 = 0 THEN 'late shipments by region' ELSE 'total orders' END, ' '),
-      lambda w: len(w) > 3 AND contains(lower(b), w))) AS hits
-    FROM (SELECT response_id, supplier_id, regexp_extract(text, '(?s)```sql\s*\n(.*?)\n\s*```', 1) AS b FROM resp))
-    WHERE hits >= 2"""))
+      lambda w: len(w) > 3 AND contains(lower(x), w))) AS hits
+    FROM (SELECT response_id, supplier_id, generate_subscripts(b, 1) AS pos, UNNEST(b) AS x FROM blocks))
+    WHERE hits >= 2 QUALIFY ROW_NUMBER() OVER (PARTITION BY response_id ORDER BY hits DESC, pos) = 1"""))
 def _(t):
     metric = F.when(F.pmod("supplier_id", F.lit(2)) == 0, "Late shipments by region").otherwise("Total orders")
     return O.best_keyword_block(responses(t), ["response_id"], "text", metric)
@@ -227,45 +239,99 @@ def _(t):
     COALESCE(a->>'timeframe', 'Unknown') AS timeframe, COALESCE(a->>'domain', 'general') AS domain,
     COALESCE(a->>'title', 'Action ' || (i + 1)) AS title, COALESCE(a->>'description', '') AS description,
     COALESCE(a->>'specific_steps', '') AS specific_steps, COALESCE(a->>'expected_impact', '') AS expected_impact,
-    COALESCE(CAST(a->>'priority' AS BIGINT), i + 1) AS priority, 'PENDING' AS status
-    FROM (SELECT response_id, generate_subscripts(js, 1) - 1 AS i, UNNEST(js) AS a FROM (SELECT response_id,
+    COALESCE(CAST(a->>'priority' AS BIGINT), i + 1) AS priority, 'PENDING' AS status,
+    CAST(month AS TIMESTAMP) AS created_at, CAST(month AS TIMESTAMP) AS updated_at
+    FROM (SELECT response_id, month, generate_subscripts(js, 1) - 1 AS i, UNNEST(js) AS a FROM (SELECT response_id, month,
       CAST(CASE WHEN starts_with(actions_json, '{') THEN json_extract(actions_json, '$.actions') ELSE actions_json END
         AS JSON[]) AS js FROM resp))"""))
 def _(t):
-    return O.parse_action_json(responses(t), "response_id", "actions_json")
+    return O.parse_action_json(responses(t), "response_id", "actions_json", F.col("month").cast("timestamp"))
 
 
 # terms --------------------------------------------------------------------------------
 
-# Spoken synonyms of stored columns.
+# Spoken synonyms of stored columns, by table.
 COLUMN_SYNONYMS = {
-    "channel": ["sales channel", "order channel"],
-    "order_date": ["date", "when ordered", "order time"],
-    "order_status": ["status", "fulfillment status"],
-    "product_family": ["family", "product line", "product group"],
-    "region": ["geography", "area", "market"],
-    "total_amount": ["revenue", "sales", "order value", "amount", "dollars"],
-    "days_of_supply": ["days remaining", "supply days", "runway"],
-    "on_hand_qty": ["on hand", "inventory level", "stock level", "quantity"],
-    "stockout_flag": ["stockout", "out of stock", "zero inventory"],
-    "delay_days": ["days delayed", "days late"],
-    "is_late": ["late", "delayed", "overdue", "on-time", "on time delivery", "otd"],
-    "shipping_cost": ["freight cost", "logistics spend", "freight", "transport cost"],
-    "penalty_amount": ["penalty", "fine", "sla penalty", "vendor penalty"],
+    "sales_orders": {
+        "channel": ["sales channel", "order channel"],
+        "order_date": ["date", "when ordered", "order time"],
+        "order_status": ["status", "fulfillment status"],
+        "product_family": ["family", "product line", "product group"],
+        "region": ["geography", "area", "market"],
+        "total_amount": ["revenue", "sales", "order value", "amount", "dollars"],
+    },
+    "demand_forecasts": {
+        "bias": ["forecast bias", "over-forecast", "under-forecast"],
+        "forecast_accuracy_pct": ["accuracy", "forecast accuracy"],
+        "forecast_demand_units": ["forecast", "predicted demand"],
+        "forecast_month": ["month", "period"],
+    },
+    "pos_data": {
+        "quantity_sold": ["units sold", "volume"],
+        "return_flag": ["returned", "return", "refund"],
+        "total_sales": ["revenue", "sales amount", "pos revenue"],
+        "transaction_date": ["date", "sale date"],
+    },
+    "inventory_ledger": {
+        "below_safety_stock_flag": ["below safety stock", "low stock", "at risk"],
+        "days_of_supply": ["days remaining", "supply days", "runway"],
+        "on_hand_qty": ["on hand", "inventory level", "stock level", "quantity"],
+        "product_family": ["family", "product line"],
+        "region": ["geography", "area"],
+        "safety_stock_level": ["safety stock", "minimum stock"],
+        "stockout_flag": ["stockout", "out of stock", "zero inventory"],
+    },
+    "stock_movements": {
+        "movement_date": ["date", "when"],
+        "movement_type": ["type", "direction"],
+        "quantity": ["units", "volume", "amount"],
+        "region": ["geography"],
+    },
+    "shipments": {
+        "carrier_id": ["carrier", "shipping company"],
+        "delay_days": ["days delayed", "days late"],
+        "delay_reason": ["cause of delay", "root cause"],
+        "destination_region": ["region", "delivery region", "target region"],
+        "is_late": ["late", "delayed", "overdue", "on-time", "on time delivery", "OTD"],
+        "origin_region": ["source region", "ship from region"],
+        "ship_date": ["shipment date", "date shipped"],
+        "shipping_cost": ["freight cost", "logistics spend", "freight", "transport cost"],
+    },
+    "supplier_orders": {
+        "actual_lead_time_days": ["actual lead time", "delivery time"],
+        "contracted_lead_time_days": ["contracted lead time", "expected lead time"],
+        "delay_reason": ["cause", "root cause"],
+        "is_late": ["late", "delayed", "overdue"],
+        "lead_time_variance_days": ["variance", "delay days", "slippage"],
+        "quality_score": ["quality", "quality rating"],
+        "quantity_received": ["received", "delivered qty"],
+        "supplier_continent": ["continent", "geography", "source region"],
+    },
+    "vendor_slas": {
+        "is_breached": ["breached", "violated", "failed"],
+        "penalty_amount": ["penalty", "fine", "SLA penalty", "vendor penalty"],
+        "sla_metric": ["metric", "kpi", "measure"],
+        "supplier_id": ["vendor id", "vendor"],
+        "supplier_name": ["vendor name", "vendor"],
+    },
 }
-COLUMN_TERMS = [(phrase, column) for column, phrases in COLUMN_SYNONYMS.items() for phrase in phrases]
+COLUMN_TERMS = [
+    (phrase.lower(), table, column)
+    for table, columns in COLUMN_SYNONYMS.items()
+    for column, phrases in columns.items()
+    for phrase in phrases
+]
 
 
 def values_sql(rows: list[tuple[str, ...]]) -> str:
     return "VALUES " + ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
 
 
-@query("term_matches", f"""SELECT doc_id, phrase, column_name FROM documents
-    JOIN ({values_sql(COLUMN_TERMS)}) s(phrase, column_name) ON contains(lower(text), phrase)""")
+@query("term_matches", f"""SELECT doc_id, phrase, table_name, column_name FROM documents
+    JOIN ({values_sql(COLUMN_TERMS)}) s(phrase, table_name, column_name) ON contains(lower(text), phrase)""")
 def _(t):
-    return match_terms(t.table("documents").select("doc_id", "text"), "text", COLUMN_TERMS, ["phrase", "column_name"]).drop(
-        "text"
-    )
+    texts = t.table("documents").select("doc_id", "text")
+    return match_terms(texts, "text", COLUMN_TERMS, ["phrase", "table_name", "column_name"]).drop("text")
 
 
 def asked(t):
@@ -332,16 +398,21 @@ def _(t):
 
 
 register("doc_scored", [], _scored("", f"""SELECT doc_id, id, expected, {_NUMS.format('text')} AS nums
-    FROM documents CROSS JOIN (SELECT role AS id, CAST(COUNT(*) AS DOUBLE) AS expected FROM conversations
-    WHERE role IN ('user', 'assistant', 'system') GROUP BY 1)""")[1])
+    FROM documents JOIN (SELECT lang, 'docs' AS id, CAST(COUNT(*) AS DOUBLE) AS expected FROM documents GROUP BY lang
+      UNION ALL SELECT lang, 'shortest', CAST(MIN(n_chars) AS DOUBLE) FROM documents GROUP BY lang) e
+    ON documents.lang = e.lang""")[1])
 
 
 @query("score_documents", with_tables("doc_scored", f"SELECT doc_id, id, expected, {_BANDS} AS status FROM doc_scored"))
 def _(t):
-    roles = t.table("conversations").where(F.col("role").isin("user", "assistant", "system"))
-    truth = roles.groupBy(F.col("role").alias("id")).agg(F.count("*").cast("double").alias("expected"))
-    texts = t.table("documents").select("doc_id", "text")
-    return S.score_bands(S.with_expected(S.with_numbers(texts), truth)).select("doc_id", "id", "expected", "status")
+    """Every text against the values expected of its language."""
+    docs = t.table("documents")
+    per_lang = docs.groupBy("lang").agg(
+        F.count("*").cast("double").alias("docs"), F.min("n_chars").cast("double").alias("shortest")
+    )
+    truth = per_lang.unpivot("lang", ["docs", "shortest"], "id", "expected")
+    texts = S.with_numbers(docs.select("doc_id", "lang", "text"))
+    return S.score_bands(S.with_expected(texts, truth, ["lang"])).select("doc_id", "id", "expected", "status")
 
 
 @query("scorecard_summary", with_tables("bands", """SELECT response_id, COUNT(CASE WHEN status = 'EXACT' THEN 1 END) AS exact,
@@ -376,13 +447,13 @@ def _(t):
     return S.coverage_by_group(*runs(t), ["response_id", "id"])
 
 
-@query("stage_progression", with_tables("bands", """, s AS (SELECT (response_id % 1000 - 1) // 12 AS stage,
+@query("stage_progression", with_tables("bands", """, s AS (SELECT response_id % 1000000 // 100 AS stage,
       COUNT(CASE WHEN status = 'EXACT' THEN 1 END) AS passed, COUNT(*) AS total FROM bands GROUP BY 1)
     SELECT stage, CAST(SUM(passed) OVER (ORDER BY stage) AS BIGINT) AS passed_so_far, passed AS newly_passed,
       passed - COALESCE(LAG(passed) OVER (ORDER BY stage), 0) AS gain,
       CAST(floor(SUM(passed) OVER (ORDER BY stage) * 100 / SUM(total) OVER ()) AS BIGINT) AS pct FROM s"""))
 def _(t):
-    year = F.floor((F.pmod("response_id", F.lit(1000)) - 1) / 12).cast("bigint")
+    year = F.floor(F.pmod("response_id", F.lit(1000000)) / 100).cast("bigint")
     stages = banded(t).groupBy(year.alias("stage")).agg(
         F.count(F.when(F.col("status") == "EXACT", 1)).alias("passed"), F.count("*").alias("total")
     )
@@ -433,4 +504,4 @@ def _(t):
             metric_rows(here(delivery), [("logistics", "ASIA late delivery rate", F.col("late_delivery_rate"))], "agent"),
         ]
     )
-    return S.verify_views(checks, truth)
+    return S.verify_views(checks, truth, ["ASIA revenue", "ASIA late delivery rate"])

@@ -46,6 +46,22 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """"folder", "file" or None, in whatever store the path names."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(where):
+        return None
+    return "folder" if store.getFileStatus(where).isDirectory() else "file"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nobody has written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

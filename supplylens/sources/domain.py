@@ -77,7 +77,9 @@ class SupplyTables:
         supplier = self.table("supplier")
         low = supplier.select(F.min("s_acctbal")).scalar()
         high = supplier.select(F.max("s_acctbal")).scalar()
-        reliability = F.round(1 + 9 * (F.col("s_acctbal") - low) / (high - low), 1)
+        # balances that are all alike say nothing: everybody stands in the middle
+        spread = F.nullif(high - low, F.lit(0.0))
+        reliability = F.coalesce(F.round(1 + 9 * (F.col("s_acctbal") - low) / spread, 1), F.lit(5.5))
         return (
             supplier.join(self.nations(), F.col("s_nationkey") == F.col("nation_id"))
             .select(
@@ -102,19 +104,29 @@ class SupplyTables:
 
     # facts ------------------------------------------------------------------
 
-    def order_places(self) -> DataFrame:
-        orders = self.table("orders").select(
+    def order_heads(self) -> DataFrame:
+        return self.table("orders").select(
             "o_orderkey",
             "o_custkey",
             "o_orderstatus",
             F.col("o_orderpriority").alias("channel"),
             F.col("o_orderdate").cast("date").alias("order_date"),
         )
+
+    def latest_month(self) -> Column:
+        """First day of the newest order's month; every order has lines."""
+        day = self.table("orders").select(F.max("o_orderdate").cast("date").alias("d"))
+        return F.trunc(day.scalar(), "MM")
+
+    def order_places(self) -> DataFrame:
         customers = self.customers().select("customer_id", "segment", "state", "region")
-        return orders.join(customers, F.col("o_custkey") == F.col("customer_id")).drop("o_custkey")
+        return self.order_heads().join(customers, F.col("o_custkey") == F.col("customer_id")).drop("o_custkey")
 
-    def sales_orders(self, product: bool = False) -> DataFrame:
-        """One row per order line with its region, status and amount in cents."""
+    def sales_orders(self, product: bool = False, places: bool = True, since: Column | None = None) -> DataFrame:
+        """One row per order line with its status and amount in cents, with ``places`` also segment, region and state.
+
+        ``since`` is a first day, for callers that need no older orders.
+        """
         lines = self.table("lineitem").select(
             "l_orderkey",
             F.col("l_partkey").alias("sku_id"),
@@ -122,16 +134,18 @@ class SupplyTables:
             M.to_cents(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount_cents"),
             "l_returnflag",
         )
+        orders = self.order_places() if places else self.order_heads().withColumnRenamed("o_custkey", "customer_id")
+        if since is not None:
+            orders = orders.where(F.col("order_date") >= since)
+        where = ["segment", "region", "state"] if places else []
         sales = (
-            self.order_places()
+            orders
             .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
             .select(
                 F.col("o_orderkey").alias("order_id"),
                 "order_date",
                 "customer_id",
-                "segment",
-                "region",
-                "state",
+                *where,
                 "channel",
                 "sku_id",
                 "quantity",
@@ -155,8 +169,8 @@ class SupplyTables:
         )
         return lines, F.datediff("ship_date", "order_date").cast("bigint")
 
-    def shipments(self, origin: bool = False) -> DataFrame:
-        """One row per shipped line: destination, lead days, lateness and freight in cents.
+    def shipments(self, origin: bool = False, places: bool = True) -> DataFrame:
+        """One row per shipped line: lead days, lateness and freight in cents, with ``places`` also the destination.
 
         The lines come first: a ship-date window then leaves few rows to carry
         through the order and customer joins.
@@ -167,13 +181,16 @@ class SupplyTables:
         orders = self.table("orders").select(
             "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date")
         )
-        places = self.customers().select("customer_id", "state", "region")
         shipped = (
             lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(places, F.col("o_custkey") == F.col("customer_id"))
             .withColumn("actual_transit_days", lead)
             .withColumn("planned_transit_days", F.lit(PLANNED_LEAD_DAYS).cast("bigint"))
         )
+        destination = []
+        if places:
+            homes = self.customers().select("customer_id", "state", "region")
+            shipped = shipped.join(homes, F.col("o_custkey") == F.col("customer_id"))
+            destination = [F.col("region").alias("destination_region"), F.col("state").alias("destination_state")]
         shipped = derive.shipment_delay(shipped).select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").cast("bigint").alias("line_number"),
@@ -181,8 +198,7 @@ class SupplyTables:
             "sku_id",
             "ship_date",
             "order_date",
-            F.col("region").alias("destination_region"),
-            F.col("state").alias("destination_state"),
+            *destination,
             "planned_transit_days",
             "actual_transit_days",
             "delay_days",
@@ -195,9 +211,11 @@ class SupplyTables:
             shipped = shipped.join(places, "supplier_id")
         return shipped
 
-    def purchase_lines(self) -> DataFrame:
-        """Supplier orders before the supplier dimension is attached."""
+    def purchase_lines(self, since: Column | None = None) -> DataFrame:
+        """Supplier orders before the supplier dimension is attached, from the day ``since`` on."""
         orders = self.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+        if since is not None:
+            orders = orders.where(F.col("order_date") >= since)
         lines, lead = self._lead_lines()
         joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             "supplier_id",
@@ -217,9 +235,9 @@ class SupplyTables:
         )
         return self.purchase_lines().join(places, "supplier_id")
 
-    def supplier_lead_times(self) -> DataFrame:
-        """Supplier x month summary of actual against contracted lead time."""
-        return derive.monthly_lead_times(self.purchase_lines())
+    def supplier_lead_times(self, latest_only: bool = False) -> DataFrame:
+        """Supplier x month summary of actual against contracted lead time, of all months or the newest."""
+        return derive.monthly_lead_times(self.purchase_lines(self.latest_month() if latest_only else None))
 
     def vendor_slas(self) -> DataFrame:
         """Two service levels per supplier, evaluated against fixed targets."""
@@ -285,10 +303,13 @@ class SupplyTables:
             .drop("moved")
         )
 
-    def demand_forecasts(self) -> DataFrame:
-        """Month x region x family units; the forecast is the previous month's actual."""
+    def demand_forecasts(self, latest_only: bool = False) -> DataFrame:
+        """Month x region x family units; the forecast is the previous month's actual.
+
+        The newest month alone needs the orders of two months.
+        """
         monthly = (
-            self.sales_orders(product=True)
+            self.sales_orders(product=True, since=F.add_months(self.latest_month(), -1) if latest_only else None)
             .groupBy(F.trunc("order_date", "MM").alias("forecast_month"), "region", "product_family")
             .agg(F.sum("quantity").alias("actual_demand_units"))
         )
@@ -329,7 +350,7 @@ class SupplyTables:
         return (
             self.table("events")
             .groupBy("user_id")
-            .agg(F.min("ts").alias("created_at"))
+            .agg(F.min("ts").alias("created_at"), F.count("*").cast("string").alias("_seen"))
             .select(
                 uid.alias("action_id"),
                 F.concat(F.lit("run_"), F.pmod(uid, F.lit(3)).cast("string")).alias("run_id"),
@@ -337,13 +358,33 @@ class SupplyTables:
                 pick(spans, 3).alias("timeframe"),
                 pick(names, 5).alias("domain"),
                 F.concat(F.lit("Action "), uid.cast("string")).alias("title"),
+                F.concat(F.lit("Follow up on user "), uid.cast("string")).alias("description"),
+                F.concat(F.lit("Review "), "_seen", F.lit(" events")).alias("specific_steps"),
+                F.concat(F.lit("Settles "), "_seen", F.lit(" events")).alias("expected_impact"),
                 (F.pmod(uid, F.lit(10)) + 1).alias("priority"),
                 pick(states, 4).alias("status"),
                 "created_at",
             )
         )
 
+    def customer_actions(self) -> DataFrame:
+        """One action per customer; those whose number is a user of the event log have evaluations."""
+        cid = F.col("c_custkey")
+        return self.table("customer").select(
+            cid.alias("action_id"),
+            F.concat(F.lit("run_"), F.pmod(cid, F.lit(3)).cast("string")).alias("run_id"),
+            F.lit("SHORT_TERM").alias("category"),
+            F.lit("demand").alias("domain"),
+            F.concat(F.lit("Call "), "c_name").alias("title"),
+            F.concat(F.lit("Segment "), "c_mktsegment").alias("description"),
+            F.concat(F.lit("Ask "), "c_name").alias("specific_steps"),
+            F.concat(F.lit("Keeps "), "c_mktsegment").alias("expected_impact"),
+            (F.pmod(cid, F.lit(10)) + 1).alias("priority"),
+            F.when(F.pmod(cid, F.lit(4)) < 2, "PENDING").otherwise("COMPLETED").alias("status"),
+        )
+
     def action_evaluations(self) -> DataFrame:
+        key = F.get_json_object("props", "$.k")
         return self.table("events").select(
             F.col("event_id").alias("evaluation_id"),
             F.col("user_id").alias("action_id"),
@@ -351,6 +392,10 @@ class SupplyTables:
             derive.recommendation_of_event(F.col("event_type")).alias("recommendation"),
             F.least(F.col("value") / 100, F.lit(1.0)).alias("practicality_score"),
             F.col("props").alias("reasoning"),
+            F.concat(F.lit("risk "), key).alias("risks"),
+            F.concat(F.lit("pro "), "event_type").alias("pros"),
+            F.concat(F.lit("con "), "event_type").alias("cons"),
+            F.concat(F.lit("cost "), key).alias("cost_estimate"),
         )
 
     def action_decisions(self) -> DataFrame:

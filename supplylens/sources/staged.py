@@ -12,9 +12,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from supplylens.session import drop_folder
 from supplylens.sources.domain import SupplyTables
 
 DAILY = {"sales_orders": "order_date", "shipments": "ship_date", "supplier_orders": "order_date"}
@@ -43,11 +44,27 @@ def stage_facts(
             .partitionBy(DAILY[name])
             .parquet(f"{root}/{name}")
         )
+        drop_empty_days(df, DAILY[name], f"{root}/{name}", since, until)
     for name in WHOLE:
         getattr(t, name)().write.mode("overwrite").parquet(f"{root}/{name}")
     return StagedTables(t.spark, t.root, t.anchor, staged=root)
 
 
+def drop_empty_days(df: DataFrame, day: str, path: str, since: date | None, until: date | None) -> None:
+    """Remove the folders of days in the range that have no rows any more: writing replaces only days that have some.
+
+    Both lists have one entry per day.
+    """
+    spark = df.sparkSession
+    stored = spark.read.parquet(path).select(F.col(day).cast("date").alias("d")).distinct()
+    if since:
+        stored = stored.where(F.col("d") >= F.lit(since))
+    if until:
+        stored = stored.where(F.col("d") < F.lit(until))
+    for row in stored.join(df.select(F.col(day).alias("d")).distinct(), "d", "left_anti").collect():
+        drop_folder(spark, f"{path}/{day}={row['d'].isoformat()}")
+
+
 @dataclass(frozen=True)
 class StagedTables(SupplyTables):
     """The domain tables with their facts read from a staged folder."""
@@ -60,16 +77,21 @@ class StagedTables(SupplyTables):
             self._read[key] = self.spark.read.parquet(f"{self.staged}/{name}")
         return self._read[key]
 
-    def sales_orders(self, product: bool = False) -> DataFrame:
-        return self._fact("sales_orders")
+    def sales_orders(self, product: bool = False, places: bool = True, since: Column | None = None) -> DataFrame:
+        sales = self._fact("sales_orders")
+        return sales if since is None else sales.where(F.col("order_date") >= since)
 
-    def shipments(self, origin: bool = False) -> DataFrame:
+    def shipments(self, origin: bool = False, places: bool = True) -> DataFrame:
         return self._fact("shipments")
 
     def supplier_orders(self) -> DataFrame:
         return self._fact("supplier_orders")
 
-    def supplier_lead_times(self) -> DataFrame:
+    def purchase_lines(self, since: Column | None = None) -> DataFrame:
+        lines = self._fact("supplier_orders")
+        return lines if since is None else lines.where(F.col("order_date") >= since)
+
+    def supplier_lead_times(self, latest_only: bool = False) -> DataFrame:
         return self._fact("supplier_lead_times")
 
     def vendor_slas(self) -> DataFrame:

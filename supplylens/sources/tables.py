@@ -72,12 +72,19 @@ def create_view(df: DataFrame, name: str) -> None:
 
 def publish(df: DataFrame, view: str) -> DataFrame:
     """Write a new version and point the view at it."""
-    spark = df.sparkSession
-    folder = new_folder(spark, view)
-    df.write.parquet(folder)
-    version = spark.read.schema(df.schema).parquet(folder)
-    version.createOrReplaceTempView(view)
-    return version
+    return publish_together({view: df})[view]
+
+
+def publish_together(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write new versions of several tables, and only when all are there point their views at them."""
+    versions = {}
+    for view, df in tables.items():
+        folder = new_folder(df.sparkSession, view)
+        df.write.parquet(folder)
+        versions[view] = df.sparkSession.read.schema(df.schema).parquet(folder)
+    for view, version in versions.items():
+        version.createOrReplaceTempView(view)
+    return versions
 
 
 def upserted(target: DataFrame, source: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -87,9 +94,14 @@ def upserted(target: DataFrame, source: DataFrame, key: str, order: list[str]) -
     return kept.unionByName(changes)
 
 
-def updated(target: DataFrame, changes: DataFrame, key: str, column: str, value: str) -> DataFrame:
-    """Target with ``column`` set from ``changes[value]`` where the key matches."""
-    new = changes.select(key, F.col(value).alias("_new"), F.lit(True).alias("_hit"))
+def updated(
+    target: DataFrame, changes: DataFrame, key: str, column: str, value: str, order: list[str] | None = None
+) -> DataFrame:
+    """Target with ``column`` set from ``changes[value]`` where the key matches.
+
+    Of several changes for one key the newest by ``order`` counts, the largest value without one.
+    """
+    new = latest_per_key(changes, [key], order or [value]).select(key, F.col(value).alias("_new"), F.lit(True).alias("_hit"))
     return target.join(new, key, "left").select(
         *[
             F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column)).alias(column) if c == column else F.col(c)
@@ -116,8 +128,7 @@ def decide(items_view: str, decisions_view: str, new: DataFrame) -> None:
     choices = latest_per_key(new, ["action_id"], ["decided_at", "decision"])
     decisions = upserted(spark.table(decisions_view), choices, "action_id", ["decided_at"])
     items = updated(spark.table(items_view), choices, "action_id", "status", "decision")
-    publish(decisions, decisions_view)
-    publish(items, items_view)
+    publish_together({decisions_view: decisions, items_view: items})
 
 
 def reset_decisions(items_view: str, decisions_view: str, keys: DataFrame, status: str = "PENDING") -> None:
@@ -126,8 +137,7 @@ def reset_decisions(items_view: str, decisions_view: str, keys: DataFrame, statu
     back = keys.select("action_id").distinct().withColumn("_status", F.lit(status))
     decisions = deleted(spark.table(decisions_view), back, "action_id")
     items = updated(spark.table(items_view), back, "action_id", "status", "_status")
-    publish(decisions, decisions_view)
-    publish(items, items_view)
+    publish_together({decisions_view: decisions, items_view: items})
 
 
 def apply_comments(spark: SparkSession, table: str, comment: str, columns: dict[str, str]) -> None:

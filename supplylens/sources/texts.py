@@ -44,7 +44,7 @@ def supplier_months(t: SupplyTables) -> DataFrame:
         )
         .withColumn(
             "response_id",
-            F.col("supplier_id") * 1000 + (F.year("month") - 1990) * 12 + F.month("month"),
+            F.col("supplier_id") * 1000000 + F.year("month") * 100 + F.month("month"),
         )
     )
 
@@ -58,26 +58,36 @@ def responses(t: SupplyTables) -> DataFrame:
         F.when(F.pmod(sid, F.lit(3)) != 0, F.concat(F.lit("\nLate shipments: "), whole(m("late_n")))).otherwise(""),
         F.lit("\nOn-time delivery rate: "), rate, F.lit(" %"),
     )
+    select = F.concat(
+        F.lit("SELECT region, COUNT(*) AS shipments FROM shipments WHERE region = EUROPE AND ship_date >= DATE "),
+        whole(m("month")),
+    )
+    second = F.when(F.pmod(sid, F.lit(4)) == 1, "```sql\nSELECT COUNT(*) AS total FROM orders\n```\n").otherwise("")
+    statements = F.when(F.pmod(sid, F.lit(7)) == 3, F.concat(select, F.lit("\n\n"))).otherwise(
+        F.concat(F.lit("```sql\n"), select, F.lit("\n```\n"), second)
+    )
     rest = F.concat(
         F.lit("\n## Revenue\nAugust revenue: $"), cents_text(m("cents")),
         F.lit("\nWasted freight: $"), cents_text(m("freight_cents")),
         F.lit("\n1. **Expedite orders**\nCall the vendor.\n2. **Review stock**\nCount units: "), with_commas(m("units")),
         F.lit("\n\n| metric | value |\n|---|---|\n| shipments | "), whole(m("n")),
-        F.lit(" |\n| units | "), whole(m("units")), F.lit(" |\n\n```sql\nSELECT region, COUNT(*) AS shipments FROM "
-        "shipments WHERE region = EUROPE AND ship_date >= DATE "), whole(m("month")), F.lit("\n```\nDone"),
+        F.lit(" |\n| units | "), whole(m("units")), F.lit(" |\n\n"), statements, F.lit("Done"),
     )
     actions = F.concat(
         F.lit('[{"category": "IMMEDIATE", "domain": "supplier", "title": "Ship '), whole(m("n")),
         F.lit(' lines", "priority": '), whole(F.pmod(sid, F.lit(9)) + 1),
         F.lit('}, {"title": "Audit", "description": "Units '), whole(m("units")), F.lit('"}]'),
     )
-    verdict = F.when(
-        F.pmod(sid, F.lit(2)) == 0,
-        F.concat(
-            whole(m("late_n")), F.lit(" of the **"), whole(m("n")), F.lit("** metrics were EXACT, "),
-            whole(F.least(m("n"), F.pmod(sid, F.lit(4)))), F.lit(" metrics were CLOSE, no MISS"),
-        ),
-    ).otherwise(F.lit("Revenue: EXACT\nFreight: NOT_FOUND\nUnits: EXACT\nRate: n/a"))
+    exact = F.concat(whole(m("late_n")), F.lit(" of the **"), whole(m("n")), F.lit("** metrics were EXACT, "))
+    verdict = (
+        F.when(
+            F.pmod(sid, F.lit(4)) == 0,
+            F.concat(exact, whole(F.least(m("n"), F.pmod(sid, F.lit(5)))), F.lit(" metrics were CLOSE, no MISS")),
+        )
+        .when(F.pmod(sid, F.lit(4)) == 2, F.concat(exact, F.lit("1 metrics were MISS and 2 as NOT_FOUND")))
+        .when(F.pmod(sid, F.lit(4)) == 3, "no CLOSE, 2 MISS, 1 NOT_FOUND")
+        .otherwise("Revenue: EXACT\nFreight: NOT_FOUND\nUnits: EXACT\nRate: n/a")
+    )
     return supplier_months(t).select(
         "response_id",
         "supplier_id",

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from supplylens.operators.actions import NEWEST, change_rows
 from supplylens.operators.windows import latest_and_previous, ranked_latest
+from supplylens.session import path_kind
 
 
 def merge_batch(state: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -62,8 +64,13 @@ def run_available(evaluations: DataFrame, root: str, before_commit=None) -> None
     )
 
 
-def current_state(spark: SparkSession, root: str) -> DataFrame:
-    """State of the newest batch; the batch id is a partition folder, so only that one is read."""
+def current_state(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
+    """State of the newest batch; the batch id is a partition folder, so only that one is read.
+
+    Before the first batch there are no rows, of the given schema.
+    """
+    if schema and path_kind(spark, f"{root}/state") is None:
+        return spark.createDataFrame([], schema)
     stored = spark.read.parquet(f"{root}/state")
     newest = spark.read.parquet(f"{root}/state").select(F.max("batch_id")).scalar()
     return stored.where(F.col("batch_id") == newest).drop("batch_id")

@@ -236,9 +236,9 @@ def test_scalar_helpers(spark):
 
 
 def test_aliases_orphans_and_months(spark):
-    spoken = spark.createDataFrame([("West",), (" western ",), ("the coast",), ("x",)], "region string")
-    mapped = alias_values(spoken, "region", {"the coast": "Western"}, ["Western", "Eastern"], "stored")
-    assert [r["stored"] for r in mapped.collect()] == ["Western", "Western", "Western", None]
+    spoken = spark.createDataFrame([("West",), (" western ",), ("the coast",), ("x",), ("",), ("  ",), (None,), ("e",)], "region string")
+    mapped = alias_values(spoken, "region", {"the coast": "Western"}, ["Western", "Eastern", "Edge"], "stored")
+    assert [r["stored"] for r in mapped.collect()] == ["Western", "Western", "Western", None, None, None, None, None]
     child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
     parent = spark.createDataFrame([(2,)], "id long")
     r = fk_orphans("c.p", child, "k", parent, "id").collect()[0]

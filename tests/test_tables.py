@@ -30,6 +30,12 @@ def test_update_can_set_null_and_leaves_others(spark):
     assert content(T.updated(target, changes, "k", "v", "v").fillna("NULL")) == [(1, "NULL", 1), (2, "b", 1)]
 
 
+def test_update_takes_the_newest_of_several_changes(spark):
+    target = frame(spark, [(1, "a", 1), (2, "b", 1)])
+    changes = frame(spark, [(1, "old", 1), (1, "new", 2)])
+    assert content(T.updated(target, changes, "k", "v", "v", ["at"])) == [(1, "new", 1), (2, "b", 1)]
+
+
 def test_delete_and_replace_slice(spark):
     target = frame(spark, [(1, "a", 1), (2, "b", 1), (2, "c", 1)])
     assert content(T.deleted(target, frame(spark, [(2, "x", 0), (None, "y", 0)]), "k")) == [(1, "a", 1)]

@@ -83,9 +83,9 @@ def test_coverage_status_is_compared_exactly(spark):
 
 
 def test_reference_list_is_searched_in_every_text(spark):
-    texts = spark.createDataFrame([(1, "5 and 7"), (2, "none")], "k long, text string")
-    truth = spark.createDataFrame([("a", 5.0), ("b", 8.0)], "id string, expected double")
-    got = S.score_bands(S.with_expected(S.with_numbers(texts), truth)).collect()
+    texts = spark.createDataFrame([(1, "g", "5 and 7"), (2, "g", "none"), (3, "h", "5")], "k long, q string, text string")
+    truth = spark.createDataFrame([("g", "a", 5.0), ("g", "b", 8.0)], "q string, id string, expected double")
+    got = S.score_bands(S.with_expected(S.with_numbers(texts), truth, ["q"])).collect()
     assert {(r["k"], r["id"]): r["status"] for r in got} == {
         (1, "a"): "EXACT", (1, "b"): "MISS", (2, "a"): "NOT_FOUND", (2, "b"): "NOT_FOUND",
     }
@@ -123,10 +123,14 @@ def test_markdown_tables_drop_rules(spark):
 def test_sql_blocks_and_fallback(spark):
     fenced = "```sql\nSELECT 1\n```\ntext ```sql\n\nSELECT 2\n ``` ```sql\nSELECT 3\n``` ```sql\nSELECT 4\n```"
     got = [r["sql_block"] for r in O.extract_sql(one(spark, fenced), ["id"], "text").collect()]
-    assert got[0] == "SELECT 1" and len(got) == 3
+    assert got == ["SELECT 1", "\nSELECT 2", "SELECT 3", "SELECT 4"]
+    five = "".join(f"```sql\nSELECT {i}\n```\n" for i in range(5))
+    assert O.extract_sql(one(spark, five), ["id"], "text").count() == 5
     bare = "use select region, count(*) FROM sales_orders\nGROUP BY region\n\nthen SELECT a FROM b"
     got = [r["sql_block"] for r in O.extract_sql(one(spark, bare), ["id"], "text").collect()]
     assert got == ["select region, count(*) FROM sales_orders\nGROUP BY region"]
+    short = "\n\n".join(f"SELECT {i} AS column_{i} FROM t" for i in range(4))
+    assert O.extract_sql(one(spark, short), ["id"], "text").count() == 4
 
 
 def test_header_columns(spark):
@@ -186,14 +190,16 @@ def test_exclusion_follows_markers_across_part_borders(spark):
         (1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 2, "tool", "call"), (1, 3, "user", "u"),
         (1, 4, "assistant", "hidden"), (1, 5, "assistant", "a2"), (1, 6, "assistant", "<name>evaluator</name>"),
         (1, 7, "assistant", "hidden too"), (1, 8, "assistant", "a3"), (2, 5, "assistant", "other"),
+        (3, 998, "tool", "call"), (3, 999, "search", "call"), (3, 1000, "assistant", "kept"), (3, 1001, "assistant", "too"),
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     for size in (2, 3, 1000):
-        got = O.text_after_exclusion(df, ["tool"], ["<name>evaluator</name>"], size).orderBy("conv_id", "part").collect()
+        got = O.text_after_exclusion(df, ["tool"], ["<name>evaluator</name>"], size).orderBy("conv_id", "turn").collect()
         said = {}
         for r in got:
-            said.setdefault(r["conv_id"], []).append(r["text"])
-        assert {k: "\n".join(v) for k, v in said.items()} == {1: "a1\na2\na3", 2: "other"}
+            said.setdefault(r["conv_id"], []).append((r["position"], r["text"]))
+        numbered = lambda *texts: list(enumerate(texts))
+        assert said == {1: numbered("a1", "a2", "a3"), 2: numbered("other"), 3: numbered("kept", "too")}
 
 
 def test_terms_inside_and_across_others(spark):
@@ -226,5 +232,5 @@ def test_values_match_and_runs(spark):
 def test_verify_views_without_match_is_a_miss(spark):
     checks = spark.createDataFrame([("otd", 5.4), ("nothing", 1.0)], "keyword string, actual double")
     truth = spark.createDataFrame([("Western OTD rate", 5.42)], "metric string, value double")
-    got = {r["keyword"]: r["status"] for r in S.verify_views(checks, truth).collect()}
+    got = {r["keyword"]: r["status"] for r in S.verify_views(checks, truth, ["Western OTD rate"]).collect()}
     assert got == {"otd": "EXACT", "nothing": "MISS"}
