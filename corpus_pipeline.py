@@ -39,11 +39,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document that loses nothing keeps its text as it is. n_chars follows the text.
     """
-    found = substring_dedup.removed(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")])
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    changed = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    found = substring_dedup.removed(whole, carry=["_row"])
     left = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    return left.withColumns({c: v for c, v in changed.items() if c in docs.columns}).select(docs.columns)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return left.select(*[new[c].alias(c) if c in new else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def mixing_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

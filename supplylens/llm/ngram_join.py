@@ -2,15 +2,16 @@
 
 Sets are put into bands by size. A band fixes the largest symmetric difference H of a linked pair whose smaller
 set is in the band, and parts the universe of n-grams (by hash) into segments. Segment i is worth v = 1 when only
-its exact subset is indexed, and v = 2 when the subsets with one n-gram deleted are indexed as well. A pair with
-difference at most H agrees, exactly or up to one deletion, in a segment of every choice of segments worth more
-than H together. How many segments are worth 2 is chosen per band by cost: rows written against rows expected
-to meet by chance. More segments are cut than needed, so a set can afford empty or useless ones.
-
-The subsets' hashes (keys) meet in parts of the key space. Members of a key are first compared with its smallest
-member only; linked sets then share a class, and only keys that still span several classes give more pairs.
-A key that spans very many is given up; a set that loses too much worth by that meets, exactly, all others that
-lost too much in the same band and share a given-up key. Everything is verified on the whole sets.
+its exact subset is indexed, and v = 2 when the subsets with one n-gram deleted are indexed as well. Unmatched
+segments are worth H at most, so a set whose segments are worth W shares, exactly or up to one deletion, segments
+worth W - H with each of its partners. How many segments are worth 2 is chosen per band by cost: rows written
+against rows expected to meet by chance. More segments are cut than H + 1, so W - H is several of them.
+
+The hashes of the subsets (keys) meet in parts of the key space. Keys with few members give pairs, counted: a pair
+is verified when it shares as many of them as both sets need, less their keys with many members. A set with so
+many crowded keys that it needs none is heavy. Heavy sets are compared with the best connected set of each of
+their crowded keys, and what is still in different classes after that in blocks of one hot group. Everything is
+verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -37,12 +38,13 @@ class Join:
     den: int = 100
     words: int = 5
     band: float = 1.5
-    spare: float = 1.2
+    spare: float = 1.5
     #: keys gathered in one task, on average
     part: int = 2_000_000
-    #: a key with more classes or, with several classes, more members than this gives no pairs by itself
-    classes: int = 16
-    members: int = 1000
+    #: a key with more members gives no counted pairs
+    crowd: int = 16
+    #: sets of a hot group that are compared in one task with as many others
+    block: int = 1500
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -142,23 +144,54 @@ def set_id(h: np.ndarray) -> int:
     return int(np.add.reduce(mix(h + U(len(h)))) >> U(1)) if len(h) else -1
 
 
+def needed(h: np.ndarray, j: Join) -> int:
+    """How many keys a set shares at least with each partner that has no other ones."""
+    out = []
+    for b in set_bands(len(h), j):
+        _, _, worth, most = _keys_in_band(h, b, j)
+        left = int(worth.sum()) - most
+        out.append(max(1, -(-left // int(worth.max()))))
+    return min(out)
+
+
 def members(docs: DataFrame, j: Join) -> DataFrame:
-    """doc_id, text_key (hash of the text), n_shingles and set_id (-1 for the empty set) of each document."""
+    """doc_id, text_key (hash of the text), n_shingles, set_id (-1 for the empty set) and need of each document."""
 
-    @F.pandas_udf("n_shingles long, set_id long")
+    @F.pandas_udf("n_shingles long, set_id long, need int")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            sets = [shingles(t, j.words) for t in texts]
-            yield pd.DataFrame({"n_shingles": [len(h) for h in sets], "set_id": [set_id(h) for h in sets]}, dtype="int64")
+            rows = []
+            for text in texts:
+                h = shingles(text, j.words)
+                rows.append((len(h), set_id(h), needed(h, j) if len(h) else 0))
+            yield pd.DataFrame(rows, columns=["n_shingles", "set_id", "need"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), scan("text").alias("s"))
-    return rows.select("doc_id", "text_key", "s.n_shingles", "s.set_id")
-
+    return rows.select("doc_id", "text_key", "s.*")
 
-def key_members(docs: DataFrame, parts: int, j: Join) -> DataFrame:
-    """key, pivot, set_id of every member of a key but its smallest, the pivot; keys with one member give no row.
 
-    A task writes its keys in one array per part of the key space, each set once.
+def _pairs_of_small(key: np.ndarray, owner: np.ndarray, start: np.ndarray, size: np.ndarray, crowd: int) -> pd.DataFrame:
+    """Pairs within the keys of 2 .. crowd members, with the number of such keys of this part that they share."""
+    out = []
+    for z in range(2, crowd + 1):
+        at = start[size == z]
+        if len(at):
+            rows = owner[at[:, None] + np.arange(z)]
+            i, k = np.triu_indices(z, 1)
+            out.append(np.stack([rows[:, i].ravel(), rows[:, k].ravel()], axis=1))
+    if not out:
+        return pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
+    pairs = np.concatenate(out)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    first = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1)))
+    return pd.DataFrame({"a": pairs[first, 0], "b": pairs[first, 1], "n": np.diff(np.append(first, len(pairs)))})
+
+
+def meetings(docs: DataFrame, parts: int, j: Join) -> DataFrame:
+    """Where keys meet: pairs (a, b, n), a < b, with the number n of small keys they share, in one or more rows; and
+    rows (key, set_id, 0) for every member of a crowded key.
+
+    A task writes its keys in one array per part of the key space, each set once as far as it remembers.
     """
 
     def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,21 +230,31 @@ def key_members(docs: DataFrame, parts: int, j: Join) -> DataFrame:
         key, owner = key[order], owner[order]
         new = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))
         key, owner = key[new], owner[new]
-        first = np.append(True, key[1:] != key[:-1])
-        pivot = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
-        rest = ~first
-        return pd.DataFrame({"key": key[rest], "pivot": pivot[rest], "set_id": owner[rest]})
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(start, len(key)))
+        crowded = np.repeat(size > j.crowd, size)
+        return pd.concat(
+            [
+                _pairs_of_small(key, owner, start, size, j.crowd),
+                pd.DataFrame({"a": key[crowded], "b": owner[crowded], "n": np.zeros(int(crowded.sum()), dtype=np.int64)}),
+            ]
+        )
 
     blobs = docs.select("text").where(F.col("text").isNotNull())
     blobs = blobs.mapInPandas(scatter, "part long, keys binary, owners binary")
-    return blobs.groupBy("part").applyInPandas(meet, "key long, pivot long, set_id long")
+    return blobs.groupBy("part").applyInPandas(meet, "a long, b long, n long")
+
+
+def set_texts(docs: DataFrame, chosen: DataFrame, need: DataFrame) -> DataFrame:
+    """set_id and one of its texts for the sets of ``need``; ``chosen`` names the hash of that text."""
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text")
+    return texts.join(chosen.join(need, "set_id", "left_semi"), "text_key").select("set_id", "text").dropDuplicates(["set_id"])
 
 
 def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, j: Join) -> DataFrame:
-    """Of the pairs (a, b) of set ids those that are linked. ``chosen`` names the hash of one text per set id."""
+    """Of the pairs (a, b) of set ids those that are linked."""
     need = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(chosen.join(need, "set_id", "left_semi"), "text_key")
-    own = written(texts.select("set_id", "text").dropDuplicates(["set_id"]), "join-texts")
+    own = written(set_texts(docs, chosen, need), "join-texts")
     both = pairs.join(own.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(own.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -228,6 +271,42 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, j: Join) -> D
     return both.mapInPandas(check, "a long, b long")
 
 
+def links_in_blocks(heavy: DataFrame, j: Join) -> DataFrame:
+    """Links (a, b) between different classes of a hot group: for each set one with every class it links to, per block.
+
+    ``heavy`` has hot (the group), set_id, label (its class) and text. A group is cut into blocks; two blocks at a time
+    meet in a task, where an inverted index counts common n-grams.
+    """
+    sizes = heavy.groupBy("hot").agg(F.ceil(F.count("*") / j.block).cast("int").alias("blocks"), F.count_distinct("label").alias("k"))
+    rows = heavy.join(sizes.where("k > 1"), "hot")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("block", "other"), "k": F.greatest("block", "other")})
+
+    def compare(d: pd.DataFrame) -> pd.DataFrame:
+        i, k = int(d["i"].iloc[0]), int(d["k"].iloc[0])
+        d = d.drop_duplicates("set_id").sort_values("set_id", kind="stable").reset_index(drop=True)
+        sets = [shingles(t, j.words) for t in d["text"]]
+        size, ids, label = np.array([len(s) for s in sets]), d["set_id"].to_numpy(), d["label"].to_numpy()
+        right = np.flatnonzero((d["block"] == k).to_numpy())
+        grams = np.concatenate([sets[r] for r in right])
+        owner = np.repeat(right, size[right])
+        order = np.argsort(grams, kind="stable")
+        grams, owner = grams[order], owner[order]
+        out = []
+        for r in np.flatnonzero((d["block"] == i).to_numpy()):
+            lo, hi = np.searchsorted(grams, sets[r], "left"), np.searchsorted(grams, sets[r], "right")
+            width = hi - lo
+            at = np.repeat(lo - np.cumsum(width) + width, width) + np.arange(width.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            hit = np.flatnonzero((j.den * both >= j.num * (size[r] + size - both)) & (both > 0) & (label != label[r]))
+            _, one = np.unique(label[hit], return_index=True)
+            out += [(min(ids[r], ids[x]), max(ids[r], ids[x])) for x in hit[one]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
+
+    return rows.groupBy("hot", "i", "k").applyInPandas(compare, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and label (smallest node reachable) of every node of the edges (a, b), by rounds of star contraction."""
     at = written(
@@ -256,31 +335,6 @@ def labelled(sets: DataFrame, name: str, classes: DataFrame, label: str) -> Data
     return sets.join(c, sets[name] == F.col("_node"), "left").withColumn(label, F.coalesce("_label", name)).drop("_node", "_label")
 
 
-def _lost(docs: DataFrame, given_up: DataFrame, j: Join) -> DataFrame:
-    """(band, set_id, key) of sets whose segments without given-up keys are worth H at most; key is given up."""
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text in batch["text"]:
-                h = shingles(text, j.words)
-                for b in set_bands(len(h), j) if len(h) else ():
-                    keys, owner, worth, most = _keys_in_band(h, b, j)
-                    of = worth[np.searchsorted(np.unique(owner), owner)]
-                    if worth.sum() <= most:
-                        single = token_keys(h, b)
-                        keys, owner = np.append(keys, single), np.append(owner, np.full(len(single), -1))
-                        of = np.append(of, np.ones(len(single), dtype=of.dtype))
-                    yield pd.DataFrame(
-                        {"set_id": set_id(h), "band": b, "seg": owner, "worth": of, "spare": int(worth.sum()) - most, "key": keys.view(np.int64)}
-                    )
-
-    rows = docs.select("text").mapInPandas(scan, "set_id long, band int, seg long, worth int, spare long, key long")
-    hit = written(rows.join(given_up, "key", "left_semi").distinct(), "join-given-up")
-    by_set = hit.select("set_id", "band", "seg", "worth", "spare").distinct().groupBy("set_id", "band", "spare")
-    poor = by_set.agg(F.sum("worth").alias("w")).where(F.col("spare") - F.col("w") <= 0)
-    return hit.join(poor, ["set_id", "band"], "left_semi").select("band", "set_id", "key").distinct()
-
-
 def linked(docs: DataFrame, j: Join = Join()) -> DataFrame:
     """Class of every row of ``docs`` (doc_id, text): doc_id, text_key, n_shingles, set_id, class_id, component_id.
 
@@ -291,41 +345,38 @@ def linked(docs: DataFrame, j: Join = Join()) -> DataFrame:
     """
     own = written(members(docs, j), "join-members")
     total = own.agg(F.sum("n_shingles")).first()[0] or 0
-    keyed = written(key_members(docs, max(1, -(-int(total) // j.part)), j), "join-keys")
-    # one text per set: the one of the smallest (text_key), found again by its hash
-    chosen = own.where("set_id >= 0").groupBy("set_id").agg(F.min("text_key").alias("text_key"))
-    pairs = keyed.select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct()
-    links = written(verified(pairs, docs, chosen, j), "join-links")
+    met = written(meetings(docs, max(1, -(-int(total) // j.part)), j), "join-meetings")
+    # one text per set, the one of the smallest hash
+    chosen = own.where("set_id >= 0").groupBy("set_id").agg(F.min("text_key").alias("text_key"), F.first("need").alias("need"))
+    crowded = met.where("n = 0").select(F.col("a").alias("key"), F.col("b").alias("set_id"))
+    load = crowded.groupBy("set_id").agg(F.count("*").alias("load"))
+    sets = chosen.join(load, "set_id", "left")
+    sets = written(sets.select("set_id", "text_key", (F.col("need") - F.coalesce("load", F.lit(0))).alias("left")), "join-sets")
+    chosen = sets.select("set_id", "text_key")
+    shared = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    least = lambda side: sets.select(F.col("set_id").alias(side), F.col("left").alias(f"need_{side}"))
+    shared = shared.join(least("a"), "a").join(least("b"), "b")
+    pairs = shared.where("n >= greatest(need_a, need_b, 1)").select("a", "b")
+    # heavy sets against the set of each crowded key that has most crowded keys
+    heavy = crowded.join(sets.where("left <= 0").select("set_id"), "set_id", "left_semi")
+    heavy = written(heavy.join(load, "set_id"), "join-heavy")
+    best = heavy.groupBy("key").agg(F.min(F.struct(-F.col("load"), F.col("set_id"))).alias("m"))
+    spokes = heavy.join(best, "key").select(F.col("m.set_id").alias("a"), F.col("set_id").alias("b")).where("a <> b").distinct()
+    links = written(verified(pairs.union(spokes).distinct(), docs, chosen, j), "join-links")
     classes = components(links)
-    # keys that still span several classes
-    marked = labelled(labelled(keyed, "set_id", classes, "l"), "pivot", classes, "lp")
-    open_keys = marked.where("l <> lp").select("key").distinct()
-    rest = marked.join(open_keys, "key", "left_semi")
-    rest = written(rest.select("key", "set_id", "l").union(rest.select("key", "pivot", "lp")).distinct(), "join-open")
-    width = rest.groupBy("key", "l").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
-    given_up = written(width.where((F.col("k") > j.classes) | (F.col("n") > j.members)).select("key"), "join-hot")
-    small = rest.join(given_up, "key", "left_anti")
-    more = _across(small, ["key"])
-    if not given_up.isEmpty():
-        lost = _lost(docs.join(own.join(rest.join(given_up, "key", "left_semi"), "set_id", "left_semi").select("text_key").distinct(),
-                               F.xxhash64("text") == F.col("text_key"), "left_semi"), given_up, j)
-        more = more.union(_across(labelled(lost, "set_id", classes, "l"), ["band", "key"])).distinct()
-    more = written(more.join(pairs, ["a", "b"], "left_anti"), "join-more")
-    if not more.isEmpty():
-        links = links.union(written(verified(more, docs, chosen, j), "join-links"))
+    hot = components(spokes).select(F.col("node").alias("set_id"), F.col("label").alias("hot"))
+    inside = labelled(hot, "set_id", classes, "label")
+    several = inside.groupBy("hot").agg(F.count_distinct("label").alias("k")).where("k > 1").select("hot")
+    inside = written(inside.join(several, "hot", "left_semi").select("hot", "set_id", "label"), "join-hot")
+    if not inside.isEmpty():
+        texts = set_texts(docs, chosen, inside.select("set_id"))
+        links = links.union(written(links_in_blocks(inside.join(texts, "set_id"), j), "join-links"))
         classes = components(links)
     out = labelled(own, "set_id", classes, "class_id").withColumn(
         "class_id", F.when(F.col("set_id") >= 0, F.col("class_id"))
     )
-    least = out.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("_least"))
-    out = out.join(least, "class_id", "left")
+    least_id = out.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("_least"))
+    out = out.join(least_id, "class_id", "left")
     return out.select(
         "doc_id", "text_key", "n_shingles", "set_id", "class_id", F.coalesce("_least", "doc_id").alias("component_id")
     )
-
-
-def _across(rows: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs (a, b), a < b, of different classes that share ``on``."""
-    left = rows.select(*on, F.col("set_id").alias("a"), F.col("l").alias("la"))
-    right = rows.select(*on, F.col("set_id").alias("b"), F.col("l").alias("lb"))
-    return left.join(right, on).where("a < b and la <> lb").select("a", "b").distinct()

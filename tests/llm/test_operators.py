@@ -72,9 +72,9 @@ def test_join_matches_all_pairs(documents, odd_documents):
         assert order(got) == order(brute.join_components(pairs(df, "doc_id", "text")))
 
 
-@pytest.mark.parametrize("classes, members", [(16, 1000), (1, 2)])
-def test_join_on_near_copies_and_common_passages(spark, classes, members):
-    rng = random.Random(classes)
+@pytest.mark.parametrize("crowd, block", [(16, 1500), (2, 7)])
+def test_join_on_near_copies_and_common_passages(spark, crowd, block):
+    rng = random.Random(crowd)
     passage = [f"p{i}" for i in range(40)]
     texts = []
     for i in range(40):
@@ -85,7 +85,7 @@ def test_join_on_near_copies_and_common_passages(spark, classes, members):
                 words[rng.randrange(len(words))] = f"e{rng.randint(0, 10**6)}"
             texts.append((len(texts), " ".join(passage + words if i % 2 else words)))
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
-    got = pairs(ngram_join.linked(df, ngram_join.Join(classes=classes, members=members)), "doc_id", "n_shingles", "component_id")
+    got = pairs(ngram_join.linked(df, ngram_join.Join(crowd=crowd, block=block)), "doc_id", "n_shingles", "component_id")
     assert order(got) == order(brute.join_components(texts))
 
 
@@ -99,7 +99,8 @@ def test_linked_sets_share_a_key():
             drop = rng.integers(0, n // 5 + 1)
             b = np.sort(np.concatenate([a[drop:], np.setdiff1d(h, a)[: rng.integers(0, n // 10 + 1)]]))
             if ngram_join.overlap_links(a, b, j):
-                assert np.intersect1d(ngram_join.keys_of(a, j), ngram_join.keys_of(b, j)).size
+                shared = np.intersect1d(ngram_join.keys_of(a, j), ngram_join.keys_of(b, j)).size
+                assert shared >= max(ngram_join.needed(a, j), ngram_join.needed(b, j))
 
 
 # mixing

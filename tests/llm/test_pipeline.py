@@ -1,5 +1,7 @@
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from supplylens.llm import mixing
 from tests.conftest import SMALL
@@ -36,7 +38,7 @@ def check_stages(spark, docs):
     assert all(r["n_chars"] == len(r["text"]) for r in clean)
 
     copies = Counter()
-    for r in mixing.mixed(docs).collect():
+    for r in mixing.mixed(docs.withColumn("_hash", F.xxhash64("text")), carry=["_hash"]).collect():
         copies[r["doc_id"]] += r["copies"]
     docs = corpus_pipeline.written(stages["source mixing"](spark, docs, SMALL), "t")
     mixed = docs_of(docs)
