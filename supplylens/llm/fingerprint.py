@@ -16,7 +16,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import WORD
 
 
 @dataclass(frozen=True)
@@ -28,26 +27,15 @@ class Sketch:
     most_blocks: int = 8192
 
 
-def terms(text: Column, s: Sketch) -> Column:
-    """Sorted hashes of the shingles of ``text``, repeats included; a shorter text is one shingle, none is empty."""
-    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+#: Larger than any sample: stands where a repeat of a term has none.
+NONE = (1 << 63) - 1
+#: The white space between words.
+BLANK = " \t\n\x0b\x0c\r"
 
-    def shingles(h: Column) -> Column:
-        n = F.size(h)
-        at = lambda i, j: F.get(h, i + j)
-        long = F.transform(
-            F.sequence(F.lit(0), n - s.shingle), lambda i: F.xxhash64(*[at(i, j) for j in range(s.shingle)])
-        )
-        one = F.array(F.xxhash64(F.array_join(h.cast("array<string>"), " ")))
-        return F.when(n >= s.shingle, long).when(n > 0, one).otherwise(F.array().cast("array<bigint>"))
 
-    return F.sort_array(let(hashes, shingles))
-
-
-def let(value: Column, body) -> Column:
-    """``body`` with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _uniform(bits: Column, shift: int) -> Column:
+    """16 bits of a hash as a number between 0 and 1, both excluded."""
+    return (F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(0xFFFF)) + 0.5) / 65536.0
 
 
 def weight_of_run(h: Column, x: Column, i: Column, level: int = 1) -> Column:
@@ -58,56 +46,61 @@ def weight_of_run(h: Column, x: Column, i: Column, level: int = 1) -> Column:
     return F.when((i >= back) & (F.get(h, i - back) == x), weight_of_run(h, x, i, level + 1)).otherwise(F.lit(level))
 
 
-def _uniform(bits: Column, shift: int) -> Column:
-    """21 bits of a hash as a number between 0 and 1, both excluded."""
-    return (F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(0x1FFFFF)) + 0.5) / float(1 << 21)
-
-
-def samples(h: Column, s: Sketch) -> Column:
-    """One number per term: its bin, its sample in 32 bits and 25 bits that name (term, t), smallest samples first."""
-
-    def sample(x: Column, w: Column) -> Column:
-        def draw(pair: Column) -> Column:
-            one, two = pair["one"], pair["two"]
-            r = -F.log(_uniform(one, 0) * _uniform(one, 21))
-            c = -F.log(_uniform(one, 42) * _uniform(two, 0))
-            b = _uniform(two, 21)
-
-            def place(rb: Column) -> Column:
-                t = F.floor(F.log(rb["w"]) / rb["r"] + rb["b"])
-                a = F.log(rb["c"]) - rb["r"] * (t - rb["b"]) - rb["r"]
-                # ln a lies between about -45 and 5, whatever the weight
-                scaled = F.least(F.greatest((a + 60.0) * float(1 << 25), F.lit(0.0)), F.lit(float((1 << 32) - 1)))
-                name = F.xxhash64(rb["x"], t).bitwiseAND(F.lit((1 << 24) - 1))
-                bin_ = rb["x"].bitwiseAND(F.lit((1 << s.bin_bits) - 1))
-                return F.shiftleft(bin_, 56).bitwiseOR(F.shiftleft(scaled.cast("bigint"), 24)).bitwiseOR(name)
-
-            return let(F.struct(r.alias("r"), c.alias("c"), b.alias("b"), w.cast("double").alias("w"), x.alias("x")), place)
-
-        return let(F.struct(F.xxhash64(x, F.lit(1)).alias("one"), F.xxhash64(x, F.lit(2)).alias("two")), draw)
-
-    last = F.transform(
-        h,
-        lambda x, i: F.when(
-            (F.get(h, i + 1) == x), F.lit(None).cast("bigint")
-        ).otherwise(sample(x, weight_of_run(h, x, i))),
-    )
-    return F.sort_array(F.filter(last, lambda v: v.isNotNull()))
+def sample(h: Column, x: Column, i: Column, s: Sketch) -> Column:
+    """The sample of term ``x`` at place ``i`` of the sorted terms as one number: its bin, ln a, a name of (term, t).
 
+    Only the last of equal terms has one. For weight 1, which most terms have, t is 0.
+    """
+    other = F.xxhash64(x, F.lit(1))
+    r = -F.log(_uniform(x, 0) * _uniform(x, 16))
+    log_c = F.log(-F.log(_uniform(x, 32) * _uniform(other, 0)))
+    b = _uniform(other, 16)
+
+    def packed(log_a: Column, name: Column) -> Column:
+        # ln a lies between about -45 and 5, whatever the weight
+        scaled = F.least(F.greatest((log_a + 60.0) * float(1 << 25), F.lit(0.0)), F.lit(float((1 << 32) - 1)))
+        bin_ = F.shiftleft(x.bitwiseAND(F.lit((1 << s.bin_bits) - 1)), 55)
+        return bin_.bitwiseOR(F.shiftleft(scaled.cast("bigint"), 23)).bitwiseOR(name.bitwiseAND(F.lit((1 << 23) - 1)))
+
+    t = F.floor(F.log(weight_of_run(h, x, i).cast("double")) / r + b)
+    return (
+        F.when(F.get(h, i + 1) == x, F.lit(NONE))
+        .when((i > 0) & (F.get(h, i - 1) == x), packed(log_c - r * (t - b) - r, F.xxhash64(x, t)))
+        .otherwise(packed(log_c + r * (b - 1), F.shiftrightunsigned(other, 40)))
+    )
 
-def signature(text: Column, s: Sketch = Sketch()) -> Column:
-    """The smallest sample of each bin that has terms, as an array of numbers in the order of the bins."""
 
-    def first_of_bins(v: Column) -> Column:
-        return F.filter(v, lambda x, i: (i == 0) | (F.shiftright(F.get(v, i - 1), 56) != F.shiftright(x, 56)))
+def with_signature(df: DataFrame, text: str, name: str, s: Sketch = Sketch()) -> DataFrame:
+    """``df`` with the signature of the column ``text``: the smallest sample of each bin that has terms, by bin.
 
-    return let(let(terms(text, s), lambda h: samples(h, s)), first_of_bins)
+    Step by step in columns of their own, so that both sorts are compiled and work on plain numbers.
+    """
+    trimmed = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANK))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
+    h, t, v = F.col("_h"), F.col("_t"), F.col("_v")
+    n = F.size(h)
+    long = F.transform(
+        F.sequence(F.lit(0), n - s.shingle), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(s.shingle)])
+    )
+    short = F.array(F.xxhash64(F.array_join(h.cast("array<string>"), " ")))
+    terms = F.when(n >= s.shingle, long).when(n > 0, short).otherwise(F.array().cast("array<bigint>"))
+    own = F.filter(
+        v,
+        lambda x, i: (x != NONE) & ((i == 0) | (F.shiftright(F.get(v, i - 1), 55) != F.shiftright(x, 55))),
+    )
+    return (
+        df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
+        .withColumn("_t", F.sort_array(terms))
+        .withColumn("_v", F.sort_array(F.transform(t, lambda x, i: F.coalesce(sample(t, x, i, s), F.lit(NONE)))))
+        .withColumn(name, own)
+        .drop("_h", "_t", "_v")
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of the bins with terms in either text whose samples agree; 1 for two texts without terms."""
     same = F.size(F.array_intersect(a, b))
-    high = lambda v: F.transform(v, lambda x: F.shiftright(x, 56))
+    high = lambda v: F.transform(v, lambda x: F.shiftright(x, 55))
     bins = F.size(F.array_union(high(a), high(b)))
     return F.when(bins == 0, F.lit(1.0)).otherwise(same / bins)
 
@@ -156,9 +149,9 @@ def with_next(docs: DataFrame, s: Sketch = Sketch()) -> DataFrame:
     over = Window.partitionBy().orderBy("_b")  # one row per range, a bounded number
     ring = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = firsts.select("_b", F.coalesce(F.lead("text").over(over), F.first("text").over(ring)).alias("_after"))
-    after = after.withColumn("_after_own", signature(F.col("_after"), s))
+    after = with_signature(after, "_after", "_after_own", s)
     order = Window.partitionBy("_b").orderBy("doc_id", "text")
-    near = base.withColumn("_near", F.lead("text").over(order)).withColumn("own", signature(F.col("text"), s))
+    near = with_signature(base.withColumn("_near", F.lead("text").over(order)), "text", "own", s)
     near = near.withColumn("_near_own", F.lead("own").over(order))
     return near.join(after, "_b").select(
         "doc_id",
@@ -185,12 +178,12 @@ def fingerprinted(docs: DataFrame, s: Sketch = Sketch()) -> DataFrame:
     A single document is its own next one. An empty table gives an empty table. Other columns are not carried.
     """
     both = with_next(docs, s).withColumn("_edited", edited(F.col("text"), F.col("next_text")))
-    sketched = both.select(
+    sketched = with_signature(both, "_edited", "_changed", s).select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
         F.col("own").alias("_own"),
-        signature(F.col("_edited"), s).alias("_changed"),
+        "_changed",
         F.col("next_own").alias("_next"),
     )
     return sketched.select(
