@@ -33,7 +33,7 @@ class Ppm:
     """``order``: bytes of context at most; ``block``: bytes of text in a block; ``parts``: of the model."""
 
     order: int = 4
-    block: int = 32_000_000
+    block: int = 12_000_000
     parts: int = 64
 
 
@@ -103,8 +103,9 @@ def packed(docs: DataFrame, training: Column, m: Ppm) -> DataFrame:
                     pick = [i for i, f in enumerate(flags) if f == learned]
                     if not pick:
                         continue
-                    code, n = _unique_grams([raw[i] for i in pick], m.order)
-                    ids, k = np.unique(word_hashes(b" ".join(raw[i] for i in pick).translate(LOWER)), return_counts=True)
+                    texts_of = [raw[i] for i in pick]
+                    code, n = _unique(texts_of, lambda t: grams(t, m.order))
+                    ids, k = _unique(texts_of, lambda t: word_hashes(b" ".join(t).translate(LOWER)))
                     asked["gram"].append(code)
                     asked["word"].append(ids.view(np.int64))
                     if learned:
@@ -123,19 +124,19 @@ def packed(docs: DataFrame, training: Column, m: Ppm) -> DataFrame:
     return rows.mapInPandas(pack, PACK)
 
 
-def _unique_grams(raw: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams with counts, gathered in slices so that memory follows the distinct ones."""
-    codes, counts, at = [], [], 0
+def _unique(raw: list[bytes], ids_of) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids of texts with counts, gathered in slices so that memory follows the distinct ones."""
+    ids, counts, at = [], [], 0
     while at < len(raw):
         stop, size = at, 0
-        while stop < len(raw) and (size < 4_000_000 or stop == at):
+        while stop < len(raw) and (size < 1_000_000 or stop == at):
             size += len(raw[stop]) + 1
             stop += 1
-        c, n = np.unique(grams(raw[at:stop], order), return_counts=True)
-        codes.append(c)
+        c, n = np.unique(ids_of(raw[at:stop]), return_counts=True)
+        ids.append(c)
         counts.append(n)
         at = stop
-    return _summed(np.concatenate(codes), np.concatenate(counts))
+    return _summed(np.concatenate(ids), np.concatenate(counts))
 
 
 def _summed(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
