@@ -65,9 +65,3 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nobody has written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def reused(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder because the plan reads it more than once."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -166,7 +166,11 @@ def test_same_instant_is_ordered_by_id_and_single_evaluations_give_no_change(act
 
 
 def test_null_keys_never_hide_pending_actions(actions):
-    assert [r["action_id"] for r in A.pending_unevaluated(*actions).collect()] == [3]
+    texts = {c: F.lit("x") for c in ("description", "specific_steps", "expected_impact")}
+    items = actions[0].withColumns(texts)
+    assert [r["action_id"] for r in A.pending_unevaluated(items, actions[1]).collect()] == [3]
+    waiting = items.where("status = 'PENDING'").count()
+    assert A.pending_unevaluated(items, actions[1], again=True).count() == waiting
     assert without_counterpart(actions[0], actions[1], "action_id").count() == 1
 
 
@@ -235,6 +239,18 @@ def test_scalar_helpers(spark):
     assert row["note"] == "Shipment at hub - DELAYED" and row["over"] == 10.0 and row["risk"] == "High"
 
 
+def test_past_actions_keep_fractions_ties_and_whole_lessons(spark):
+    row = (1, "2000-01-01", "d", "t", "SUCCESS", 1250, "fill_rate", 4.2, 8.7, "x" * 400)
+    history = spark.createDataFrame(
+        [row],
+        "history_id long, action_date string, domain string, title string, success_rating string, cost_cents long, "
+        "metric_name string, metric_before float, metric_after float, lessons_learned string",
+    )
+    line = A.precedent_lines(history).collect()[0]["line"]
+    assert "(+4.5). Lesson: " + "x" * 400 in line and "($12)" in line
+    assert A.history_display(history).collect()[0]["cost"] == "$12"
+
+
 def test_aliases_orphans_and_months(spark):
     spoken = spark.createDataFrame([("West",), (" western ",), ("the coast",), ("x",), ("",), ("  ",), (None,), ("e",)], "region string")
     mapped = alias_values(spoken, "region", {"the coast": "Western"}, ["Western", "Eastern", "Edge"], "stored")

@@ -123,7 +123,7 @@ def test_markdown_tables_drop_rules(spark):
 def test_sql_blocks_and_fallback(spark):
     fenced = "```sql\nSELECT 1\n```\ntext ```sql\n\nSELECT 2\n ``` ```sql\nSELECT 3\n``` ```sql\nSELECT 4\n```"
     got = [r["sql_block"] for r in O.extract_sql(one(spark, fenced), ["id"], "text").collect()]
-    assert got == ["SELECT 1", "\nSELECT 2", "SELECT 3", "SELECT 4"]
+    assert got == ["SELECT 1", "SELECT 2", "SELECT 3", "SELECT 4"]
     five = "".join(f"```sql\nSELECT {i}\n```\n" for i in range(5))
     assert O.extract_sql(one(spark, five), ["id"], "text").count() == 5
     bare = "use select region, count(*) FROM sales_orders\nGROUP BY region\n\nthen SELECT a FROM b"
