@@ -171,7 +171,7 @@ def ground_truth_kpis(t, region: str) -> DataFrame:
 
 def ground_truth_40(t, region: str, continents: list[str], quarter: str = "Q3") -> DataFrame:
     """The forty test values as (id, metric, value); the first three continents are tested."""
-    target = F.lit(next(row[2] for row in FISCAL_TARGETS if row[0] == quarter))
+    target = F.lit(next(row[3] for row in FISCAL_TARGETS if row[0] == quarter))
     last, prior = F.col("last_cents"), F.col("prior_cents")
     on_time = F.round((F.col("shipments_n") - F.col("late_n")) / F.nullif(F.col("shipments_n"), F.lit(0)) * 100, 2)
     vendor_late = share("po_late_all", "po_n_all")

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entrypoint
+from supplylens import registry
 from tests.compare import database, differences
 
-QUERIES, SQL = entrypoint.queries(), entrypoint.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.sql()
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entrypoint
+from supplylens import registry
 from supplylens.operators.joins import skew_safe_join
 from supplylens.operators.windows import index_within_key, latest_and_previous, previous_within_key
 from supplylens.plans import certified as Q
@@ -98,9 +98,9 @@ def test_month_filter_and_columns_reach_the_scan(spark, small):
 
 
 # Queries whose call itself runs jobs to write something first.
-@pytest.mark.parametrize("name", sorted(entrypoint.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_rows_and_no_cross_products(spark, small, name):
-    text = plan(entrypoint.queries()[name](spark, small))
+    text = plan(registry.queries()[name](spark, small))
     for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text, bad
 
