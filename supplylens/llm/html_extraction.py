@@ -158,17 +158,14 @@ def parse(html: str) -> list[tuple[int, bool, str]]:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, copy (hash of the blocks) and blocks (node, main, text, key) of every page."""
+    """page_id, url, host, copy (hash of the blocks) and blocks (node, main, text) of every page."""
     host, _ = split_url(F.col("url"))
 
-    @F.pandas_udf("array<struct<node:bigint,main:boolean,text:string,key:bigint>>")
+    @F.pandas_udf("array<struct<node:bigint,main:boolean,text:string>>")
     def blocks(html: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                [
-                    {"node": n, "main": m, "text": t, "key": xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63)}
-                    for n, m, t in parse(h or "")
-                ]
+                [{"node": n, "main": m, "text": t} for n, m, t in parse(h or "")]
                 for h in html
             ],
             dtype=object,
@@ -186,7 +183,7 @@ def style_tree(rows: DataFrame, w: Weights = Weights()) -> DataFrame:
     a hot host is spread over its texts.
     """
     leaves = rows.select("host", "copy", F.explode("blocks").alias("b"))
-    leaves = leaves.select("host", "b.node", "b.main", "b.key", "copy").distinct()
+    leaves = leaves.select("host", "b.node", "b.main", F.xxhash64("b.text").alias("key"), "copy").distinct()
     texts = leaves.groupBy("host", "node", "main", "key").agg(F.count("*").alias("c"))
     per_node = texts.groupBy("host", "node", "main").agg(
         F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("spread")
@@ -209,7 +206,7 @@ def extracted(pages: DataFrame, w: Weights = Weights()) -> DataFrame:
     """
     rows = written(parsed(pages), "dom")
     low = style_tree(rows, w).where(F.col("importance") < w.least).groupBy("host").agg(F.collect_set("node").alias("low"))
-    joined = rows.join(low, "host", "left")
+    joined = rows.join(written(low, "style-tree"), "host", "left")  # written, so that its size is known
     kept = F.filter("blocks", lambda b: F.coalesce(~F.array_contains("low", b["node"]), F.lit(True)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     out = joined.select("page_id", "url", text.alias("text"))
