@@ -112,9 +112,7 @@ def as_text(v: Column) -> Column:
 def _blocks(docs: DataFrame, s: Sketch) -> list[int]:
     """Ids that part the documents into ranges of about ``block``: at most ``most_blocks`` numbers."""
     n = docs.count()
-    parts = max(1, min(s.most_blocks, n // s.block))
-    if parts == 1:
-        return []
+    parts = max(2, min(s.most_blocks, n // s.block))
     shares = F.array(*[F.lit(k / parts) for k in range(1, parts)])
     got = docs.agg(F.percentile_approx("doc_id", shares, F.lit(max(10_000, 20 * parts)))).first()[0]
     return sorted(set(got or []))
