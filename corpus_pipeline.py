@@ -27,11 +27,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = ngram_join.linked(docs)
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     best = found.where("class_id is not null").groupBy("class_id").agg(F.min(rank).alias("r"))
-    keys = best.select(F.col("r.doc_id").alias("_id"), F.col("r.text_key").alias("_key"))
-    keys = keys.union(found.where("class_id is null").select("doc_id", "text_key").distinct())
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    kept = hashed.join(keys, hashed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_hash"]).select(docs.columns)
+    keys = best.select("r.doc_id", "r.text_key").union(found.where("class_id is null").select("doc_id", "text_key"))
+    keys = keys.select(F.xxhash64("doc_id", "text_key").alias("_key")).distinct()
+    # one key for the row, so that the join and the removal of repeats share a shuffle
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.xxhash64("text")))
+    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,17 +49,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixing_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    copies = mixing.mixed(hashed, carry=["_hash"]).groupBy("doc_id", "source", "_hash").agg(F.sum("copies").alias("_n"))
-    copies = copies.where("_n > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_hash").alias("_key"), "_n")
-    same = (
-        hashed["doc_id"].eqNullSafe(F.col("_id"))
-        & hashed["source"].eqNullSafe(F.col("_source"))
-        & (hashed["_hash"] == F.col("_key"))
-    )
-    once = hashed.dropDuplicates(["doc_id", "source", "_hash"])
-    taken = once.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-    return taken.select(docs.columns)
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "source", F.xxhash64("text")))
+    copies = mixing.mixed(keyed, carry=["_key"]).groupBy("_key").agg(F.sum("copies").cast("int").alias("_n"))
+    taken = keyed.dropDuplicates(["_key"]).join(copies.where("_n > 0"), "_key")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

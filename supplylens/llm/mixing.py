@@ -88,8 +88,8 @@ def _seed(values: np.ndarray) -> int:
 
 
 def _fly(block: pd.DataFrame) -> pd.DataFrame:
-    block = block.sort_values(["_key", "_row"], kind="stable").reset_index(drop=True)
-    rng = np.random.default_rng(_seed(block["_key"].to_numpy()))
+    block = block.sort_values(["_draw", "_row"], kind="stable").reset_index(drop=True)
+    rng = np.random.default_rng(_seed(block["_draw"].to_numpy()))
     block["_p"] = flight(block["_p"].to_numpy(), block["size"].to_numpy(), rng)
     return block
 
@@ -138,7 +138,7 @@ def mixed(
         .withColumn("_rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
         .withColumn("_sure", F.floor("_rate").cast("int"))
         .withColumn("_p", F.when(F.col("size") == 0, 0.0).otherwise(F.col("_rate") - F.col("_sure")))
-        .withColumn("_key", F.xxhash64("source", "doc_id", "size", "_row", *carry))
+        .withColumn("_draw", F.xxhash64("source", "doc_id", "size", "_row", *carry))
         .drop("_rate")
     )
     is_open = (F.col("_p") > EDGE) & (F.col("_p") < 1 - EDGE)
@@ -147,7 +147,7 @@ def mixed(
     done, open_ = rows.where(~is_open).withColumn("_p", F.round("_p")), rows.where(is_open)
     while largest > block:
         parts = -(-largest // block)  # blocks of about `block` documents, of which each leaves two open
-        fly = open_.groupBy("source", F.pmod("_key", F.lit(parts)).alias("_b"))
+        fly = open_.groupBy("source", F.pmod("_draw", F.lit(parts)).alias("_b"))
         flown = written(fly.applyInPandas(lambda d: _fly(d[columns]), schema), "mix-flight")
         done, open_ = done.union(flown.where(~is_open)), flown.where(is_open)
         largest = 2 * parts

@@ -241,11 +241,13 @@ def removed(docs: DataFrame, d: Dedup = Dedup(), carry: Sequence[str] = ()) -> D
     shared = shared_runs(base, max(1, int(chars) // 80 // d.part), d)
     found = written(run_words(base, shared, d), "dedup-found")
     spans = repeats(found, d).groupBy("text_key").agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
-    copies = base.groupBy(F.xxhash64("text").alias("_k"), F.md5("text").alias("_m")).count().where("count > 1")
-    rows = docs.select("doc_id", "text", *[F.col(c) for c in carry])
-    keyed = rows.withColumns({"_k": F.xxhash64("text"), "_m": F.md5("text")})
-    keyed = keyed.join(copies.select("_k", "_m", F.lit(True).alias("_copy")), ["_k", "_m"], "left")
-    keyed = keyed.join(spans, F.col("_k") == F.col("text_key"), "left")
+    copies = base.groupBy(F.xxhash64("text").alias("text_key"), F.md5("text").alias("m")).count().where("count > 1")
+    copies = copies.groupBy("text_key").agg(F.collect_list("m").alias("_copies"))
+    # what is known of a text comes together first, so that the texts are shuffled once
+    known = spans.join(copies, "text_key", "full")
+    rows = docs.select("doc_id", "text", *[F.col(c) for c in carry], F.xxhash64("text").alias("_k"))
+    keyed = rows.join(known, F.col("_k") == F.col("text_key"), "left")
+    keyed = keyed.withColumn("_copy", F.coalesce(F.array_contains("_copies", F.md5("text")), F.lit(False)))
 
     @F.pandas_udf("n_words long, n_removed long, kept string")
     def strip(texts: pd.Series, spans: pd.Series, copy: pd.Series) -> pd.DataFrame:

@@ -38,7 +38,7 @@ def check_stages(spark, docs):
     assert all(r["n_chars"] == len(r["text"]) for r in clean)
 
     copies = Counter()
-    for r in mixing.mixed(docs.withColumn("_hash", F.xxhash64("text")), carry=["_hash"]).collect():
+    for r in mixing.mixed(docs.withColumn("_key", F.xxhash64("doc_id", "source", F.xxhash64("text"))), carry=["_key"]).collect():
         copies[r["doc_id"]] += r["copies"]
     docs = corpus_pipeline.written(stages["source mixing"](spark, docs, SMALL), "t")
     mixed = docs_of(docs)
