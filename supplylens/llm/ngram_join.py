@@ -370,8 +370,9 @@ def linked(docs: DataFrame, j: Join = Join()) -> DataFrame:
     inside = written(inside.join(several, "hot", "left_semi").select("hot", "set_id", "label"), "join-hot")
     if not inside.isEmpty():
         texts = set_texts(docs, chosen, inside.select("set_id"))
-        links = links.union(written(links_in_blocks(inside.join(texts, "set_id"), j), "join-links"))
-        classes = components(links)
+        more = written(links_in_blocks(inside.join(texts, "set_id"), j), "join-links")
+        stars = classes.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        classes = components(stars.union(more))  # from the stars found so far, in few rounds
     out = labelled(own, "set_id", classes, "class_id").withColumn(
         "class_id", F.when(F.col("set_id") >= 0, F.col("class_id"))
     )
