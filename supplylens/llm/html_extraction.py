@@ -1,11 +1,11 @@
 """Main text of web pages with a site style tree.
 
 The DOMs of a host's pages are merged into one tree whose nodes are style paths (tags with their classes from
-the root down). Each node that carries text gets an importance from two parts: its presentation (article and main
-branches, neutral branches, and branches marked as menu, advert, form and the like) and the entropy of its
-content: text that is spread evenly over the pages of the host tells nothing, text of a single page tells all.
-Branches of low importance are taken out of every page. Pages are parsed once, in Python; merging, entropy and
-removal are joins and groupings.
+the root down), whole: article, neutral and marked branches (menu, advert, form and the like) alike. Each node that
+carries text gets an importance from two parts: its presentation, which of the three it is, and the entropy of its
+content: text that is spread evenly over the pages of the host tells nothing, text of a single page tells all. The
+texts of a node have an importance of their own in the same way. Nodes and texts of low importance are taken out of
+every page. Pages are parsed once, in Python; merging, entropy and removal are joins and groupings.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from html import unescape
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplylens.llm.common import written
@@ -26,11 +26,23 @@ from supplylens.llm.url_filter import split_url
 
 @dataclass(frozen=True)
 class Weights:
-    """``presentation`` is the share of presentation in a node's importance; below ``least`` it is removed."""
+    """``presentation`` is the share of presentation in a node's importance; below ``least`` it is removed.
 
-    presentation: float = 0.5
+    Presentation alone never decides where the content is known: on ``support`` pages of the host, and for a marked
+    node on ``marked_support`` pages. On fewer pages it is all there is.
+    """
+
+    presentation: float = 0.3
     least: float = 0.35
     support: int = 8
+    marked_support: int = 64
+    main: float = 1.0
+    neutral: float = 0.5
+    marked: float = -1.0
+
+
+#: Presentation of a block: in a marked branch, in none of the named ones, in article or main.
+MARKED, NEUTRAL, MAIN = 0, 1, 2
 
 
 MARKUP = re.compile(
@@ -87,34 +99,46 @@ def _noise(tag: str, attributes: str, in_main: bool) -> tuple[bool, str]:
     return tag in NOISE_TAGS or hidden or marked or header, style
 
 
-def parse(html: str) -> list[tuple[int, bool, str]]:
-    """The text blocks of a page in order: hash of the style path, whether inside article or main, text.
+def dom_blocks(html: str) -> list[tuple[int, int, str]]:
+    """All text blocks of a page in order: hash of the style path, presentation, text.
 
-    Branches of noise are left out; if any block lies in article or main, only such blocks are given.
+    Marked text within a block of others is a block of its own behind it.
     """
-    blocks: list[tuple[int, bool, str]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, style, in noise, in main
+    blocks: list[tuple[int, int, str]] = []
+    stack: list[tuple[str, str, bool, bool, bool]] = []  # tag, style, in a marked branch, in main, part of the path
     held: list[str] = []
+    marked: list[str] = []
+    behind: list[tuple[int, int, str]] = []
+
+    def block(parts: list[str], shown: int) -> list[tuple[int, int, str]]:
+        text = " ".join(SPACE.sub(" ", unescape("".join(parts))).split())
+        parts.clear()
+        if not text:
+            return []
+        path = "/".join(s[1] for s in stack if s[4] and (shown == MARKED or s[0] in BLOCK))
+        return [(xxhash.xxh64_intdigest(path) - (1 << 63), shown, text)]
 
     def flush() -> None:
+        if marked:
+            behind.extend(block(marked, MARKED))
         if held:
-            text = " ".join(SPACE.sub(" ", unescape("".join(held))).split())
-            if text:
-                path = "/".join(s[1] for s in stack if s[0] in BLOCK)
-                blocks.append((xxhash.xxh64_intdigest(path) - (1 << 63), bool(stack) and stack[-1][3], text))
-            held.clear()
+            blocks.extend(block(held, MAIN if stack and stack[-1][3] else NEUTRAL))
+        blocks.extend(behind)
+        behind.clear()
 
     def close(at: int) -> None:
         if any(s[0] in BLOCK for s in stack[at:]):
             flush()
+        elif marked and any(s[4] for s in stack[at:]):
+            behind.extend(block(marked, MARKED))
         del stack[at:]
 
     at, size = 0, len(html)
     while at < size:
         found = MARKUP.search(html, at)
         stop = found.start() if found else size
-        if stop > at and not (stack and stack[-1][2]):
-            held.append(html[at:stop])
+        if stop > at:
+            (marked if stack and stack[-1][2] else held).append(html[at:stop])
         if not found:
             break
         at = found.end()
@@ -135,8 +159,7 @@ def parse(html: str) -> list[tuple[int, bool, str]]:
             at = done.end() if done else size
             continue
         if tag == "br":
-            if not (stack and stack[-1][2]):
-                held.append(" ")
+            (marked if stack and stack[-1][2] else held).append(" ")
             continue
         if tag in BLOCK:
             for i in range(len(stack) - 1, -1, -1):
@@ -148,53 +171,74 @@ def parse(html: str) -> list[tuple[int, bool, str]]:
             flush()
         if tag in VOID:
             continue
-        above = stack[-1] if stack else ("", "", False, False)
+        above = stack[-1] if stack else ("", "", False, False, False)
         noise, style = _noise(tag, attributes, above[3])
-        if noise and not above[2] and tag not in BLOCK:
+        starts = noise and not above[2]
+        if starts and tag not in BLOCK:
             held.append(" ")
-        stack.append((tag, style, above[2] or noise, above[3] or tag in ("article", "main")))
+        stack.append((tag, style, above[2] or noise, above[3] or tag in ("article", "main"), starts or tag in BLOCK))
     flush()
+    return blocks
+
+
+def parse(html: str) -> list[tuple[int, bool, str]]:
+    """The blocks that presentation alone speaks for, with the hash of the style path and whether in article or main:
+    none of marked branches and, if any block lies in article or main, only such blocks."""
+    blocks = [(node, shown == MAIN, text) for node, shown, text in dom_blocks(html) if shown != MARKED]
     return [b for b in blocks if b[1]] if any(b[1] for b in blocks) else blocks
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, copy (hash of the blocks) and blocks (node, main, text) of every page."""
+    """page_id, url, host, copy (hash of the unmarked blocks, if any) and blocks (node, shown, text) of every page."""
     host, _ = split_url(F.col("url"))
 
-    @F.pandas_udf("array<struct<node:bigint,main:boolean,text:string>>")
+    @F.pandas_udf("array<struct<node:bigint,shown:tinyint,text:string>>")
     def blocks(html: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                [{"node": n, "main": m, "text": t} for n, m, t in parse(h or "")]
+                [{"node": n, "shown": s, "text": t} for n, s, t in dom_blocks(h or "")]
                 for h in html
             ],
             dtype=object,
         )
 
     rows = pages.select("page_id", "url", host.alias("host"), blocks(F.col("html")).alias("blocks"))
-    return rows.withColumn("copy", F.xxhash64("blocks"))
+    unmarked = F.filter("blocks", lambda b: b["shown"] != MARKED)
+    return rows.withColumn("copy", F.xxhash64(F.when(F.size(unmarked) > 0, unmarked).otherwise(F.col("blocks"))))
+
 
+def importance(shown: Column, m: Column, entropy: Column, w: Weights) -> Column:
+    """Importance of a node or text on ``m`` pages of a host; presentation alone where these are too few."""
+    feature = F.when(shown == MAIN, w.main).when(shown == NEUTRAL, w.neutral).otherwise(w.marked)
+    known = m >= F.when(shown == MARKED, w.marked_support).otherwise(w.support)
+    return F.when(known, w.presentation * feature + (1 - w.presentation) * (1 - entropy)).otherwise(feature)
 
-def style_tree(rows: DataFrame, w: Weights = Weights()) -> DataFrame:
-    """Importance of each text node of each host: host, node, pages, content, importance.
 
-    A text found on c of the m pages that have the node has the entropy log c / log m; the content importance is one
-    less the mean entropy of the node's texts. Copies of a page count once. Counting is by (host, node, text) first, so
-    a hot host is spread over its texts.
+def style_tree(rows: DataFrame, w: Weights = Weights()) -> tuple[DataFrame, DataFrame]:
+    """Importance of each text node of each host (host, node, shown, pages, importance) and of each text of a node
+    (host, node, key, importance), keys of texts being their hashes.
+
+    A text found on c of the m pages that have the node has the entropy log c / log m; that of a node is the mean over
+    the texts on its pages. Copies of a page count once. Counting is by (host, node, text) first, so a hot host is
+    spread over its texts.
     """
-    leaves = rows.select("host", "copy", F.explode("blocks").alias("b"))
-    leaves = leaves.select("host", "b.node", "b.main", F.xxhash64("b.text").alias("key"), "copy").distinct()
-    texts = leaves.groupBy("host", "node", "main", "key").agg(F.count("*").alias("c"))
-    per_node = texts.groupBy("host", "node", "main").agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("spread")
+    seen = F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), b["shown"].alias("shown"), F.xxhash64(b["text"]).alias("key")))
+    pages = F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), b["shown"].alias("shown"), F.lit(None).cast("long").alias("key")))
+    leaves = rows.select("host", "copy", F.explode(F.array_distinct(F.concat(seen, pages))).alias("b"))
+    leaves = leaves.select("host", "copy", "b.*").distinct()  # without a key: the page has the node
+    texts = written(leaves.groupBy("host", "node", "shown", "key").agg(F.count("*").alias("c")), "style-counts")
+    of_text = F.col("key").isNotNull()
+    nodes = texts.groupBy("host", "node", "shown").agg(
+        F.max(F.when(~of_text, F.col("c"))).alias("pages"),
+        F.sum(F.when(of_text, F.col("c"))).alias("n"),
+        F.sum(F.when(of_text, F.col("c") * F.log("c"))).alias("spread"),
     )
-    m = F.greatest("n", F.lit(2))
-    content = F.when(F.col("n") < w.support, 1.0).otherwise(1 - F.col("spread") / F.col("n") / F.log(m.cast("double")))
-    shown = F.when(F.col("main"), 1.0).otherwise(0.5)
-    return per_node.select(
-        "host", "node", F.col("n").alias("pages"), content.alias("content"),
-        (w.presentation * shown + (1 - w.presentation) * content).alias("importance"),
-    )
+    m = F.log(F.greatest("pages", F.lit(2)).cast("double"))
+    nodes = nodes.withColumn("importance", importance(F.col("shown"), F.col("pages"), F.col("spread") / F.col("n") / m, w))
+    # only a text on several pages can fall below its node
+    often = texts.where(of_text & (F.col("c") > 1)).join(nodes.select("host", "node", "shown", "pages"), ["host", "node", "shown"])
+    often = often.withColumn("importance", importance(F.col("shown"), F.col("pages"), F.log("c") / m, w))
+    return nodes.drop("n", "spread"), often.select("host", "node", "shown", "key", "importance")
 
 
 def extracted(pages: DataFrame, w: Weights = Weights()) -> DataFrame:
@@ -205,9 +249,16 @@ def extracted(pages: DataFrame, w: Weights = Weights()) -> DataFrame:
     carried.
     """
     rows = written(parsed(pages), "dom")
-    low = style_tree(rows, w).where(F.col("importance") < w.least).groupBy("host").agg(F.collect_set("node").alias("low"))
+    nodes, texts = style_tree(rows, w)
+    unfit = F.col("importance") < w.least
+    low = nodes.where(unfit).select("host", F.xxhash64("node", "shown").alias("id"))
+    low = low.union(texts.where(unfit).select("host", F.xxhash64("node", "shown", "key"))).groupBy("host").agg(F.collect_set("id").alias("low"))
     joined = rows.join(written(low, "style-tree"), "host", "left")  # written, so that its size is known
-    kept = F.filter("blocks", lambda b: F.coalesce(~F.array_contains("low", b["node"]), F.lit(True)))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
+
+    def stays(b: Column) -> Column:
+        ids = F.xxhash64(b["node"], b["shown"]), F.xxhash64(b["node"], b["shown"], F.xxhash64(b["text"]))
+        return F.coalesce(~(F.array_contains("low", ids[0]) | F.array_contains("low", ids[1])), F.lit(True))
+
+    text = F.array_join(F.transform(F.filter("blocks", stays), lambda b: b["text"]), "\n")
     out = joined.select("page_id", "url", text.alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -45,6 +45,31 @@ def test_text_on_every_page_of_a_host_goes(spark):
     assert all(r["text"] == f"Story {r['page_id']} is told here" for r in got)
 
 
+def extracted_texts(spark, pages):
+    rows = [(i, "http://one.com/a", p) for i, p in enumerate(pages)]
+    got = html_extraction.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+@pytest.mark.parametrize("note", ["<div class='hint'>Get our letter</div>", "<p>Get our letter</p>"])
+def test_text_repeated_inside_articles_goes(spark, note):
+    page = "<article><h1>Title {0}</h1><p>Story {0} is told here</p>" + note + "</article>"
+    got = extracted_texts(spark, [page.format(i) for i in range(40)])
+    assert got == [f"Title {i}\nStory {i} is told here" for i in range(40)]
+
+
+def test_body_beside_a_teaser_article_stays(spark):
+    page = "<div class='story'><p>Story {0} is told here</p></div><article><p>Teaser {0}</p></article><nav>Menu</nav>"
+    for n in (1, 40):
+        assert extracted_texts(spark, [page.format(i) for i in range(n)]) == [f"Story {i} is told here\nTeaser {i}" for i in range(n)]
+
+
+def test_importance_decides_on_marked_branches(spark):
+    page = "<form><div class='story'><p>Story {0} is told <button>Go</button> here</p></div></form><nav>Menu</nav>"
+    got = extracted_texts(spark, [page.format(i) for i in range(100)])
+    assert all(t.startswith(f"Story {i} is told") and "Menu" not in t for i, t in enumerate(got))
+
+
 def test_articles_stay_whole(spark):
     for r in html_extraction.extracted(read(spark, SMALL, "pages")).join(read(spark, SMALL, "pages").select("page_id", "html"), "page_id").collect():
         assert r["text"] and "track(" not in r["text"] and "<" not in r["text"].replace("<", "", 0)[:0]
