@@ -9,9 +9,9 @@ against rows expected to meet by chance. More segments are cut than H + 1, so W
 
 The hashes of the subsets (keys) meet in parts of the key space. Keys with few members give pairs, counted: a pair
 is verified when it shares as many of them as both sets need, less their keys with many members. A set with so
-many crowded keys that it needs none is heavy. Heavy sets are compared with the best connected set of each of
-their crowded keys, and what is still in different classes after that in blocks of one hot group. Everything is
-verified on the whole sets.
+many crowded keys that it needs none is heavy. Heavy sets with a crowded key in common are one hot group, in which all
+are compared, in blocks, where links are counted and only a spanning forest is given on. Every link is verified on
+the whole sets and counted once on either side, with the copies of the other set.
 """
 
 from __future__ import annotations
@@ -271,14 +271,31 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, j: Join) -> D
     return both.mapInPandas(check, "a long, b long")
 
 
+def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest place that each of ``n`` places reaches over the links (a, b)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def links_in_blocks(heavy: DataFrame, j: Join) -> DataFrame:
-    """Links (a, b) between different classes of a hot group: for each set one with every class it links to, per block.
+    """All links within each hot group, counted: set_id, other and n, in one or more rows of each set.
 
-    ``heavy`` has hot (the group), set_id, label (its class) and text. A group is cut into blocks; two blocks at a time
-    meet in a task, where an inverted index counts common n-grams.
+    ``heavy`` has hot (the group), set_id, copies and text. A group is cut into blocks; two blocks at a time meet in a
+    task, where an inverted index counts common n-grams. ``n`` sums the copies of the sets that a set is linked with in
+    the task, ``other`` is the smallest set that it reaches there.
     """
-    sizes = heavy.groupBy("hot").agg(F.ceil(F.count("*") / j.block).cast("int").alias("blocks"), F.count_distinct("label").alias("k"))
-    rows = heavy.join(sizes.where("k > 1"), "hot")
+    sizes = heavy.groupBy("hot").agg(F.ceil(F.count("*") / j.block).cast("int").alias("blocks"))
+    rows = heavy.join(sizes, "hot")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"i": F.least("block", "other"), "k": F.greatest("block", "other")})
@@ -287,28 +304,38 @@ def links_in_blocks(heavy: DataFrame, j: Join) -> DataFrame:
         i, k = int(d["i"].iloc[0]), int(d["k"].iloc[0])
         d = d.drop_duplicates("set_id").sort_values("set_id", kind="stable").reset_index(drop=True)
         sets = [shingles(t, j.words) for t in d["text"]]
-        size, ids, label = np.array([len(s) for s in sets]), d["set_id"].to_numpy(), d["label"].to_numpy()
-        right = np.flatnonzero((d["block"] == k).to_numpy())
-        grams = np.concatenate([sets[r] for r in right])
+        size, ids, copies = np.array([len(s) for s in sets]), d["set_id"].to_numpy(), d["copies"].to_numpy()
+        right, left = np.flatnonzero((d["block"] == k).to_numpy()), np.flatnonzero((d["block"] == i).to_numpy())
+        n, near_a, near_b = np.zeros(len(sets), dtype=np.int64), [], []
+        grams = np.concatenate([sets[r] for r in right]) if len(right) else np.zeros(0, dtype=U)
         owner = np.repeat(right, size[right])
         order = np.argsort(grams, kind="stable")
         grams, owner = grams[order], owner[order]
-        out = []
-        for r in np.flatnonzero((d["block"] == i).to_numpy()):
+        for r in left:
             lo, hi = np.searchsorted(grams, sets[r], "left"), np.searchsorted(grams, sets[r], "right")
             width = hi - lo
             at = np.repeat(lo - np.cumsum(width) + width, width) + np.arange(width.sum())
             both = np.bincount(owner[at], minlength=len(sets))
-            hit = np.flatnonzero((j.den * both >= j.num * (size[r] + size - both)) & (both > 0) & (label != label[r]))
-            _, one = np.unique(label[hit], return_index=True)
-            out += [(min(ids[r], ids[x]), max(ids[r], ids[x])) for x in hit[one]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
+            hit = np.flatnonzero((j.den * both >= j.num * (size[r] + size - both)) & (both > 0))
+            hit = hit[hit != r]
+            if not len(hit):
+                continue
+            n[r] += copies[hit].sum()
+            if i != k:
+                n[hit] += copies[r]
+            near_a.append(np.full(len(hit), r))
+            near_b.append(hit)
+        if not near_a:
+            return pd.DataFrame({"set_id": [], "other": [], "n": []}, dtype="int64")
+        root = _roots(np.concatenate(near_a), np.concatenate(near_b), len(sets))
+        at = np.flatnonzero(n)
+        return pd.DataFrame({"set_id": ids[at], "other": ids[root[at]], "n": n[at]})
 
-    return rows.groupBy("hot", "i", "k").applyInPandas(compare, "a long, b long")
+    return rows.groupBy("hot", "i", "k").applyInPandas(compare, "set_id long, other long, n long")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and label (smallest node reachable) of every node of the edges (a, b), by rounds of star contraction."""
+    """node and label (smallest node reachable) of the nodes of the edges (a, b) but the labels, by rounds of star contraction."""
     at = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc"
     )
@@ -336,10 +363,12 @@ def labelled(sets: DataFrame, name: str, classes: DataFrame, label: str) -> Data
 
 
 def linked(docs: DataFrame, j: Join = Join()) -> DataFrame:
-    """Class of every row of ``docs`` (doc_id, text): doc_id, text_key, n_shingles, set_id, class_id, component_id.
+    """Class and links of every row of ``docs`` (doc_id, text): doc_id, text_key, n_shingles, set_id, class_id,
+    component_id, n_links.
 
-    ``component_id`` is the smallest doc_id reachable by links, its own included. Nulls: a null text, like one without
-    words, is the empty set and linked with nothing, so its component is its own id; a null doc_id never is the
+    ``component_id`` is the smallest doc_id reachable by links, its own included; ``n_links`` is the number of other
+    rows linked with this one, copies included. Nulls: a null text, like one without
+    words, is the empty set and linked with nothing, so its component is its own id and its links are 0; a null doc_id never is the
     smallest unless the component has no other. Repeated rows have the same set and are in one component. An empty
     table gives an empty table. Other columns are not carried.
     """
@@ -347,37 +376,55 @@ def linked(docs: DataFrame, j: Join = Join()) -> DataFrame:
     total = own.agg(F.sum("n_shingles")).first()[0] or 0
     met = written(meetings(docs, max(1, -(-int(total) // j.part)), j), "join-meetings")
     # one text per set, the one of the smallest hash
-    chosen = own.where("set_id >= 0").groupBy("set_id").agg(F.min("text_key").alias("text_key"), F.first("need").alias("need"))
+    chosen = own.where("set_id >= 0").groupBy("set_id").agg(
+        F.min("text_key").alias("text_key"), F.first("need").alias("need"), F.count("*").alias("copies")
+    )
     crowded = met.where("n = 0").select(F.col("a").alias("key"), F.col("b").alias("set_id"))
     load = crowded.groupBy("set_id").agg(F.count("*").alias("load"))
     sets = chosen.join(load, "set_id", "left")
-    sets = written(sets.select("set_id", "text_key", (F.col("need") - F.coalesce("load", F.lit(0))).alias("left")), "join-sets")
+    sets = written(
+        sets.select("set_id", "text_key", "copies", (F.col("need") - F.coalesce("load", F.lit(0))).alias("left")), "join-sets"
+    )
     chosen = sets.select("set_id", "text_key")
-    shared = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    least = lambda side: sets.select(F.col("set_id").alias(side), F.col("left").alias(f"need_{side}"))
-    shared = shared.join(least("a"), "a").join(least("b"), "b")
-    pairs = shared.where("n >= greatest(need_a, need_b, 1)").select("a", "b")
-    # heavy sets against the set of each crowded key that has most crowded keys
+    # heavy sets that share crowded keys, by way of the set of each key that has most crowded keys
     heavy = crowded.join(sets.where("left <= 0").select("set_id"), "set_id", "left_semi")
     heavy = written(heavy.join(load, "set_id"), "join-heavy")
     best = heavy.groupBy("key").agg(F.min(F.struct(-F.col("load"), F.col("set_id"))).alias("m"))
     spokes = heavy.join(best, "key").select(F.col("m.set_id").alias("a"), F.col("set_id").alias("b")).where("a <> b").distinct()
-    links = written(verified(pairs.union(spokes).distinct(), docs, chosen, j), "join-links")
-    classes = components(links)
-    hot = components(spokes).select(F.col("node").alias("set_id"), F.col("label").alias("hot"))
-    inside = labelled(hot, "set_id", classes, "label")
-    several = inside.groupBy("hot").agg(F.count_distinct("label").alias("k")).where("k > 1").select("hot")
-    inside = written(inside.join(several, "hot", "left_semi").select("hot", "set_id", "label"), "join-hot")
-    if not inside.isEmpty():
-        texts = set_texts(docs, chosen, inside.select("set_id"))
-        more = written(links_in_blocks(inside.join(texts, "set_id"), j), "join-links")
-        stars = classes.select(F.col("node").alias("a"), F.col("label").alias("b"))
-        classes = components(stars.union(more))  # from the stars found so far, in few rounds
-    out = labelled(own, "set_id", classes, "class_id").withColumn(
+    hot = components(spokes)
+    hot = hot.select(F.col("node").alias("set_id"), F.col("label").alias("hot")).union(hot.select("label", "label").distinct())
+    group = written(hot.join(sets.select("set_id", "copies"), "set_id"), "join-hot")
+    shared = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    state = sets.select("set_id", "left").join(group.select("set_id", "hot"), "set_id", "left")
+    least = lambda side: state.select(
+        F.col("set_id").alias(side), F.col("left").alias(f"need_{side}"), F.col("hot").alias(f"hot_{side}")
+    )
+    shared = shared.join(least("a"), "a").join(least("b"), "b")
+    apart = F.coalesce(F.col("hot_a") != F.col("hot_b"), F.lit(True))  # pairs of one hot group meet in its blocks
+    pairs = shared.where(apart & (F.col("n") >= F.greatest("need_a", "need_b", F.lit(1)))).select("a", "b")
+    links = written(verified(pairs, docs, chosen, j), "join-links")
+    edges, counts = links, []
+    for this, that in (("a", "b"), ("b", "a")):
+        copies = sets.select(F.col("set_id").alias(that), "copies")
+        counts.append(links.join(copies, that).select(F.col(this).alias("set_id"), F.col("copies").alias("n")))
+    if not group.isEmpty():
+        texts = set_texts(docs, chosen, group.select("set_id"))
+        inside = written(links_in_blocks(group.join(texts, "set_id"), j), "join-links")
+        edges = edges.union(inside.select("set_id", "other"))
+        counts.append(inside.select("set_id", "n"))
+    classes = components(edges)
+    others = counts[0]
+    for more in counts[1:]:
+        others = others.union(more)
+    others = others.groupBy("set_id").agg(F.sum("n").alias("_others"))
+    per_set = sets.select("set_id", "copies").join(others, "set_id", "left")
+    per_set = per_set.select("set_id", (F.col("copies") - 1 + F.coalesce("_others", F.lit(0))).alias("n_links"))
+    out = labelled(own.join(per_set, "set_id", "left"), "set_id", classes, "class_id").withColumn(
         "class_id", F.when(F.col("set_id") >= 0, F.col("class_id"))
     )
     least_id = out.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("_least"))
     out = out.join(least_id, "class_id", "left")
     return out.select(
-        "doc_id", "text_key", "n_shingles", "set_id", "class_id", F.coalesce("_least", "doc_id").alias("component_id")
-    )
+        "doc_id", "text_key", "n_shingles", "set_id", "class_id", F.coalesce("_least", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )

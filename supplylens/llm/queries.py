@@ -78,7 +78,7 @@ def op7_nearest(spark, sf_dir):
 @query
 def op8_ngram_join(spark, sf_dir):
     found = ngram_join.linked(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query

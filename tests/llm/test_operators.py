@@ -89,6 +89,38 @@ def test_join_on_near_copies_and_common_passages(spark, crowd, block):
     assert order(got) == order(brute.join_components(texts))
 
 
+def link_counts(rows):
+    sets = [brute.shingle_set(t) for _, t in rows]
+    out = []
+    for i, (d, _) in enumerate(rows):
+        linked = [bool(sets[i]) and 100 * len(sets[i] & s) >= 80 * len(sets[i] | s) for k, s in enumerate(sets) if k != i]
+        out.append((d, sum(linked)))
+    return order(out)
+
+
+def test_links_are_counted(documents, odd_documents):
+    for df in (documents, odd_documents):
+        assert order(pairs(ngram_join.linked(df), "doc_id", "n_links")) == link_counts(pairs(df, "doc_id", "text"))
+
+
+@pytest.mark.parametrize("crowd, block", [(16, 1500), (2, 7)])
+def test_links_within_a_crowded_class_are_counted(spark, crowd, block):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(60):  # near copies, of which some pairs are linked and others only by way of a third
+        words = list(base)
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"e{rng.randint(0, 10**6)}"
+        texts += [(len(texts) + k, " ".join(words)) for k in range(rng.choice([1, 1, 3]))]
+    texts += [(1000 + i, " ".join(base[:60] + [f"o{i}_{k}" for k in range(8)])) for i in range(40)]  # a common passage
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    got = ngram_join.linked(df, ngram_join.Join(crowd=crowd, block=block))
+    assert order(pairs(got, "doc_id", "n_links")) == link_counts(texts)
+    want = order(brute.join_components(texts))
+    assert order(pairs(got, "doc_id", "n_shingles", "component_id")) == want
+
+
 def test_linked_sets_share_a_key():
     """The pigeonhole holds on sets at the very edge of the threshold."""
     rng, j = np.random.default_rng(0), ngram_join.Join()
