@@ -20,14 +20,12 @@ from supplylens.llm.common import lower_ascii, word_count
 
 #: Pieces of a group, on average.
 GROUP = 8192
-#: Bits of a bitmap: clusters and sources that share a bit count as the same, which is never too lenient.
-BITS = 64
 
 
 def best_fit(size: list[int], source: list[int], cluster: list[int], capacity: int) -> list[int]:
     """Bin number of each piece, pieces given largest first.
 
-    At most one piece of a cluster and two of a source go into one bin; identity is by bit of the bitmap.
+    At most one piece of a cluster and two of a source go into one bin; identity is by bit of a bitmap of any length.
     """
     order: list[tuple[int, int]] = []  # (residual, bin), tightest first
     clusters: list[int] = []
@@ -63,6 +61,16 @@ def best_fit(size: list[int], source: list[int], cluster: list[int], capacity: i
     return out
 
 
+def one_hot(keys: pd.Series, limit: int) -> list[int]:
+    """A bit of its own for each key that occurs more than ``limit`` times, no bit for one that cannot conflict."""
+    code, _ = pd.factorize(keys, use_na_sentinel=False)
+    often = np.bincount(code)[code] > limit
+    number, _ = pd.factorize(code[often])
+    out = np.zeros(len(code), dtype=object)
+    out[often] = [1 << n for n in number.tolist()]
+    return out.tolist()
+
+
 def packed(
     docs: DataFrame,
     capacity: int = 2048,
@@ -95,13 +103,12 @@ def packed(
         (F.col("piece").cast("long") * capacity).alias("start"),
         F.least(F.lit(capacity).cast("long"), F.col("_size") - F.col("piece").cast("long") * capacity).alias("size"),
         F.pmod(F.xxhash64("doc_id", "piece", "_cluster", F.lit(7)), F.lit(groups)).cast("int").alias("bin_group"),
-        F.pmod(F.xxhash64("source"), F.lit(BITS)).cast("int").alias("_s"),
-        F.pmod(F.xxhash64("_cluster"), F.lit(BITS)).cast("int").alias("_c"),
+        F.xxhash64("_cluster").alias("_c"),
     )
 
     def pack(d: pd.DataFrame) -> pd.DataFrame:
         d = d.sort_values(["size", "doc_id", "piece", "source"], ascending=[False, True, True, True], kind="stable")
-        bins = best_fit(d["size"].tolist(), [1 << b for b in d["_s"]], [1 << b for b in d["_c"]], capacity)
+        bins = best_fit(d["size"].tolist(), one_hot(d["source"], 2), one_hot(d["_c"], 1), capacity)
         d["bin"] = np.array(bins, dtype=np.int64)
         d["used"] = d.groupby("bin")["size"].transform("sum")
         return d[["doc_id", "source", "piece", "start", "size", "bin_group", "bin", "used"]]

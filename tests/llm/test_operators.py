@@ -213,6 +213,15 @@ def test_best_fit_takes_the_tightest_compatible_bin(items):
     assert sorted(Counter(got).values()) == sorted(len(b) for b in bins)
 
 
+def test_other_clusters_and_sources_do_not_conflict(spark):
+    rows = [(i, f"word{i} is text", f"s{i // 2}" if i > 1 else None) for i in range(300)]
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == 300 and {(r["bin"], r["used"]) for r in got} == {(0, 900)}
+    rows = [(i, f"word{i // 2} is text", f"s{i // 4}") for i in range(400)]  # pairs of copies, four of a source
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(Counter(r["bin"] for r in got).values()) == [200, 200]
+
+
 # language model
 
 
