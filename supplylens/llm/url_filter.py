@@ -1,22 +1,24 @@
 """URL filter: rules first, then the ratio of two character language models.
 
 Two variable-order Markov models, one of accepted and one of rejected addresses, are counted by Spark over
-all labelled addresses. Counts live in a table of ``2**slot_bits`` hashed cells per model, so what is sent
-to the executors has the same size for any corpus. An address scores the difference of its log-likelihoods
-divided by its length; the threshold is calibrated on a histogram of the labelled scores.
+all labelled addresses. Counts are exact: a character with its context is one number, and the counts are a table by
+that number, at any size of the corpus. Blocks of addresses ask for the n-grams they contain, each once. An address
+scores the difference of its log-likelihoods divided by its length; the threshold is calibrated on a histogram of the
+labelled scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from supplylens.llm.common import mix
+from supplylens.llm.common import written
 
 #: The rules of the query contract: (verdict, host and path prefix).
 RULES = (
@@ -30,13 +32,14 @@ RULES = (
 
 @dataclass(frozen=True)
 class Markov:
-    """Settings of the character models."""
+    """Settings of the character models; an ``order`` above 6 does not fit the number of an n-gram."""
 
     order: int = 5
-    slot_bits: int = 18
     prior: float = 1.0
     bins: int = 4001
     span: float = 8.0
+    #: addresses that ask for n-grams together, on average
+    block: int = 20_000
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -58,75 +61,86 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
     return rule, verdict
 
 
-def _slots(texts: Sequence[str], m: Markov) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Text number of each character, text lengths, and per order the cells of (context, char) and of context."""
+def _grams(texts: Sequence[str], m: Markov) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number of each character, text lengths, and the number of each character with its longest context.
+
+    The character is the lowest byte, the one before it the next; the n-gram of order k is the lowest k + 1 bytes.
+    """
     raw = [t.encode("utf-8", "surrogatepass") + b"\n" for t in texts]
     size = np.array([len(r) for r in raw], dtype=np.int64)
-    code = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.uint64)
+    code = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.int64)
     owner = np.repeat(np.arange(len(raw)), size)
     place = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
-    mask = np.uint64((1 << m.slot_bits) - 1)
-    out, context = [], np.zeros(len(code), dtype=np.uint64)
-    for k in range(m.order + 1):
-        if k:
-            before = np.zeros(len(code), dtype=np.uint64)
-            before[k:] = code[:-k] if k < len(code) else 0
-            before[place < k] = 0  # a context that reaches over the start is padded
-            context = context | (before << np.uint64(8 * (k - 1)))
-        seed = np.uint64((0x9E3779B97F4A7C15 * (k + 1)) % (1 << 64))
-        parent = mix(context ^ seed)
-        out.append((mix(parent + code + np.uint64(1)) & mask, parent & mask))
-    return owner, size, out
-
-
-def count_cells(labelled: DataFrame, m: Markov) -> dict[tuple[str, bool], np.ndarray]:
-    """Counts of (context, char) and context cells per verdict: at most ``4 * 2**slot_bits`` rows reach the driver."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = 1 << m.slot_bits
-        total = {v: np.zeros((2, n), dtype=np.int64) for v in ("allow", "block")}
-        for batch in batches:
-            for verdict, part in batch.groupby("verdict"):
-                _, _, orders = _slots(part["address"].tolist(), m)
-                for joint, parent in orders:
-                    total[verdict][0] += np.bincount(joint.astype(np.int64), minlength=n)
-                    total[verdict][1] += np.bincount(parent.astype(np.int64), minlength=n)
-        for verdict, cells in total.items():
-            for kind in (0, 1):
-                at = np.flatnonzero(cells[kind])
-                yield pd.DataFrame({"verdict": verdict, "kind": kind, "cell": at, "n": cells[kind][at]})
-
-    rows = (
-        labelled.select("verdict", "address")
-        .mapInPandas(count, "verdict string, kind int, cell long, n long")
-        .groupBy("verdict", "kind", "cell")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
+    gram = code.copy()
+    for k in range(1, m.order + 1):
+        before = np.zeros(len(code), dtype=np.int64)
+        before[k:] = code[:-k]
+        before[place < k] = 0  # a context that reaches over the start is padded
+        gram |= before << (8 * k)
+    return owner, size, gram
+
+
+def asked_grams(rows: DataFrame, m: Markov) -> DataFrame:
+    """block, gram and how often it stands in accepted and in rejected addresses of the block (allow, reject)."""
+
+    def count(d: pd.DataFrame) -> pd.DataFrame:
+        owner, _, gram = _grams(d["address"].tolist(), m)
+        grams, at = np.unique(gram, return_inverse=True)
+        verdict = d["verdict"].to_numpy()
+        out = {"block": np.full(len(grams), d["block"].iloc[0]), "gram": grams}
+        for name, kind in (("allow", "allow"), ("reject", "block")):
+            out[name] = np.bincount(at[(verdict == kind)[owner]], minlength=len(grams))
+        return pd.DataFrame(out)
+
+    return rows.select("block", "address", "verdict").groupBy("block").applyInPandas(
+        count, "block long, gram long, allow long, reject long"
     )
-    out = {}
-    for verdict in ("allow", "block"):
-        for kind in (0, 1):
-            cells = np.zeros(1 << m.slot_bits, dtype=np.float32)
-            part = rows[(rows["verdict"] == verdict) & (rows["kind"] == kind)]
-            cells[part["cell"].to_numpy()] = part["n"].to_numpy()
-            out[verdict, bool(kind)] = cells
-    return out
-
-
-def _ratio(texts: Sequence[str], cells: dict, m: Markov) -> np.ndarray:
-    """Length-normalised log-likelihood difference, accepted minus rejected, in nats per character."""
-    if not len(texts):
-        return np.zeros(0)
-    owner, size, orders = _slots(texts, m)
-    total = np.zeros(len(texts))
-    for verdict, sign in (("allow", 1.0), ("block", -1.0)):
-        p = np.full(len(owner), 1 / 256)
-        for joint, parent in orders:
-            seen = cells[verdict, False][joint.astype(np.int64)]
-            ctx = cells[verdict, True][parent.astype(np.int64)]
-            p = (seen + m.prior * p) / (ctx + m.prior)  # the shorter context is the prior of the longer one
-        total += sign * np.bincount(owner, np.log(np.maximum(p, 1e-12)), len(texts))
-    return total / size
+
+
+def gram_values(asked: DataFrame, m: Markov) -> DataFrame:
+    """gram and value: log-likelihood difference of its character after its context, accepted minus rejected.
+
+    The shorter context is the prior of the longer one. A context has at most 256 characters, and a shorter n-gram at
+    most 256 that are one longer, so no key of these joins and windows is hot.
+    """
+    counts = [asked.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("reject").alias("reject"))]
+    counts[0] = written(counts[0], "url-counts")
+    for k in range(m.order - 1, -1, -1):
+        shorter = counts[0].withColumn("gram", F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1))
+        counts.insert(0, shorter.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("reject").alias("reject")))
+    known = None
+    for k, level in enumerate(counts):
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        level = level.withColumns({"of_allow": F.sum("allow").over(context), "of_reject": F.sum("reject").over(context)})
+        if known is None:
+            level = level.withColumns({"p_allow": F.lit(1 / 256), "p_reject": F.lit(1 / 256)})
+        else:
+            level = level.withColumn("low", F.col("gram").bitwiseAND((1 << 8 * k) - 1)).join(known, "low")
+        p = lambda v: (F.col(v) + m.prior * F.col(f"p_{v}")) / (F.col(f"of_{v}") + m.prior)
+        known = level.select(F.col("gram").alias("low"), p("allow").alias("p_allow"), p("reject").alias("p_reject"))
+    return known.select(F.col("low").alias("gram"), (F.log("p_allow") - F.log("p_reject")).alias("value"))
+
+
+def with_scores(rows: DataFrame, asked: DataFrame, m: Markov) -> DataFrame:
+    """``rows`` with ``score``: length-normalised log-likelihood difference in nats per character, 0 if empty."""
+    answers = asked.select("block", "gram").join(gram_values(asked, m), "gram").select("block", "gram", "value")
+
+    def score(d: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(d):
+            return d.assign(score=pd.Series(dtype="float64"))
+        known = known.sort_values("gram")
+        values = d["address"].tolist()
+        owner, size, gram = _grams(values, m)
+        value = known["value"].to_numpy()[np.searchsorted(known["gram"].to_numpy(), gram)]
+        got = np.bincount(owner, value, len(values)) / size
+        got[[not v for v in values]] = 0.0
+        return d.assign(score=np.round(got, 9))
+
+    kind = rows.schema["page_id"].dataType
+    plain = rows.withColumn("page_id", F.col("page_id").cast("string"))  # a null among numbers would make them floats
+    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
+    out = plain.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, schema)
+    return out.withColumn("page_id", F.col("page_id").cast(kind))
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, m: Markov = Markov()) -> DataFrame:
@@ -141,20 +155,10 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, m: Markov
     base = base.withColumns({"host": host, "path": path}).drop("_url")
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"rule": rule, "verdict": verdict, "address": F.concat("host", "path")})
-    labelled = base.where(F.col("verdict").isNotNull()).select("address", "verdict")
-    cells = count_cells(labelled, m)
-    both = all(cells[v, True].any() for v in ("allow", "block"))
-    sent = pages.sparkSession.sparkContext.broadcast(cells)  # 4 tables of 2**slot_bits floats
-
-    @F.pandas_udf("double")
-    def score(address: pd.Series) -> pd.Series:
-        values = address.tolist()
-        got = _ratio(values, sent.value, m)
-        got[[not v for v in values]] = 0.0
-        return pd.Series(np.round(got, 9))
-
-    scored = base.withColumn("score", score("address"))
-    cut = calibrated(scored, m) if both else float("-inf")
+    blocks = max(1, -(-base.count() // m.block))
+    base = base.withColumn("block", F.pmod(F.xxhash64("page_id", "address"), F.lit(blocks)).cast("long"))
+    scored = written(with_scores(base, written(asked_grams(base, m), "url-grams"), m), "url-scores")
+    cut = calibrated(scored, m)
     return scored.select(
         "page_id",
         "host",

@@ -1,3 +1,5 @@
+import math
+import random
 from collections import Counter
 
 import pytest
@@ -110,3 +112,45 @@ def test_models_tell_rejected_hosts(spark):
     got = url_filter.judged(spark.createDataFrame(rows, "page_id long, url string")).where(F.col("rule").isNull()).collect()
     right = sum((r["page_id"] >= 3000) == (r["verdict"] == "allow") for r in got)
     assert right >= 36
+
+
+def plain_score(address, labelled, m):
+    """Score of an address from dictionaries of contexts."""
+    if not address:
+        return 0.0
+    counts = {v: (Counter(), Counter()) for v in ("allow", "block")}
+
+    def grams(text):
+        data = b"\0" * m.order + text.encode() + b"\n"
+        for i in range(m.order, len(data)):
+            yield [(data[i - k : i], data[i]) for k in range(m.order + 1)]
+
+    for text, verdict in labelled:
+        for orders in grams(text):
+            for context, char in orders:
+                counts[verdict][0][context, char] += 1
+                counts[verdict][1][context] += 1
+    total = 0.0
+    for orders in grams(address):
+        for verdict, sign in (("allow", 1), ("block", -1)):
+            p = 1 / 256
+            for context, char in orders:
+                p = (counts[verdict][0][context, char] + m.prior * p) / (counts[verdict][1][context] + m.prior)
+            total += sign * math.log(p)
+    return total / (len(address.encode()) + 1)
+
+
+def test_scores_are_exact_with_many_contexts(spark):
+    rng = random.Random(4)
+    path = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789é") for _ in range(60))
+    rows = [(i, f"http://site{i % 9}.{rng.choice(['com', 'net/es', 'net/fr', 'org'])}/{path()}") for i in range(12000)]
+    rows += [(None, "http://x.org/a"), (2**60 + 1, "http://x.org/b"), (None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    m = url_filter.Markov(block=3000)
+    got = url_filter.judged(df, m=m).collect()
+    assert Counter(r["page_id"] for r in got) == Counter(i for i, _ in rows)
+    labelled = [(r["host"] + r["path"], r["verdict"]) for r in got if r["rule"]]
+    assert len({(a[i : i + 5]) for a, _ in labelled for i in range(len(a))}) > 1 << 18
+    some = [r for r in got if not r["rule"]][:3] + [r for r in got if not r["page_id"] or r["page_id"] > 10**6]
+    for r in some:
+        assert math.isclose(r["score"], plain_score(r["host"] + r["path"], labelled, m), abs_tol=2e-9)
