@@ -327,7 +327,7 @@ def _(t):
 
 
 @query("latest_per_key", with_tables("evals", """SELECT evaluation_id, action_id, evaluated_at, recommendation,
-    practicality_score, reasoning FROM evals WHERE rn = 1"""))
+    practicality_score, reasoning, risks, pros, cons, cost_estimate FROM evals WHERE rn = 1"""))
 def _(t):
     return W.latest_per_key(t.action_evaluations(), ["action_id"], A.NEWEST)
 
