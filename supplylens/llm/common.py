@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +67,18 @@ def words_of(text: str | None) -> list[bytes]:
     return as_bytes(text).split()
 
 
+def slices(texts: Sequence[str | None], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch of texts that hold about ``limit`` characters each; a longer text is alone."""
+    at = 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= limit):
+            size += len(texts[stop] or "")
+            stop += 1
+        yield at, stop
+        at = stop
+
+
 class Powers:
     """Powers of an odd number modulo 2**64 and of its inverse, as many as were asked for so far."""
 

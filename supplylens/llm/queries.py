@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -16,11 +16,12 @@ from supplylens.llm import (
     nearest,
     ngram_join,
     packing,
+    periodic,
     ppm,
     substring_dedup,
     url_filter,
 )
-from supplylens.llm.common import fold, read
+from supplylens.llm.common import WORD, fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,6 +92,47 @@ def op10_html_extraction(spark, sf_dir):
     return html_extraction.extracted(read(spark, sf_dir, "pages"))
 
 
+def with_planted_run(doc_id: Column, text: Column) -> Column:
+    """The words of every tenth document (by the hash of its id) with a piece of them repeated up to the end.
+
+    With h = crc32 of the id and g = h // 10, the words from a = g % n on become the first p of them over and over. A
+    null id leaves the text as it is.
+    """
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+    def repeated(row: Column) -> Column:
+        a = row["g"] % F.size(row["words"])
+        p = 1 + F.floor((F.size(row["words"]) - a) / (3 + row["g"] % 8))
+        return F.transform(row["words"], lambda w, i: F.when(i < a, w).otherwise(row["words"][(a + (i - a) % p).cast("int")]))
+
+    rows = F.array(F.struct(words.alias("words"), F.floor(h / 10).alias("g")))  # each is written once in the plan
+    edited = F.transform(rows, lambda row: F.when(F.size(row["words"]) > 0, F.array_join(repeated(row), " ")))[0]
+    return F.when(h % 10 == 0, F.coalesce(edited, text)).otherwise(text)
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.collapsed(docs.select("doc_id", with_planted_run(F.col("doc_id"), F.col("text")).alias("text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    # structs compare field by field: the longest run, then the first one, then the shortest period
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.withColumn("_best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_best.s")).alias("start"),
+        F.col("_best.length").alias("length"),
+        (-F.col("_best.p")).alias("period"),
+        F.expr("(1000 * _best.length) div (-_best.p)").alias("exponent_milli"),
+        digest(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")).alias("runs_sha256"),
+        digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -110,3 +110,45 @@ def ppm_log10(training, text, order):
         if not done:
             total -= math.log10(257 - len(contexts.get(b"", {})))
     return total
+
+
+def word_runs(words, least=6, times=4):
+    """(start, length, period) of all runs, by start and period."""
+    n, found = len(words), {}
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, times * q):
+                found.setdefault((i, j + q - i), q)
+            i = max(j, i + 1)
+    return sorted((s, k, q) for (s, k), q in found.items())
+
+
+def planted(doc_id, words):
+    import zlib
+
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def run_digest(doc_id, text):
+    """The row of op11 for a document."""
+    import hashlib
+
+    words = planted(doc_id, WORD.findall(text or ""))
+    runs = word_runs(words)
+    gone = {i for s, k, q in runs for i in range(s + q, s + k)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    sha = lambda t: hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
+    return (
+        doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+        sha("".join(f"{s},{k},{q}\n" for s, k, q in runs)), sha(" ".join(w for i, w in enumerate(words) if i not in gone)),
+    )
