@@ -19,7 +19,9 @@ from supplylens.llm import (
     periodic,
     ppm,
     substring_dedup,
+    topk,
     url_filter,
+    whitening,
 )
 from supplylens.llm.common import WORD, fold, read
 
@@ -133,6 +135,27 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_exact_topk(spark, sf_dir):
+    return topk.largest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op13_exact_topk"] = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT query_id, vec_id, score,
+    CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
