@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +56,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 #: A-Z to a-z on UTF-8 bytes.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+#: Words above that many bytes are hashed as a whole.
+_LONG = 64
+#: What the hash of a word starts from, by its length, and the mask of its first bytes, by their number.
+_START = mix(np.arange(_LONG + 1, dtype=np.uint64) + _SEED)
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 _BASE = 0x9DDFEA08EB382D69
 _SEGMENT = 1 << 20
 
@@ -67,6 +75,23 @@ def words_of(text: str | None) -> list[bytes]:
     return as_bytes(text).split()
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], limit: int, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in pieces that hold about ``limit`` bytes of a text column; a longer text is alone."""
+    for batch in batches:
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(name)), 0), dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(size)])
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(total, total[at] + limit, side="right")) - 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def utf8(column: pa.Array) -> list[bytes | None]:
+    """Texts of an Arrow column as UTF-8."""
+    return column.cast(pa.binary()).to_pylist()
+
+
 def slices(texts: Sequence[str | None], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of a batch of texts that hold about ``limit`` characters each; a longer text is alone."""
     at = 0
@@ -116,23 +141,32 @@ def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a text given as UTF-8, in order."""
+    """64-bit hashes of the words of a text given as UTF-8, in order.
+
+    A word goes through ``mix`` eight bytes at a time, after its length: no two words of one length up to eight bytes
+    have one hash, and longer ones have no algebra of polynomials to be built on. Very long ones are hashed as a whole.
+    """
     out, at, size = [], 0, len(raw)
-    while at < size:  # long texts in segments that end between words
+    data = np.frombuffer(raw + b"\0" * 8, dtype=np.uint8)
+    eight = np.ndarray(size + 1, dtype="<u8", buffer=data, strides=(1,))  # the eight bytes from each place on
+    while at < size:  # long texts in segments, to bound what is held
         end = min(size, at + _SEGMENT)
-        code = np.frombuffer(raw, dtype=np.uint8, count=end - at, offset=at)
-        blank = _SPACE[code]
-        if end < size:
-            last = np.flatnonzero(blank)
-            while not len(last) and end < size:  # a word longer than a segment
-                end = min(size, at + 2 * (end - at))
-                code = np.frombuffer(raw, dtype=np.uint8, count=end - at, offset=at)
-                blank = _SPACE[code]
-                last = np.flatnonzero(blank)
-            if end < size:
-                end = at + int(last[-1]) + 1
-                code, blank = code[: end - at], blank[: end - at]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
-        out.append(span_hashes(_BYTE[code], edge[::2], edge[1::2]))
+        while end < size and not _SPACE[raw[end]]:  # a segment ends between words
+            end += 1
+        blank = np.ones(end - at + 2, dtype=np.int8)
+        blank[1:-1] = _SPACE[data[at:end]]
+        edge = np.flatnonzero(blank[1:] != blank[:-1])
+        start = edge[::2] + at
+        length = edge[1::2] - edge[::2]
+        h = mix(_START[np.minimum(length, _LONG)] ^ (eight[start] & _FIRST[np.minimum(length, 8)]))
+        live, done = np.flatnonzero(length > 8), 8
+        while len(live) and done < _LONG:
+            word = eight[start[live] + done] & _FIRST[np.minimum(length[live] - done, 8)]
+            h[live] = mix((h[live] ^ word) + _SEED)
+            done += 8
+            live = live[length[live] > done]
+        for i in live.tolist():
+            h[i] = xxhash.xxh64_intdigest(raw[start[i] : start[i] + length[i]])
+        out.append(h)
         at = end
     return out[0] if len(out) == 1 else np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)

@@ -22,10 +22,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import LOWER, as_bytes, mix, window_hashes, word_hashes, written
+from supplylens.llm.common import LOWER, as_bytes, mix, text_slices, utf8, window_hashes, word_hashes, written
 
 U = np.uint64
 
@@ -39,17 +40,19 @@ class Join:
     words: int = 5
     band: float = 1.5
     spare: float = 1.5
-    #: keys gathered in one task, on average
-    part: int = 2_000_000
+    #: shingles whose keys are gathered in one task, on average
+    part: int = 1_000_000
+    #: bytes of text that a task takes at once
+    slice: int = 2_000_000
     #: a key with more members gives no counted pairs
     crowd: int = 16
     #: sets of a hot group that are compared in one task with as many others
     block: int = 1500
 
 
-def shingles(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles, case of A-Z ignored; fewer words make one shingle."""
-    h = word_hashes(as_bytes(text).translate(LOWER))
+def shingles(raw: bytes | None, n: int) -> np.ndarray:
+    """Sorted distinct hashes of the n-word shingles of a text in UTF-8, case of A-Z ignored; fewer words make one."""
+    h = word_hashes((raw or b"").translate(LOWER))
     if not len(h):
         return h
     s = np.sort(window_hashes(h, min(n, len(h))))
@@ -157,17 +160,21 @@ def needed(h: np.ndarray, j: Join) -> int:
 def members(docs: DataFrame, j: Join) -> DataFrame:
     """doc_id, text_key (hash of the text), n_shingles, set_id (-1 for the empty set) and need of each document."""
 
-    @F.pandas_udf("n_shingles long, set_id long, need int")
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = []
-            for text in texts:
-                h = shingles(text, j.words)
-                rows.append((len(h), set_id(h), needed(h, j) if len(h) else 0))
-            yield pd.DataFrame(rows, columns=["n_shingles", "set_id", "need"])
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, j.slice):
+            sets = [shingles(t, j.words) for t in utf8(batch.column("text"))]
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "text_key": batch.column("text_key"),
+                "n_shingles": pa.array([len(h) for h in sets], pa.int64()),
+                "set_id": pa.array([set_id(h) for h in sets], pa.int64()),
+                "need": pa.array([needed(h, j) if len(h) else 0 for h in sets], pa.int32()),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), scan("text").alias("s"))
-    return rows.select("doc_id", "text_key", "s.*")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(scan, f"doc_id {kind}, text_key long, n_shingles long, set_id long, need int")
 
 
 def _pairs_of_small(key: np.ndarray, owner: np.ndarray, start: np.ndarray, size: np.ndarray, crowd: int) -> pd.DataFrame:
@@ -194,12 +201,12 @@ def meetings(docs: DataFrame, parts: int, j: Join) -> DataFrame:
     A task writes its keys in one array per part of the key space, each set once as far as it remembers.
     """
 
-    def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for batch in batches:
+        for batch in text_slices(batches, j.slice):
             keys, owners = [], []
-            for text in batch["text"]:
-                h = shingles(text, j.words)
+            for raw in utf8(batch.column("text")):
+                h = shingles(raw, j.words)
                 own = set_id(h)
                 if not len(h) or own in seen:
                     continue
@@ -215,13 +222,12 @@ def meetings(docs: DataFrame, parts: int, j: Join) -> DataFrame:
             key, owner, part = key[order], owner[order], part[order]
             start = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             stop = np.append(start[1:], len(part))
-            yield pd.DataFrame(
-                {
-                    "part": part[start],
-                    "keys": [key[a:b].tobytes() for a, b in zip(start, stop)],
-                    "owners": [owner[a:b].tobytes() for a, b in zip(start, stop)],
-                }
-            )
+            columns = [
+                pa.array(part[start]),
+                pa.array([key[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()),
+                pa.array([owner[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "keys", "owners"])
 
     def meet(d: pd.DataFrame) -> pd.DataFrame:
         key = np.frombuffer(b"".join(d["keys"]), dtype=np.int64)
@@ -241,7 +247,7 @@ def meetings(docs: DataFrame, parts: int, j: Join) -> DataFrame:
         )
 
     blobs = docs.select("text").where(F.col("text").isNotNull())
-    blobs = blobs.mapInPandas(scatter, "part long, keys binary, owners binary")
+    blobs = blobs.mapInArrow(scatter, "part long, keys binary, owners binary")
     return blobs.groupBy("part").applyInPandas(meet, "a long, b long, n long")
 
 
@@ -258,17 +264,17 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, j: Join) -> D
     both = pairs.join(own.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(own.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, None
-        for batch in batches:
+        for batch in text_slices(batches, j.slice, "text_b"):
             keep = []
-            for a, text_a, text_b in zip(batch["a"], batch["text_a"], batch["text_b"]):
+            for a, raw_a, raw_b in zip(batch.column("a").to_pylist(), utf8(batch.column("text_a")), utf8(batch.column("text_b"))):
                 if a != last:
-                    last, known = a, shingles(text_a, j.words)
-                keep.append(overlap_links(known, shingles(text_b, j.words), j))
-            yield batch.loc[keep, ["a", "b"]]
+                    last, known = a, shingles(raw_a, j.words)
+                keep.append(overlap_links(known, shingles(raw_b, j.words), j))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInPandas(check, "a long, b long")
+    return both.mapInArrow(check, "a long, b long")
 
 
 def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -303,7 +309,7 @@ def links_in_blocks(heavy: DataFrame, j: Join) -> DataFrame:
     def compare(d: pd.DataFrame) -> pd.DataFrame:
         i, k = int(d["i"].iloc[0]), int(d["k"].iloc[0])
         d = d.drop_duplicates("set_id").sort_values("set_id", kind="stable").reset_index(drop=True)
-        sets = [shingles(t, j.words) for t in d["text"]]
+        sets = [shingles(as_bytes(t), j.words) for t in d["text"]]
         size, ids, copies = np.array([len(s) for s in sets]), d["set_id"].to_numpy(), d["copies"].to_numpy()
         right, left = np.flatnonzero((d["block"] == k).to_numpy()), np.flatnonzero((d["block"] == i).to_numpy())
         n, near_a, near_b = np.zeros(len(sets), dtype=np.int64), [], []

@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import as_bytes, span_hashes, window_hashes, word_hashes, words_of, written
+from supplylens.llm.common import span_hashes, text_slices, utf8, window_hashes, word_hashes, words_of, written
 from supplylens.llm.fm_index import FMIndex
 
 U = np.uint64
@@ -31,6 +32,8 @@ class Dedup:
     #: minimizers met in one task, and words of runs indexed in one shard, on average
     part: int = 1_000_000
     shard: int = 600_000
+    #: bytes of text that a task takes at once
+    slice: int = 4_000_000
     #: different runs of one minimizer above which it is cut into single windows, dealt by their own hash
     crowd: int = 5_000
 
@@ -65,16 +68,14 @@ def runs(h: np.ndarray, d: Dedup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def shared_runs(docs: DataFrame, parts: int, d: Dedup) -> DataFrame:
     """text_key and first window of the runs whose minimizer occurs more than once."""
 
-    def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, d.slice):
             keys, owners, places = [], [], []
-            for own, text in zip(batch["text_key"], batch["text"]):
-                first, _, key = runs(word_hashes(as_bytes(text)), d)
+            for own, raw in zip(batch.column("text_key").to_pylist(), utf8(batch.column("text"))):
+                first, _, key = runs(word_hashes(raw), d)
                 keys.append(key)
                 owners.append(np.full(len(key), own, dtype=np.int64))
                 places.append(first)
-            if not keys:
-                continue
             key, owner, place = np.concatenate(keys), np.concatenate(owners), np.concatenate(places)
             part = (key % U(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -83,14 +84,8 @@ def shared_runs(docs: DataFrame, parts: int, d: Dedup) -> DataFrame:
                 continue
             start = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             cut = list(zip(start, np.append(start[1:], len(part))))
-            yield pd.DataFrame(
-                {
-                    "part": part[start],
-                    "keys": [key[a:b].tobytes() for a, b in cut],
-                    "owners": [owner[a:b].tobytes() for a, b in cut],
-                    "places": [place[a:b].tobytes() for a, b in cut],
-                }
-            )
+            blobs = [pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (key, owner, place)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[start]), *blobs], ["part", "keys", "owners", "places"])
 
     def meet(p: pd.DataFrame) -> pd.DataFrame:
         key = np.frombuffer(b"".join(p["keys"]), dtype=U)
@@ -105,7 +100,7 @@ def shared_runs(docs: DataFrame, parts: int, d: Dedup) -> DataFrame:
         return pd.DataFrame({"text_key": owner[twice], "place": place[twice]})
 
     rows = docs.select(F.xxhash64("text").alias("text_key"), "text").where(F.col("text").isNotNull())
-    rows = rows.mapInPandas(scatter, "part long, keys binary, owners binary, places binary")
+    rows = rows.mapInArrow(scatter, "part long, keys binary, owners binary, places binary")
     return rows.groupBy("part").applyInPandas(meet, "text_key long, place int")
 
 
@@ -114,11 +109,12 @@ def run_words(docs: DataFrame, shared: DataFrame, d: Dedup) -> DataFrame:
     per_text = shared.groupBy("text_key").agg(F.collect_list("place").alias("places"))
     texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(per_text, "text_key").dropDuplicates(["text_key"])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, d.slice):
             rows = []
-            for own, text, places in zip(batch["text_key"], batch["text"], batch["places"]):
-                h = word_hashes(as_bytes(text))
+            columns = batch.column("text_key").to_pylist(), utf8(batch.column("text")), batch.column("places").to_pylist()
+            for own, raw, places in zip(*columns):
+                h = word_hashes(raw)
                 first, size, key = runs(h, d)
                 at = np.searchsorted(first, np.unique(np.asarray(places, dtype=np.int64)))
                 first, key = first[at], key[at].view(np.int64)
@@ -126,10 +122,12 @@ def run_words(docs: DataFrame, shared: DataFrame, d: Dedup) -> DataFrame:
                 content = span_hashes(h, first, stop).view(np.int64)
                 for a, b, k, c in zip(first.tolist(), stop.tolist(), key.tolist(), content.tolist()):
                     rows.append((own, a, k, c, h[a:b].tobytes()))
-            yield pd.DataFrame(rows, columns=["text_key", "place", "minimizer", "content", "words"])
+            kinds = {"text_key": pa.int64(), "place": pa.int32(), "minimizer": pa.int64(), "content": pa.int64(), "words": pa.binary()}
+            arrays = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())]
+            yield pa.RecordBatch.from_arrays(arrays, list(kinds))
 
     schema = "text_key long, place int, minimizer long, content long, words binary"
-    return texts.select("text_key", "text", "places").mapInPandas(cut, schema)
+    return texts.select("text_key", "text", "places").mapInArrow(cut, schema)
 
 
 def repeated_intervals(words: list[np.ndarray], copies: np.ndarray, d: Dedup) -> list[tuple[int, int, int]]:

@@ -411,3 +411,39 @@ def test_words_split_where_the_pattern_splits(monkeypatch):
 def test_smallest_in_windows(values, width):
     got = substring_dedup.smallest_in_windows(np.array(values, dtype=np.uint64) << np.uint64(32), width)
     assert got.tolist() == [i + int(np.argmin(values[i : i + width])) for i in range(len(values) - width + 1)]
+
+
+# hashes
+
+
+def test_words_of_two_letters_in_thue_morse_order():
+    """Two such words have one polynomial hash modulo 2**64, whatever its base; here they are as different as others."""
+    signs = [bin(i).count("1") % 2 for i in range(2048)]
+    for n in (8, 64, 65, 256, 1024, 2048):
+        a, b = ("".join(x[s] for s in signs[:n]) for x in ("ab", "ba"))
+        assert len(set(common.word_hashes(f"{a} {b} {a}".encode()).tolist())) == 2
+
+
+def thue_morse_documents(spark):
+    signs = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = ("".join(x[s] for s in signs) for x in ("ab", "ba"))
+    words = [f"w{i}" for i in range(34)]
+    rows = [(1, " ".join([*words[:17], a, *words[17:]])), (2, " ".join([*words[:17], b, *words[17:]])), (3, a), (4, b)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_equal_hashes_of_long_words_do_not_make_texts_equal(spark):
+    rows, df = thue_morse_documents(spark)
+    assert {r["n_removed"] for r in substring_dedup.removed(df).collect()} == {0}
+    got = pairs(ngram_join.linked(df), "doc_id", "n_shingles", "component_id")
+    assert order(got) == order(brute.join_components(rows))
+    scored = ppm.scored(df, F.col("doc_id") == 3).collect()
+    assert {r["doc_id"]: r["n_known"] for r in scored} == {1: 2, 2: 1, 3: 2, 4: 1}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abé", min_size=1, max_size=90), max_size=30))
+def test_word_hashes_are_equal_for_equal_words_only(words):
+    raw = (" \t".join(words) + " ").encode()
+    assert len(common.word_hashes(raw)) == len(words)
+    assert len(set(common.word_hashes(raw).tolist())) == len(set(words))
