@@ -15,12 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import LOWER, as_bytes, mix, word_hashes, written
+from supplylens.llm.common import LOWER, mix, text_slices, utf8, word_hashes, written
 
 U = np.uint64
 #: A byte that UTF-8 never uses, coded after each text.
@@ -30,11 +31,13 @@ LN10 = float(np.log(10))
 
 @dataclass(frozen=True)
 class Ppm:
-    """``order``: bytes of context at most; ``block``: bytes of text in a block; ``parts``: of the model."""
+    """``order``: bytes of context at most; ``block``: bytes of text in a block; ``part``: bytes of text for each part that
+    the model is dealt to, so that their number follows the input.
+    """
 
     order: int = 4
-    block: int = 12_000_000
-    parts: int = 64
+    block: int = 4_000_000
+    part: int = 12_000_000
 
 
 def grams(raw: list[bytes], order: int) -> np.ndarray:
@@ -53,15 +56,15 @@ def grams(raw: list[bytes], order: int) -> np.ndarray:
     return code[keep]
 
 
-def _cut(key: np.ndarray, part: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
-    """The arrays as bytes per part."""
+def _cut(key: np.ndarray, part: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The arrays per part, in their order."""
     order = np.argsort(part, kind="stable")
     part = part[order]
     arrays = [a[order] for a in (key, *values)]
     if len(part):
         start = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         for a, b in zip(start, np.append(start[1:], len(part))):
-            yield int(part[a]), [x[a:b].tobytes() for x in arrays]
+            yield int(part[a]), [x[a:b] for x in arrays]
 
 
 def _gram_part(code: np.ndarray, parts: int) -> np.ndarray:
@@ -75,53 +78,68 @@ def _word_part(word: np.ndarray, parts: int) -> np.ndarray:
 PACK = "kind string, block long, part int, ids binary, counts binary, payload binary"
 
 
-def packed(docs: DataFrame, training: Column, m: Ppm) -> DataFrame:
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers of eight bytes as their compressed byte planes: small and like ones take next to no room."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def spread(raw: bytes, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def squeezed_ids(ids: np.ndarray) -> bytes:
+    """Rising ids by their steps."""
+    return squeezed(np.diff(ids, prepend=np.int64(0)))
+
+
+def spread_ids(raw: bytes) -> np.ndarray:
+    return np.cumsum(spread(raw))
+
+
+def packed(docs: DataFrame, training: Column, parts: int, m: Ppm) -> DataFrame:
     """One pass over the texts: blocks of compressed documents, what they ask for, and the training counts.
 
     ``kind``: block (ids, sizes and texts in payload), gram or word (ids a block asks for), and train-gram or
     train-word (ids and counts).
     """
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            at = 0
-            texts, rows, learn = batch["text"].tolist(), batch["row"].tolist(), batch["learn"].tolist()
-            while at < len(texts):
-                raw, size, stop = [], 0, at
-                while stop < len(texts) and (size < m.block or stop == at):
-                    raw.append(as_bytes(texts[stop]))
-                    size += len(raw[-1]) + 1
-                    stop += 1
-                own = np.array(rows[at:stop], dtype=np.int64)
-                block = xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
-                lengths = np.array([len(r) for r in raw], dtype=np.int64)
-                out = [("block", block, 0, own.tobytes(), lengths.tobytes(), squeeze.compress(b"".join(raw)))]
-                flags = learn[at:stop]
-                asked = {"gram": [], "word": []}
-                for learned in (True, False):
-                    pick = [i for i, f in enumerate(flags) if f == learned]
-                    if not pick:
-                        continue
-                    texts_of = [raw[i] for i in pick]
-                    code, n = _unique(texts_of, lambda t: grams(t, m.order))
-                    ids, k = _unique(texts_of, lambda t: word_hashes(b" ".join(t).translate(LOWER)))
-                    asked["gram"].append(code)
-                    asked["word"].append(ids.view(np.int64))
-                    if learned:
-                        for part, (a, b) in _cut(code, _gram_part(code, m.parts), n):
-                            out.append(("train-gram", 0, part, a, b, None))
-                        for part, (a, b) in _cut(ids, _word_part(ids, m.parts), k):
-                            out.append(("train-word", 0, part, a, b, None))
-                for kind, lists in asked.items():
-                    ids = np.unique(np.concatenate(lists))
-                    parts = (_gram_part if kind == "gram" else _word_part)(ids, m.parts)
-                    out += [(kind, block, part, a, None, None) for part, (a,) in _cut(ids, parts)]
-                yield pd.DataFrame(out, columns=["kind", "block", "part", "ids", "counts", "payload"])
-                at = stop
+        for batch in text_slices(batches, m.block):
+            raw = [t or b"" for t in utf8(batch.column("text"))]
+            own, flags = np.asarray(batch.column("row")), batch.column("learn").to_pylist()
+            block = xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
+            lengths = np.array([len(r) for r in raw], dtype=np.int64)
+            out = [("block", block, 0, own.tobytes(), lengths.tobytes(), squeeze.compress(b"".join(raw)))]
+            asked = {"gram": [], "word": []}
+            for learned in (True, False):
+                texts_of = [r for r, f in zip(raw, flags) if bool(f) == learned]
+                if not texts_of:
+                    continue
+                code, n = _unique(texts_of, lambda t: grams(t, m.order))
+                ids, k = _unique(texts_of, _words)
+                asked["gram"].append(code)
+                asked["word"].append(ids)
+                if learned:
+                    for part, (a, b) in _cut(code, _gram_part(code, parts), n):
+                        out.append(("train-gram", 0, part, squeezed_ids(a), squeezed(b), None))
+                    for part, (a, b) in _cut(ids, _word_part(ids, parts), k):
+                        out.append(("train-word", 0, part, squeezed_ids(a), squeezed(b), None))
+            for kind, lists in asked.items():
+                ids = np.unique(np.concatenate(lists))
+                part_of = (_gram_part if kind == "gram" else _word_part)(ids, parts)
+                out += [(kind, block, part, squeezed_ids(a), None, None) for part, (a,) in _cut(ids, part_of)]
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            arrays = [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in PACK.split(", ")])
 
     rows = docs.select("text", F.col("row"), training.alias("learn"))
-    return rows.mapInPandas(pack, PACK)
+    return rows.mapInArrow(pack, PACK)
+
+
+def _words(raw: list[bytes]) -> np.ndarray:
+    return word_hashes(b" ".join(raw).translate(LOWER)).view(np.int64)
 
 
 def _unique(raw: list[bytes], ids_of) -> tuple[np.ndarray, np.ndarray]:
@@ -152,9 +170,13 @@ def merged(rows: DataFrame) -> DataFrame:
     """Counts of all tasks summed per part: part, ids, counts, total and different."""
 
     def add(d: pd.DataFrame) -> pd.DataFrame:
-        ids, n = _summed(np.frombuffer(b"".join(d["ids"]), np.int64), np.frombuffer(b"".join(d["counts"]), np.int64))
+        ids, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for at in range(0, len(d), 64):  # what is held follows the different ids
+            some = d.iloc[at : at + 64]
+            more = [spread_ids(x) for x in some["ids"]], [spread(x) for x in some["counts"]]
+            ids, n = _summed(np.concatenate([ids, *more[0]]), np.concatenate([n, *more[1]]))
         return pd.DataFrame(
-            [(int(d["part"].iloc[0]), ids.tobytes(), n.tobytes(), int(n.sum()), len(ids))],
+            [(int(d["part"].iloc[0]), squeezed_ids(ids), squeezed(n), int(n.sum()), len(ids))],
             columns=["part", "ids", "counts", "total", "different"],
         )
 
@@ -168,7 +190,7 @@ def short_orders(model: DataFrame) -> np.ndarray:
         table = np.zeros(65536, dtype=np.int64)
         for batch in batches:
             for ids, counts in zip(batch["ids"], batch["counts"]):
-                np.add.at(table, np.frombuffer(ids, np.int64) & 0xFFFF, np.frombuffer(counts, np.int64))
+                table += np.bincount(spread_ids(ids) & 0xFFFF, spread(counts), 65536).astype(np.int64)
         at = np.flatnonzero(table)
         yield pd.DataFrame({"pair": at, "n": table[at]})
 
@@ -271,7 +293,9 @@ def scored(docs: DataFrame, training: Column, m: Ppm = Ppm()) -> DataFrame:
     base = docs.select(
         "doc_id", "text", training.cast("boolean").alias("learn"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row")
     )
-    table = written(packed(base, F.col("learn"), m), "ppm")
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-int(size) // m.part))
+    table = written(packed(base, F.col("learn"), parts, m), "ppm")
     of = lambda kind: table.where(F.col("kind") == kind)
     words = written(merged(of("train-word").select("part", "ids", "counts")), "ppm-words")
     trie = written(merged(of("train-gram").select("part", "ids", "counts")), "ppm-trie")
@@ -282,50 +306,66 @@ def scored(docs: DataFrame, training: Column, m: Ppm = Ppm()) -> DataFrame:
     order = m.order
 
     def gram_answers(model: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        got = [np.frombuffer(a, np.int64) for a in asked["ids"]]
-        if not got:
-            return pd.DataFrame({"block": [], "ids": [], "counts": []})
-        all_ = np.unique(np.concatenate(got))
-        ids = np.frombuffer(b"".join(model["ids"]), np.int64)
-        counts = np.frombuffer(b"".join(model["counts"]), np.int64)
-        value = code_lengths(all_, ids, counts, pair.value, order).astype(np.float32)
-        return pd.DataFrame(
-            {"block": asked["block"], "ids": asked["ids"], "counts": [value[np.searchsorted(all_, g)].tobytes() for g in got]}
-        )
+        ids, counts = model_of(model)
+        value = lambda q: code_lengths(q, ids, counts, pair.value, order)
+        return answered(asked, value)
 
     def word_answers(model: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids = np.frombuffer(b"".join(model["ids"]), np.int64)
-        counts = np.frombuffer(b"".join(model["counts"]), np.int64)
-        out = []
-        for a in asked["ids"]:
-            at, there = _find(ids, np.frombuffer(a, np.int64))
-            out.append((counts[at] * there if len(ids) else there.astype(np.int64)).astype(np.int64).tobytes())
-        return pd.DataFrame({"block": asked["block"], "ids": asked["ids"], "counts": out})
+        ids, counts = model_of(model)
 
-    answer = "block long, ids binary, counts binary"
+        def value(q: np.ndarray) -> np.ndarray:
+            at, there = _find(ids, q)
+            return counts[at] * there if len(ids) else np.zeros(len(q), np.int64)
+
+        return answered(asked, value)
+
+    def model_of(model: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        if not len(model):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return spread_ids(model["ids"].iloc[0]), spread(model["counts"].iloc[0])
+
+    def answered(asked: pd.DataFrame, value) -> pd.DataFrame:
+        """The values of what each block asks, in its order, some blocks at a time."""
+        out = []
+        for at in range(0, len(asked), 32):
+            got = [spread_ids(a) for a in asked["ids"].iloc[at : at + 32]]
+            all_ = np.unique(np.concatenate(got))
+            known = value(all_)
+            out += [squeezed(known[np.searchsorted(all_, g)]) for g in got]
+        return pd.DataFrame({"block": asked["block"], "part": asked["part"], "counts": out})
+
+    answer = "block long, part int, counts binary"
     ask = lambda kind: of(kind).select("part", "block", "ids").groupBy("part")
     g = trie.groupBy("part").cogroup(ask("gram")).applyInPandas(gram_answers, answer).withColumn("kind", F.lit("gram"))
     w = words.groupBy("part").cogroup(ask("word")).applyInPandas(word_answers, answer).withColumn("kind", F.lit("word"))
 
+    def lookup(answers: pd.DataFrame, kind: str, ids: np.ndarray, part_of: np.ndarray) -> Lookup:
+        """The values of the ids of a block, which the parts answered in the order of their ids."""
+        mine = answers[answers["kind"] == kind]
+        raw = dict(zip(mine["part"].tolist(), mine["counts"]))
+        value = np.zeros(len(ids), dtype=np.float64 if kind == "gram" else np.int64)
+        for part, (at,) in _cut(np.arange(len(ids)), part_of):
+            value[at] = spread(raw[part], value.dtype.type)
+        return Lookup(ids, value)
+
     def score(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         frames = []
-        part = answers[answers["kind"] == "gram"]
-        code = Lookup(np.frombuffer(b"".join(part["ids"]), np.int64), np.frombuffer(b"".join(part["counts"]), np.float32))
-        part = answers[answers["kind"] == "word"]
-        seen = Lookup(np.frombuffer(b"".join(part["ids"]), np.int64), np.frombuffer(b"".join(part["counts"]), np.int64))
         for ids, lengths, payload in zip(block["ids"], block["counts"], block["payload"]):
             rows, sizes = np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.int64)
             data = zstandard.ZstdDecompressor().decompress(payload, max_output_size=int(sizes.sum()) + 1)
             stop = np.cumsum(sizes)
+            raw = [data[e - s : e] for s, e in zip(sizes.tolist(), stop.tolist())]
+            asked = _unique(raw, lambda t: grams(t, order))[0]
+            code = lookup(answers, "gram", asked, _gram_part(asked, parts))
+            asked = _unique(raw, _words)[0]
+            seen = lookup(answers, "word", asked, _word_part(asked, parts))
             out = []
             for a in range(0, len(rows), 64):
-                raw = [data[e - s : e] for s, e in zip(sizes[a : a + 64].tolist(), stop[a : a + 64].tolist())]
-                size = sizes[a : a + 64] + 1
-                value = code(grams(raw, order)).astype(np.float64)
-                total = np.add.reduceat(value, np.cumsum(size) - size)
-                for r, t in zip(raw, total.tolist()):
-                    own = word_hashes(r.translate(LOWER))
-                    c = seen(own.view(np.int64)) if len(own) else np.zeros(0, np.int64)
+                some, size = raw[a : a + 64], sizes[a : a + 64] + 1
+                total = np.add.reduceat(code(grams(some, order)), np.cumsum(size) - size)
+                for r, t in zip(some, total.tolist()):
+                    own = word_hashes(r.translate(LOWER)).view(np.int64)
+                    c = seen(own) if len(own) else np.zeros(0, np.int64)
                     logs = np.log10((c + 1) / (n + v + 1)).sum() + np.log10((ends + 1) / (n + v + 1))
                     out.append((len(own) + 1, int((c > 0).sum()) + bool(ends), float(logs), t))
             frame = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score"])

@@ -234,7 +234,7 @@ def test_scores_match_dictionaries(spark):
     learned = pairs(df.where(training), "text")
     words = Counter(w for (t,) in learned for w in brute.WORD.findall(brute.lower(t)))
     n, v = sum(words.values()) + len(learned), len(words) + 1
-    m = ppm.Ppm(order=3, parts=4)
+    m = ppm.Ppm(order=3, part=300, block=200)
     text = dict(texts)
     rows = ppm.scored(df, training, m).collect()
     assert len(rows) == len(texts)
@@ -243,7 +243,7 @@ def test_scores_match_dictionaries(spark):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own) + 1, sum(w in words for w in own) + 1, n)
         base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in own) + math.log10((len(learned) + 1) / (n + v + 1))
         assert math.isclose(r["base_score"], base, rel_tol=1e-9)
-        assert math.isclose(r["score"], brute.ppm_log10([t for (t,) in learned], text[r["doc_id"]], 3), rel_tol=1e-5)
+        assert math.isclose(r["score"], brute.ppm_log10([t for (t,) in learned], text[r["doc_id"]], 3), rel_tol=1e-9)
 
 
 def test_scoring_odd_tables(odd_documents, no_documents):
