@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from supplylens.operators import actions as A
-from supplylens.operators.windows import latest_per_key, nth_latest_per_key
+from supplylens.operators.windows import nth_latest_per_key
 from supplylens.registry.base import query
 from supplylens.registry.ctes import LAST, with_tables
+from supplylens.sources import buckets
 from supplylens.sources import tables as T
 from supplylens.session import new_folder
 
@@ -176,7 +177,7 @@ def _(t):
     return A.evaluated_actions(t.action_items(), t.action_evaluations())
 
 
-# keyed maintenance: each query writes a version and returns what a reader then sees ----
+# keyed maintenance: each query changes a stored table and returns what a reader then sees ----
 
 
 def new_decisions(t):
@@ -202,44 +203,53 @@ def old_decisions(t):
     )
 
 
+def stored(t, **tables):
+    """A store with the given tables, keyed by action."""
+    store = buckets.BucketStore.new(t.spark, "actions")
+    for name, df in tables.items():
+        store.create(name, df, "action_id")
+    return store
+
+
 @query("upsert_by_key", f"""WITH old AS ({OLD_SQL}), new AS ({NEW_SQL}) SELECT * FROM new
     UNION ALL SELECT * FROM old WHERE action_id NOT IN (SELECT action_id FROM new)""")
 def _(t):
-    target = T.publish(old_decisions(t), "upsert_decisions")
-    return T.publish(T.upserted(target, new_decisions(t), "action_id", ["decided_at", "event_id"]), "upsert_decisions")
+    store = stored(t, decisions=old_decisions(t))
+    store.upsert("decisions", new_decisions(t), ["decided_at", "event_id"])
+    return store.table("decisions")
 
 
 @query("update_by_key", with_tables("items", f"""SELECT i.action_id, COALESCE(n.decision, i.status) AS status
     FROM items i LEFT JOIN ({NEW_SQL}) n ON i.action_id = n.action_id"""))
 def _(t):
-    target = T.publish(t.action_items().select("action_id", "status"), "update_items")
-    changes = latest_per_key(new_decisions(t), ["action_id"], ["decided_at", "event_id"])
-    return T.publish(T.updated(target, changes, "action_id", "status", "decision"), "update_items")
+    store = stored(t, items=t.action_items().select("action_id", "status"))
+    store.update("items", new_decisions(t), "status", "decision", ["decided_at", "event_id"])
+    return store.table("items")
 
 
 @query("delete_by_key", f"""SELECT * FROM ({OLD_SQL}) WHERE action_id NOT IN (SELECT action_id FROM ({NEW_SQL}))""")
 def _(t):
-    target = T.publish(old_decisions(t), "delete_decisions")
-    return T.publish(T.deleted(target, new_decisions(t), "action_id"), "delete_decisions")
+    store = stored(t, decisions=old_decisions(t))
+    store.delete("decisions", new_decisions(t))
+    return store.table("decisions")
 
 
 @query("replace_slice", with_tables("items", f"""SELECT action_id, domain, status FROM items WHERE domain <> 'demand'
     UNION ALL SELECT action_id, domain, 'COMPLETED' FROM items WHERE domain = 'demand'"""))
 def _(t):
-    target = T.publish(t.action_items().select("action_id", "domain", "status"), "slice_items")
-    fresh = target.where("domain = 'demand'").withColumn("status", F.lit("COMPLETED"))
-    return T.publish(T.replaced_slice(target, fresh, "domain"), "slice_items")
+    store = stored(t, items=t.action_items().select("action_id", "domain", "status"))
+    fresh = store.table("items").where("domain = 'demand'").withColumn("status", F.lit("COMPLETED"))
+    store.replace_slice("items", fresh, "domain")
+    return store.table("items")
 
 
 @query("decision_upsert", with_tables("items", f"""SELECT i.action_id, COALESCE(n.decision, i.status) AS status,
     COALESCE(n.decision, o.decision) AS decision FROM items i LEFT JOIN ({NEW_SQL}) n ON i.action_id = n.action_id
     LEFT JOIN ({OLD_SQL}) o ON i.action_id = o.action_id"""))
 def _(t):
-    T.publish(t.action_items().select("action_id", "status"), "decide_items")
-    T.publish(old_decisions(t).drop("event_id"), "decide_decisions")
-    T.decide("decide_items", "decide_decisions", new_decisions(t).drop("event_id"))
-    decisions = t.spark.table("decide_decisions").select("action_id", "decision")
-    return t.spark.table("decide_items").join(decisions, "action_id", "left")
+    store = stored(t, items=t.action_items().select("action_id", "status"), decisions=old_decisions(t).drop("event_id"))
+    buckets.decide(store, "items", "decisions", new_decisions(t).drop("event_id"))
+    return store.table("items").join(store.table("decisions").select("action_id", "decision"), "action_id", "left")
 
 
 @query("decision_reset", with_tables("items", f"""SELECT i.action_id,
@@ -248,11 +258,9 @@ def _(t):
     FROM items i LEFT JOIN ({NEW_SQL}) n ON i.action_id = n.action_id
     LEFT JOIN ({OLD_SQL}) o ON i.action_id = o.action_id"""))
 def _(t):
-    T.publish(t.action_items().select("action_id", "status"), "reset_items")
-    T.publish(old_decisions(t), "reset_decisions")
-    T.reset_decisions("reset_items", "reset_decisions", new_decisions(t))
-    decisions = t.spark.table("reset_decisions").select("action_id", "decision")
-    return t.spark.table("reset_items").join(decisions, "action_id", "left")
+    store = stored(t, items=t.action_items().select("action_id", "status"), decisions=old_decisions(t))
+    buckets.reset_decisions(store, "items", "decisions", new_decisions(t))
+    return store.table("items").join(store.table("decisions").select("action_id", "decision"), "action_id", "left")
 
 
 REGION_SALES = """SELECT region, state, CAST(SUM(quantity) AS BIGINT) AS units FROM sales GROUP BY 1, 2"""

@@ -65,3 +65,37 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nobody has written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, none if there is no such folder."""
+    if path_kind(spark, path) != "folder":
+        return []
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in store.listStatus(where))
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """Content of a small file, in whatever store the path names."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def new_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all; FileExistsError if another writer was first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, name = path.rsplit("/", 1)
+    spare, final = jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}-{uuid.uuid4().hex[:12]}"), jvm.org.apache.hadoop.fs.Path(path)
+    out = final.getFileSystem(conf).create(spare, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    never_over = spark.sparkContext._gateway.new_array(rename, 1)
+    never_over[0] = rename.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), conf).rename(spare, final, never_over)
+    except Exception as failed:
+        final.getFileSystem(conf).delete(spare, False)
+        if path_kind(spark, path):
+            raise FileExistsError(path) from failed
+        raise
