@@ -88,6 +88,16 @@ def labelled_metrics(df: DataFrame, keys: list[str], text: str, defaults: dict[s
     )
 
 
+def metric_counts(df: DataFrame, keys: list[str], text: str, defaults: dict[str, float]) -> DataFrame:
+    """How many metrics a text states, and how many with a default it leaves to that."""
+    stated = F.array(*[F.when(X.labelled_value(F.col(text), name).isNotNull(), F.lit(name)) for name in X.METRIC_LABELS])
+    return df.select(*keys, F.array_compact(stated).alias("_stated")).select(
+        *keys,
+        F.size("_stated").cast("bigint").alias("found"),
+        F.size(F.array_except(F.array(*[F.lit(n) for n in defaults]), "_stated")).cast("bigint").alias("defaulted"),
+    )
+
+
 def markdown_tables(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Cells of every pipe table: table, row and cell numbers from 0."""
     tables = F.regexp_extract_all(F.col(text), F.lit(X.PIPE_TABLE), F.lit(1))

@@ -122,3 +122,28 @@ def mean_of_group_means(df: DataFrame, inner: list[str], outer: str, value: str,
     """Unweighted mean over ``outer`` of the averages taken at the finer grain."""
     means = df.groupBy(outer, *inner).agg(F.round(F.avg(value), 1).alias("_mean"))
     return means.groupBy(outer).agg(F.round(F.avg("_mean"), 2).alias(name))
+
+
+def last_known_within_key(
+    df: DataFrame, keys: list[str], block: Column, order: list[str], value: str, name: str
+) -> DataFrame:
+    """The newest non-null value up to each row inside its key, the row's own included.
+
+    Carried on two levels: inside a (key, block), and from the blocks before by one row per block.
+    """
+    blocked = df.withColumn("_block", block)
+    stated = F.when(F.col(value).isNotNull(), F.struct(*order))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        blocked.groupBy(*keys, "_block")
+        .agg(F.max_by(value, stated).alias("_last"))
+        .withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
+        .drop("_last")
+    )
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        blocked.withColumn("_near", F.last(value, ignorenulls=True).over(inside))
+        .join(carried, [*keys, "_block"])
+        .withColumn(name, F.coalesce("_near", "_carried"))
+        .drop("_block", "_near", "_carried")
+    )

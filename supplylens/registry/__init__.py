@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from supplylens.registry import base
-from supplylens.registry import actions, blocks, facts, kpi, stream, text  # noqa: F401  (they register on import)
+from supplylens.registry import actions, blocks, calls, facts, kpi, stream, text  # noqa: F401  (they register on import)
 
 
 def queries():

@@ -314,6 +314,11 @@ COLUMN_SYNONYMS = {
         "supplier_id": ["vendor id", "vendor"],
         "supplier_name": ["vendor name", "vendor"],
     },
+    "executive_kpis": {
+        "late_delivery_pct_last_month": ["late delivery rate", "delivery delay rate"],
+        "service_level_pct": ["fill rate", "fill_rate", "order fill rate", "service level"],
+        "supplier_late_pct_last_month": ["vendor late rate", "supplier delay rate"],
+    },
 }
 COLUMN_TERMS = [
     (phrase.lower(), table, column)
