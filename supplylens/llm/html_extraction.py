@@ -28,14 +28,13 @@ from supplylens.llm.url_filter import split_url
 class Weights:
     """``presentation`` is the share of presentation in a node's importance; below ``least`` it is removed.
 
-    Presentation alone never decides where the content is known: on ``support`` pages of the host, and for a marked
-    node on ``marked_support`` pages. On fewer pages it is all there is.
+    Entropy is measured against ``pages`` pages of a host at least, so that the little evidence of a small host weighs
+    little, by one rule for hosts of any size. A marked node is out by its presentation, whatever its content.
     """
 
     presentation: float = 0.3
     least: float = 0.35
-    support: int = 8
-    marked_support: int = 64
+    pages: int = 8
     main: float = 1.0
     neutral: float = 0.5
     marked: float = -1.0
@@ -207,19 +206,18 @@ def parsed(pages: DataFrame) -> DataFrame:
     return rows.withColumn("copy", F.xxhash64(F.when(F.size(unmarked) > 0, unmarked).otherwise(F.col("blocks"))))
 
 
-def importance(shown: Column, m: Column, entropy: Column, w: Weights) -> Column:
-    """Importance of a node or text on ``m`` pages of a host; presentation alone where these are too few."""
-    feature = F.when(shown == MAIN, w.main).when(shown == NEUTRAL, w.neutral).otherwise(w.marked)
-    known = m >= F.when(shown == MARKED, w.marked_support).otherwise(w.support)
-    return F.when(known, w.presentation * feature + (1 - w.presentation) * (1 - entropy)).otherwise(feature)
+def importance(shown: Column, entropy: Column, w: Weights) -> Column:
+    """Importance of a node or text from how it is presented and how much its content varies over the host."""
+    feature = F.when(shown == MAIN, w.main).otherwise(w.neutral)
+    return F.when(shown == MARKED, w.marked).otherwise(w.presentation * feature + (1 - w.presentation) * (1 - entropy))
 
 
 def style_tree(rows: DataFrame, w: Weights = Weights()) -> tuple[DataFrame, DataFrame]:
     """Importance of each text node of each host (host, node, shown, pages, importance) and of each text of a node
     (host, node, key, importance), keys of texts being their hashes.
 
-    A text found on c of the m pages that have the node has the entropy log c / log m; that of a node is the mean over
-    the texts on its pages. Copies of a page count once. Counting is by (host, node, text) first, so a hot host is
+    A text found on c of the m pages that have the node has the entropy log c / log max(m, ``w.pages``); that of a node is
+    the mean over the texts on its pages. Copies of a page count once. Counting is by (host, node, text) first, so a hot host is
     spread over its texts.
     """
     seen = F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), b["shown"].alias("shown"), F.xxhash64(b["text"]).alias("key")))
@@ -233,31 +231,34 @@ def style_tree(rows: DataFrame, w: Weights = Weights()) -> tuple[DataFrame, Data
         F.sum(F.when(of_text, F.col("c"))).alias("n"),
         F.sum(F.when(of_text, F.col("c") * F.log("c"))).alias("spread"),
     )
-    m = F.log(F.greatest("pages", F.lit(2)).cast("double"))
-    nodes = nodes.withColumn("importance", importance(F.col("shown"), F.col("pages"), F.col("spread") / F.col("n") / m, w))
+    m = F.log(F.greatest("pages", F.lit(w.pages)).cast("double"))
+    nodes = nodes.withColumn("importance", importance(F.col("shown"), F.col("spread") / F.col("n") / m, w))
     # only a text on several pages can fall below its node
     often = texts.where(of_text & (F.col("c") > 1)).join(nodes.select("host", "node", "shown", "pages"), ["host", "node", "shown"])
-    often = often.withColumn("importance", importance(F.col("shown"), F.col("pages"), F.log("c") / m, w))
+    often = often.withColumn("importance", importance(F.col("shown"), F.log("c") / m, w))
     return nodes.drop("n", "spread"), often.select("host", "node", "shown", "key", "importance")
 
 
 def extracted(pages: DataFrame, w: Weights = Weights()) -> DataFrame:
     """Main text of each row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    Nulls: a null html is empty and gives the empty text; a null url belongs to the host without name. Repeated rows
-    stay repeated and count as one page in the tree. An empty table gives an empty table. Other columns are not
+    Marked branches (menus, forms, comments and the like) are out on hosts of any size; of the rest stays what the style
+    tree of the host finds important. Nulls: a null html is empty and gives the empty text; a null url belongs to the host
+    without name. Very long pages are parsed whole. Repeated rows stay repeated and count as one page in the tree. An empty table gives an empty table. Other columns are not
     carried.
     """
     rows = written(parsed(pages), "dom")
     nodes, texts = style_tree(rows, w)
-    unfit = F.col("importance") < w.least
+    # marked branches go by themselves; the lists hold what content decided
+    unfit = (F.col("importance") < w.least) & (F.col("shown") != MARKED)
     low = nodes.where(unfit).select("host", F.xxhash64("node", "shown").alias("id"))
     low = low.union(texts.where(unfit).select("host", F.xxhash64("node", "shown", "key"))).groupBy("host").agg(F.collect_set("id").alias("low"))
     joined = rows.join(written(low, "style-tree"), "host", "left")  # written, so that its size is known
 
     def stays(b: Column) -> Column:
         ids = F.xxhash64(b["node"], b["shown"]), F.xxhash64(b["node"], b["shown"], F.xxhash64(b["text"]))
-        return F.coalesce(~(F.array_contains("low", ids[0]) | F.array_contains("low", ids[1])), F.lit(True))
+        repeated = F.coalesce(F.array_contains("low", ids[0]) | F.array_contains("low", ids[1]), F.lit(False))
+        return (b["shown"] != MARKED) & ~repeated
 
     text = F.array_join(F.transform(F.filter("blocks", stays), lambda b: b["text"]), "\n")
     out = joined.select("page_id", "url", text.alias("text"))

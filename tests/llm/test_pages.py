@@ -1,6 +1,6 @@
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,15 +66,68 @@ def test_body_beside_a_teaser_article_stays(spark):
         assert extracted_texts(spark, [page.format(i) for i in range(n)]) == [f"Story {i} is told here\nTeaser {i}" for i in range(n)]
 
 
-def test_importance_decides_on_marked_branches(spark):
-    page = "<form><div class='story'><p>Story {0} is told <button>Go</button> here</p></div></form><nav>Menu</nav>"
-    got = extracted_texts(spark, [page.format(i) for i in range(100)])
-    assert all(t.startswith(f"Story {i} is told") and "Menu" not in t for i, t in enumerate(got))
+@pytest.mark.parametrize("n", [1, 7, 8, 63, 64, 300])
+def test_marked_branches_are_out_on_hosts_of_any_size(spark, n):
+    """Comments, adverts, forms and sidebars differ from page to page like stories do."""
+    page = (
+        "<div class='story'><p>Story {0} is told here</p></div><div class='comments'><p>Reader {0} says o{0}</p></div>"
+        "<div class='advert'><p>Buy product {0} now</p></div><form><p>Form text {0}</p></form><aside><p>Side {0}</p></aside>"
+    )
+    assert extracted_texts(spark, [page.format(i) for i in range(n)]) == [f"Story {i} is told here" for i in range(n)]
+
+
+def test_one_rule_for_repeated_texts_at_all_sizes(spark):
+    """A notice on all pages goes as soon as the evidence is there, and stays gone on larger hosts."""
+    page = "<div><p>Story {0} is told here</p></div><div class='remark'><p>Please read our notice</p></div>"
+    gone = []
+    for n in (1, 2, 5, 7, 8, 9, 40):
+        got = extracted_texts(spark, [page.format(i) for i in range(n)])
+        assert all(t.startswith(f"Story {i} is told") for i, t in enumerate(got))
+        gone.append(not any("notice" in t for t in got))
+    assert gone == [False, False, True, True, True, True, True]
+
+
+def plain_extraction(pages, w=html_extraction.Weights()):
+    """The style tree of one host in dictionaries."""
+    rows = [html_extraction.dom_blocks(h) for h in pages]
+    copies = {repr([b for b in r if b[1]] or r): r for r in rows}.values()
+    on, have = defaultdict(set), defaultdict(set)
+    for i, r in enumerate(copies):
+        for node, shown, text in r:
+            on[node, shown, text].add(i)
+            have[node, shown].add(i)
+    m = {k: math.log(max(len(v), w.pages)) for k, v in have.items()}
+    mean = {}
+    for k in have:
+        c = [len(v) for (*node, _), v in on.items() if tuple(node) == k]
+        mean[k] = sum(x * math.log(x) for x in c) / sum(c) / m[k]
+
+    def important(shown, entropy):
+        feature = w.main if shown == html_extraction.MAIN else w.neutral
+        return w.presentation * feature + (1 - w.presentation) * (1 - entropy) >= w.least
+
+    def stays(node, shown, text):
+        k = (node, shown)
+        own = math.log(max(1, len(on[node, shown, text]))) / m[k]
+        return shown != html_extraction.MARKED and important(shown, mean[k]) and important(shown, own)
+
+    return ["\n".join(b[2] for b in r if stays(*b)) for r in rows]
+
+
+@pytest.mark.parametrize("n", [3, 20, 70])
+def test_matches_a_plain_style_tree(spark, n):
+    rng = random.Random(n)
+    part = lambda: rng.choice(
+        ["<p>Common {}</p>", "<article><p>Told {}</p></article>", "<nav>Menu {}</nav>", "<div class='x'>Text {}</div>", "<form>Ask {}</form>"]
+    ).format(rng.choice([1, 2, rng.randint(3, 60)]))
+    pages = ["".join(part() for _ in range(rng.randint(1, 9))) for _ in range(n)]
+    assert extracted_texts(spark, pages + pages[:2]) == plain_extraction(pages + pages[:2])
 
 
 def test_articles_stay_whole(spark):
-    for r in html_extraction.extracted(read(spark, SMALL, "pages")).join(read(spark, SMALL, "pages").select("page_id", "html"), "page_id").collect():
-        assert r["text"] and "track(" not in r["text"] and "<" not in r["text"].replace("<", "", 0)[:0]
+    pages = read(spark, SMALL, "pages")
+    for r in html_extraction.extracted(pages).join(pages.select("page_id", "html"), "page_id").collect():
+        assert r["text"] and "track(" not in r["text"] and "</" not in r["text"]
         inside = r["html"].split("<article>")[1].split("</article>")[0]
         assert len(r["text"]) > 0.5 * len(inside)
 
