@@ -171,11 +171,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, c: Curves = Curves
             for start in range(0, len(wanted), 256):  # blocks of queries bound the matrix
                 q = np.stack([np.frombuffer(v) for v in wanted["vector"].iloc[start : start + 256]])
                 rough = q @ x.T / length
-                most = min(2 * k + 2, len(x))
-                top = np.argpartition(-rough, most - 1, axis=1)[:, :most]
+                most = min(k + 1, len(x))  # one of them may be the query's own
+                least = -np.partition(-rough, most - 1, axis=1)[:, most - 1]
                 for i, own in enumerate(query_ids[start : start + 256]):
-                    score = cosine(np.broadcast_to(q[i], (most, q.shape[1])), x[top[i]])
-                    pairs = [(-s, int(v)) for s, t in zip(score.tolist(), top[i]) for v in ids[t] if v != own]
+                    # with all that may tie with the last, up to rounding
+                    top = np.flatnonzero(rough[i] >= least[i] - 1e-9 * np.sqrt(q[i] @ q[i]))
+                    score = cosine(np.broadcast_to(q[i], (len(top), q.shape[1])), x[top])
+                    pairs = [(-s, int(v)) for s, t in zip(score.tolist(), top) for v in ids[t] if v != own]
                     out += [(own, v, -s) for s, v in sorted(pairs)[:k]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 

@@ -447,3 +447,11 @@ def test_word_hashes_are_equal_for_equal_words_only(words):
     raw = (" \t".join(words) + " ").encode()
     assert len(common.word_hashes(raw)) == len(words)
     assert len(set(common.word_hashes(raw).tolist())) == len(set(words))
+
+
+def test_ties_of_scaled_vectors_go_to_the_smaller_id(spark):
+    """Powers of two times one vector have one cosine to the last bit."""
+    rows = [(i, [2.0**i, -(2.0**i) * 3, 2.0**i * 0.5]) for i in range(60)]
+    got = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    found = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got.collect())
+    assert found == [(0, r, r) for r in range(1, 6)] + [(50, r, r - 1) for r in range(1, 6)]
