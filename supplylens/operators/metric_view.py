@@ -14,7 +14,9 @@ class MetricView:
     """A governed set of measures.
 
     ``dimensions`` and ``measures`` map public names to Column expressions, and
-    ``synonyms`` maps a measure or dimension name to the phrases people use for it.
+    ``synonyms`` maps a measure or dimension name to the phrases people use for it. Where measures are distinct
+    counts, ``bucket`` and ``partials`` aggregate the source by dimensions and bucket first, and the measures are
+    declared over the partials.
     """
 
     name: str
@@ -22,6 +24,8 @@ class MetricView:
     dimensions: dict[str, Column]
     measures: dict[str, Column]
     synonyms: dict[str, list[str]] = field(default_factory=dict)
+    bucket: Column | None = None
+    partials: dict[str, Column] = field(default_factory=dict)
 
     def query(self, dims: list[str] | None = None, measures: list[str] | None = None) -> DataFrame:
         """Measures by dimensions; no dimension gives one overall row."""
@@ -31,7 +35,11 @@ class MetricView:
         if unknown:
             raise KeyError(f"{self.name} declares no {', '.join(unknown)}")
         keys = [self.dimensions[d].alias(d) for d in dims]
-        return self.source.groupBy(*keys).agg(*[self.measures[m].alias(m) for m in chosen])
+        rows, by = self.source, keys
+        if self.partials:
+            first = rows.groupBy(*keys, self.bucket.alias("_bucket"))
+            rows, by = first.agg(*[p.alias(n) for n, p in self.partials.items()]), dims
+        return rows.groupBy(*by).agg(*[self.measures[m].alias(m) for m in chosen])
 
     def terms(self) -> list[tuple[str, str, str]]:
         """(phrase, view, field) for every declared name and synonym."""

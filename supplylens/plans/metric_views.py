@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplylens.functions import bitmaps as B
 from supplylens.functions import calendar as C
 from supplylens.functions import measures as M
 from supplylens.operators.metric_view import MetricView
@@ -88,13 +89,22 @@ def inventory_safety_stock(ledger: DataFrame) -> MetricView:
         ledger.where("below_safety_stock_flag"),
         {"region": F.col("region")},
         {
-            "positions_below_safety_stock": F.count("*"),
-            "unique_skus_below_safety": F.count_distinct("sku_id"),
-            "stockout_positions": M.sum_flag(out),
-            "unique_skus_in_stockout": M.count_distinct_if(out, F.col("sku_id")),
-            "avg_days_of_supply": F.round(F.avg("days_of_supply"), 2),
+            "positions_below_safety_stock": F.coalesce(F.sum("_n"), F.lit(0)),
+            "unique_skus_below_safety": B.distinct(F.col("_below")),
+            "stockout_positions": F.sum("_out"),
+            "unique_skus_in_stockout": B.distinct(F.col("_out_skus")),
+            "avg_days_of_supply": F.round(F.sum("_supply") / F.sum("_supplied"), 2),
         },
         INVENTORY_SYNONYMS,
+        bucket=B.bucket_of(F.col("sku_id")),
+        partials={
+            "_n": F.count("*"),
+            "_below": B.members(F.col("sku_id")),
+            "_out": M.sum_flag(out),
+            "_out_skus": B.members(F.col("sku_id"), out),
+            "_supply": F.sum("days_of_supply"),
+            "_supplied": F.count("days_of_supply"),
+        },
     )
 
 

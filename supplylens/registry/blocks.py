@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from supplylens.functions import bitmaps as B
 from supplylens.functions import calendar as C
 from supplylens.functions import measures as M
 from supplylens.operators import actions as A
@@ -356,3 +357,14 @@ def _(t):
 def _(t):
     rows = t.table("supplier").select("s_suppkey", "s_acctbal")
     return W.top_k(rows, [F.col("s_acctbal").asc(), F.col("s_suppkey").asc()], 5)
+
+
+# mergeable distinct counts ----------------------------------------------------------------
+
+
+@query("rolling_distinct_users", """SELECT d.day, COUNT(DISTINCT e.user_id) AS users_7d
+    FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL) d
+    JOIN events e ON CAST(e.ts AS DATE) BETWEEN d.day - INTERVAL 6 DAY AND d.day GROUP BY 1""")
+def _(t):
+    events = t.table("events").select(F.col("ts").cast("date").alias("day"), "user_id")
+    return B.rolling_distinct(B.distinct_state(events, ["day"], "user_id"), "day", 7, "users_7d")
