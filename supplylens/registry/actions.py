@@ -10,6 +10,7 @@ from supplylens.registry.base import query
 from supplylens.registry.ctes import LAST, with_tables
 from supplylens.sources import buckets
 from supplylens.sources import tables as T
+from supplylens.sources import tags
 from supplylens.session import new_folder
 
 TRACKER_COLUMNS = """action_id, category, timeframe, domain, title, description, specific_steps, expected_impact,
@@ -381,3 +382,28 @@ def _(t):
         ).alias("tag"),
     ).select("asset", "tag.*")
     return T.assets_with_tags(tags, domain="demand", size="large")
+
+
+@query("catalog_tags", with_tables("sales", f"""SELECT 'region_sales' AS asset, 'table' AS kind, true AS inherited,
+      COUNT(*) AS table_rows FROM ({REGION_SALES})
+    UNION ALL SELECT 'large_sales', 'view', true, COUNT(*) FROM ({REGION_SALES}) WHERE units >= 1000
+    UNION ALL SELECT 'order_states', 'table', false, COUNT(DISTINCT o_orderstatus) FROM orders"""))
+def _(t):
+    name = namespace(t)
+    T.overwrite_table(region_sales(t), f"{name}.region_sales")
+    T.overwrite_table(t.table("events").groupBy("event_type").count(), f"{name}.event_types")
+    T.overwrite_table(t.table("orders").groupBy("o_orderstatus").count(), f"{name}.order_states")
+    t.spark.sql(f"CREATE VIEW {name}.large_sales AS SELECT * FROM {name}.region_sales WHERE units >= 1000")
+    tags.tag_schema(t.spark, name, domain="demand", business_unit="supply chain")
+    tags.tag_table(t.spark, f"{name}.event_types", domain="assistant")
+    tags.tag_table(t.spark, f"{name}.order_states", domain="demand", business_unit="supply chain")
+    known = tags.catalog_tags(t.spark, [name])
+    hits = T.assets_with_tags(known, domain="demand", business_unit="supply chain")
+    found = known.where("kind <> 'schema' AND key = 'domain'").join(hits, "asset", "left_semi")
+    sizes = None
+    for asset in sorted(r["asset"] for r in hits.collect() if "." in r["asset"]):
+        rows = t.spark.table(asset).agg(F.lit(asset).alias("asset"), F.count("*").alias("table_rows"))
+        sizes = rows if sizes is None else sizes.union(rows)
+    return found.join(sizes, "asset").select(
+        F.element_at(F.split("asset", r"\."), -1).alias("asset"), "kind", "inherited", "table_rows"
+    )
