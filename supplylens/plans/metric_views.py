@@ -82,6 +82,25 @@ def revenue_comparison(sales: DataFrame, anchor: date) -> MetricView:
     )
 
 
+def delivery_from_sums(shipped: DataFrame, anchor: date) -> MetricView:
+    """``delivery_performance`` from daily sums."""
+    lines, late = F.sum("lines"), F.sum("late_lines")
+    return MetricView(
+        "delivery_performance_by_region",
+        shipped.where(C.month_window(F.col("ship_date"), anchor)),
+        {"region": F.col("destination_region")},
+        {
+            "on_time_delivery_rate": F.round((lines - late) / lines * 100, 2),
+            "late_delivery_rate": F.round(late / lines * 100, 2),
+            "avg_delay_days": F.round(F.sum("delay_days") / F.nullif(F.sum("delays"), F.lit(0)), 2),
+            "total_shipments": lines,
+            "late_shipments": late,
+            "wasted_freight_cost": M.dollars(F.sum("late_cents")),
+        },
+        DELIVERY_SYNONYMS,
+    )
+
+
 def inventory_safety_stock(ledger: DataFrame) -> MetricView:
     out = F.col("stockout_flag")
     return MetricView(

@@ -12,6 +12,8 @@ from supplylens.plans import reports as R
 from supplylens.functions import calendar as C
 from supplylens.registry.base import query
 from supplylens.registry.ctes import BOTH, LAST, PRIOR, with_tables
+from supplylens.sources.buckets import BucketStore
+from supplylens.sources.sums import DailySums
 
 REGION = "ASIA"
 DAY = "order_date"
@@ -55,6 +57,20 @@ def _(t):
     return V.revenue_comparison(t.sales_orders(product=True), t.anchor).query(["region", "product_family"])
 
 
+@query("stored_delivery_performance", with_tables("ship", f"""SELECT destination_region AS region, {DELIVERY_SQL}
+    FROM ship WHERE {LAST.format('ship_date')} GROUP BY 1"""))
+def _(t):
+    sums = DailySums.build(BucketStore.new(t.spark, "sums"), t)
+    return V.delivery_from_sums(sums.shipped(), t.anchor).query(["region"])
+
+
+@query("stored_revenue_comparison", with_tables("sales", f"""SELECT region, product_family,
+    {mom_sql('revenue_change_dollars', 'revenue_change_pct')} FROM sales GROUP BY 1, 2"""))
+def _(t):
+    sums = DailySums.build(BucketStore.new(t.spark, "sums"), t)
+    return V.revenue_comparison(sums.sold(), t.anchor).query(["region", "product_family"])
+
+
 @query("inventory_safety_stock", with_tables("inv", f"""SELECT region, {INVENTORY_SQL},
     COUNT(DISTINCT CASE WHEN stockout_flag THEN sku_id END) AS unique_skus_in_stockout,
     ROUND(AVG(days_of_supply), 2) AS avg_days_of_supply FROM inv WHERE below_safety_stock_flag GROUP BY 1"""))
