@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplylens.llm import language_id, mixing, ngram_join, packing, substring_dedup
@@ -12,11 +12,16 @@ from supplylens.llm.common import read, written
 LEAST_LANGUAGE_SCORE = 0.4
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row in one, so that none can clash with those of a stage."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages. Null, empty and letterless texts go, and unsure ones."""
-    found = language_id.identified(docs, F.lit(True))
+    found = language_id.identified(docs.select("text", "lang", whole_row(docs)), F.lit(True))
     sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(sure).select(docs.columns)
+    return found.where(sure).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +35,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keys = best.select("r.doc_id", "r.text_key").union(found.where("class_id is null").select("doc_id", "text_key"))
     keys = keys.select(F.xxhash64("doc_id", "text_key").alias("_key")).distinct()
     # one key for the row, so that the join and the removal of repeats share a shuffle
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.xxhash64("text")))
-    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+    keyed = docs.select(whole_row(docs), F.xxhash64("doc_id", F.xxhash64("text")).alias("_key"))
+    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +44,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document that loses nothing keeps its text as it is. n_chars follows the text.
     """
-    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    found = substring_dedup.removed(whole, carry=["_row"])
+    found = substring_dedup.removed(docs.select("doc_id", "text", whole_row(docs)), carry=["_row"])
     left = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     new = {"text": text, "n_chars": F.char_length(text).cast("long")}
@@ -48,11 +52,15 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "source", F.xxhash64("text")))
-    copies = mixing.mixed(keyed, carry=["_key"]).groupBy("_key").agg(F.sum("copies").cast("int").alias("_n"))
-    taken = keyed.dropDuplicates(["_key"]).join(copies.where("_n > 0"), "_key")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(docs.columns)
+    """Every document as often as the mix takes it; of repeated rows as many copies as these are given together.
+
+    Texts without words, null ones included, are taken as often as their source is surely; null sources are one source.
+    """
+    key = F.xxhash64("doc_id", "source", F.xxhash64("text")).alias("_key")
+    found = mixing.mixed(docs.select("doc_id", "text", "source", key), carry=["_key"])
+    copies = found.groupBy("_key").agg(F.sum("copies").cast("int").alias("_n"))
+    taken = docs.select(whole_row(docs), key).dropDuplicates(["_key"]).join(copies.where("_n > 0"), "_key")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
