@@ -63,6 +63,17 @@ def test_stages_on_odd_rows(spark, odd_documents):
     check_stages(spark, odd_documents)
 
 
+def test_columns_with_the_names_of_helpers_keep_their_values(spark, odd_documents):
+    names = ["_key", "_n", "_copy", "_p", "_r", "_row", "score", "lang_pred", "copies", "kept"]
+    docs = odd_documents.withColumns({c: F.lit("own " + c) for c in names})
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, SMALL), "t")
+        assert docs.columns == columns
+        rows = docs.select(names).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple("own " + c for c in names)], name
+
+
 def test_pipeline_of_an_empty_table(spark, no_documents):
     docs = no_documents
     for _, stage in corpus_pipeline.STAGES:
