@@ -114,9 +114,10 @@ class SupplyTables:
         )
 
     def latest_month(self) -> Column:
-        """First day of the newest order's month; every order has lines."""
-        day = self.table("orders").select(F.max("o_orderdate").cast("date").alias("d"))
-        return F.trunc(day.scalar(), "MM")
+        """First day of the month of the newest order that has lines; orders may come before their lines."""
+        lines = self.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+        filled = self.table("orders").join(lines, "o_orderkey", "left_semi")
+        return F.trunc(filled.select(F.max("o_orderdate").cast("date").alias("d")).scalar(), "MM")
 
     def order_places(self) -> DataFrame:
         customers = self.customers().select("customer_id", "segment", "state", "region")
