@@ -33,7 +33,9 @@ class Dedup:
     part: int = 1_000_000
     shard: int = 600_000
     #: bytes of text that a task takes at once
-    slice: int = 4_000_000
+    slice: int = 2_000_000
+    #: runs of crowded minimizers that a task cuts into single windows at once
+    runs: int = 1_000
     #: different runs of one minimizer above which it is cut into single windows, dealt by their own hash
     crowd: int = 5_000
 
@@ -197,27 +199,32 @@ def repeats(found: DataFrame, d: Dedup) -> DataFrame:
     plain = plain.withColumn("shard", F.pmod(F.xxhash64("minimizer"), F.lit(shards)))
     hits = plain.groupBy("shard").applyInPandas(search, "content long, first int, last int")
     if not crowded.isEmpty():
-        hits = hits.union(_single_windows(different.join(crowded, "minimizer", "left_semi"), shards, search, d))
+        hits = hits.union(_single_windows(different.join(crowded, "minimizer", "left_semi"), search, d))
     hits = written(hits, "dedup-hits")
     at = found.select("content", "text_key", "place").join(hits, "content")
     return at.select("text_key", (F.col("place") + F.col("first")).alias("first"), (F.col("place") + F.col("last")).alias("last"))
 
 
-def _single_windows(different: DataFrame, shards: int, search, d: Dedup) -> DataFrame:
+def _single_windows(different: DataFrame, search, d: Dedup) -> DataFrame:
     """The same for runs of crowded minimizers: their windows are dealt to the shards one by one, equal ones summed."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for content, copies, raw in zip(batch["content"], batch["copies"], batch["words"]):
-                w = np.frombuffer(raw, dtype=U)
-                keys = window_hashes(w, d.window).view(np.int64)
-                for a, key in enumerate(keys.tolist()):
-                    rows.append((content, a, key, copies, w[a : a + d.window].tobytes()))
-            yield pd.DataFrame(rows, columns=["run", "first", "content", "copies", "words"])
+            for at in range(0, len(batch), d.runs):
+                some = batch.iloc[at : at + d.runs]
+                rows = []
+                for content, copies, raw in zip(some["content"], some["copies"], some["words"]):
+                    w = np.frombuffer(raw, dtype=U)
+                    keys = window_hashes(w, d.window).view(np.int64)
+                    for a, key in enumerate(keys.tolist()):
+                        rows.append((content, a, key, copies, w[a : a + d.window].tobytes()))
+                yield pd.DataFrame(rows, columns=["run", "first", "content", "copies", "words"])
 
     windows = different.mapInPandas(cut, "run long, first int, content long, copies long, words binary")
     windows = written(windows, "dedup-windows")
+    # a run is up to 26 windows of 35 words: the shards follow these words, not those of the runs
+    kinds = windows.agg(F.approx_count_distinct("content")).first()[0]
+    shards = max(1, -(-int(kinds) * d.window // d.shard))
     once = windows.groupBy("content").agg(F.sum("copies").alias("copies"), F.first("words").alias("words"))
     once = once.withColumn("shard", F.pmod(F.xxhash64("content"), F.lit(shards)))
     hits = once.groupBy("shard").applyInPandas(search, "content long, first int, last int").select("content")
