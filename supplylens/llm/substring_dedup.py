@@ -245,7 +245,9 @@ def removed(docs: DataFrame, d: Dedup = Dedup(), carry: Sequence[str] = ()) -> D
     chars = base.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shared = shared_runs(base, max(1, int(chars) // 80 // d.part), d)
     found = written(run_words(base, shared, d), "dedup-found")
-    spans = repeats(found, d).groupBy("text_key").agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
+    # both ends in one number, as an array of numbers reaches the task without an object for each interval
+    span = F.shiftleft(F.col("first").cast("long"), 32) + F.col("last")
+    spans = repeats(found, d).groupBy("text_key").agg(F.collect_set(span).alias("_spans"))
     copies = base.groupBy(F.xxhash64("text").alias("text_key"), F.md5("text").alias("m")).count().where("count > 1")
     copies = copies.groupBy("text_key").agg(F.collect_list("m").alias("_copies"))
     # what is known of a text comes together first, so that the texts are shuffled once
@@ -263,8 +265,8 @@ def removed(docs: DataFrame, d: Dedup = Dedup(), carry: Sequence[str] = ()) -> D
             if twice is True and len(words) >= d.window:
                 gone[:] = True
             elif own is not None:
-                for s in own:
-                    gone[s["first"] : s["last"] + 1] = True
+                for first, last in zip((own >> 32).tolist(), (own & 0xFFFFFFFF).tolist()):
+                    gone[first : last + 1] = True
             kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode("utf-8", "surrogatepass")
             rows.append((len(words), int(gone.sum()), kept))
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
