@@ -102,6 +102,39 @@ def test_labelled_metrics(spark):
     assert "fill_rate" not in got and "cost_of_disruption" not in got
 
 
+LABELLED = {
+    "revenue_aug": ["AUGUST total: 7", "aug revenue $7"],
+    "revenue_jul": ["July revenue: 7", "JUL saw a total 7"],
+    "revenue_change_pct": ["Change: 7%", "DECLINE -7 %", "drop 7%", "decrease: 7%"],
+    "revenue_change_dollars": ["change: $7", "decline 7", "DROP: 7", "Decrease $7"],
+    "otd_rate": ["On-Time rate 7%", "on time delivery rate: 7 %"],
+    "late_delivery_rate": ["LATE delivery rate 7%", "latedeliveryrate:7%"],
+    "avg_delay_days": ["Average DELAY: 7 days", "avg delay 7 day"],
+    "total_shipments": ["Total SHIPMENTS: 7"],
+    "late_shipments": ["LATE shipments 7"],
+    "wasted_freight": ["WASTED freight: $7"],
+    "positions_below_ss": ["Position below SAFETY stock: 7"],
+    "stockout_skus": ["unique SKUs in STOCKOUT 7", "SKU stockout: 7"],
+    "days_of_supply": ["Avg day of SUPPLY: 7", "average days of supply 7"],
+    "total_pos": ["TOTAL POs: 7", "total purchase orders 7"],
+    "late_pos": ["LATE PO: 7", "late purchase orders 7"],
+    "po_late_pct": ["PO share LATE 7%", "vendor was late by 7 %"],
+    "asia_late_rate": ["ASIA came late, 7%"],
+    "fill_rate": ["FILL rate: 7%"],
+    "sla_penalties": ["SLA penalty: $7", "sla PENALTIES 7"],
+    "cost_of_disruption": ["COST OF DISRUPTION: $7"],
+    "q3_target": ["q3 service-level target 7%", "Q3 TARGET: 7 %"],
+}
+
+
+def test_every_wording_of_a_label_is_found(spark):
+    said = [(f"{name}/{i}", name, text) for name, texts in LABELLED.items() for i, text in enumerate(texts)]
+    found = O.labelled_metrics(spark.createDataFrame(said, "id string, name string, text string"), ["id", "name"], "text")
+    got = {r["id"] for r in found.where("metric = name and abs(value) = 7").collect()}
+    assert set(LABELLED) == set(X.METRIC_LABELS)
+    assert got == {i for i, _, _ in said}
+
+
 def test_sections_keep_the_last_body_of_a_repeated_title(spark):
     text = "intro\n## Alpha\none\n1. **Beta**\ntwo\n## Alpha\nthree \n#### not a heading"
     got = {r["section"]: r["body"] for r in O.sections(one(spark, text), ["id"], "text").collect()}
