@@ -21,11 +21,25 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to a new shared folder and read back: cuts lineage and survives lost executors."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
+    """``df`` written once to a new shared folder and read back: cuts lineage and survives lost executors.
+
+    ``batch`` bounds the rows of an Arrow batch while it is written, for rows of whole texts; the session's own bound,
+    if it has a smaller one, holds, and is back afterwards.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    before = spark.conf.get(_BATCH)
+    if batch and not 0 < int(before) <= batch:
+        spark.conf.set(_BATCH, str(batch))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -44,6 +44,8 @@ class Join:
     part: int = 1_000_000
     #: bytes of text that a task takes at once
     slice: int = 2_000_000
+    #: texts that reach a task in one Arrow batch
+    batch: int = 1_000
     #: a key with more members gives no counted pairs
     crowd: int = 16
     #: sets of a hot group that are compared in one task with as many others
@@ -378,9 +380,9 @@ def linked(docs: DataFrame, j: Join = Join()) -> DataFrame:
     smallest unless the component has no other. Repeated rows have the same set and are in one component. An empty
     table gives an empty table. Other columns are not carried.
     """
-    own = written(members(docs, j), "join-members")
+    own = written(members(docs, j), "join-members", j.batch)
     total = own.agg(F.sum("n_shingles")).first()[0] or 0
-    met = written(meetings(docs, max(1, -(-int(total) // j.part)), j), "join-meetings")
+    met = written(meetings(docs, max(1, -(-int(total) // j.part)), j), "join-meetings", j.batch)
     # one text per set, the one of the smallest hash
     chosen = own.where("set_id >= 0").groupBy("set_id").agg(
         F.min("text_key").alias("text_key"), F.first("need").alias("need"), F.count("*").alias("copies")
@@ -408,7 +410,7 @@ def linked(docs: DataFrame, j: Join = Join()) -> DataFrame:
     shared = shared.join(least("a"), "a").join(least("b"), "b")
     apart = F.coalesce(F.col("hot_a") != F.col("hot_b"), F.lit(True))  # pairs of one hot group meet in its blocks
     pairs = shared.where(apart & (F.col("n") >= F.greatest("need_a", "need_b", F.lit(1)))).select("a", "b")
-    links = written(verified(pairs, docs, chosen, j), "join-links")
+    links = written(verified(pairs, docs, chosen, j), "join-links", j.batch)
     edges, counts = links, []
     for this, that in (("a", "b"), ("b", "a")):
         copies = sets.select(F.col("set_id").alias(that), "copies")

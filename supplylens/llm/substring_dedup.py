@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import span_hashes, text_slices, utf8, window_hashes, word_hashes, words_of, written
+from supplylens.llm.common import span_hashes, text_slices, utf8, window_hashes, word_hashes, written
 from supplylens.llm.fm_index import FMIndex
 
 U = np.uint64
@@ -34,6 +34,8 @@ class Dedup:
     shard: int = 600_000
     #: bytes of text that a task takes at once
     slice: int = 2_000_000
+    #: texts that reach a task in one Arrow batch
+    batch: int = 1_000
     #: runs of crowded minimizers that a task cuts into single windows at once
     runs: int = 1_000
     #: different runs of one minimizer above which it is cut into single windows, dealt by their own hash
@@ -244,7 +246,7 @@ def removed(docs: DataFrame, d: Dedup = Dedup(), carry: Sequence[str] = ()) -> D
     # runs per text, from its characters: six a word and 13 windows a run
     chars = base.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shared = shared_runs(base, max(1, int(chars) // 80 // d.part), d)
-    found = written(run_words(base, shared, d), "dedup-found")
+    found = written(run_words(base, shared, d), "dedup-found", d.batch)
     # both ends in one number, as an array of numbers reaches the task without an object for each interval
     span = F.shiftleft(F.col("first").cast("long"), 32) + F.col("last")
     spans = repeats(found, d).groupBy("text_key").agg(F.collect_set(span).alias("_spans"))
@@ -256,20 +258,25 @@ def removed(docs: DataFrame, d: Dedup = Dedup(), carry: Sequence[str] = ()) -> D
     keyed = rows.join(known, F.col("_k") == F.col("text_key"), "left")
     keyed = keyed.withColumn("_copy", F.coalesce(F.array_contains("_copies", F.md5("text")), F.lit(False)))
 
-    @F.pandas_udf("n_words long, n_removed long, kept string")
-    def strip(texts: pd.Series, spans: pd.Series, copy: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, own, twice in zip(texts, spans, copy):
-            words = words_of(text)
-            gone = np.zeros(len(words), dtype=bool)
-            if twice is True and len(words) >= d.window:
-                gone[:] = True
-            elif own is not None:
-                for first, last in zip((own >> 32).tolist(), (own & 0xFFFFFFFF).tolist()):
-                    gone[first : last + 1] = True
-            kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode("utf-8", "surrogatepass")
-            rows.append((len(words), int(gone.sum()), kept))
-        return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
+    @F.arrow_udf("n_words long, n_removed long, kept string")
+    def strip(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        whole = (pa.RecordBatch.from_arrays(list(b), ["text", "spans", "copy"]) for b in batches)
+        for rows in text_slices(whole, d.slice):
+            size, less, kept = [], [], []
+            for raw, own, twice in zip(utf8(rows.column("text")), rows.column("spans"), rows.column("copy").to_pylist()):
+                words = (raw or b"").split()
+                gone = np.zeros(len(words), dtype=bool)
+                if twice and len(words) >= d.window:
+                    gone[:] = True
+                elif own.is_valid:
+                    own = own.values.to_numpy()
+                    for first, last in zip((own >> 32).tolist(), (own & 0xFFFFFFFF).tolist()):
+                        gone[first : last + 1] = True
+                size.append(len(words))
+                less.append(int(gone.sum()))
+                kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g))
+            columns = [pa.array(size, pa.int64()), pa.array(less, pa.int64()), pa.array(kept, pa.binary()).view(pa.string())]
+            yield pa.StructArray.from_arrays(columns, ["n_words", "n_removed", "kept"])
 
     out = keyed.withColumn("_r", strip("text", "_spans", "_copy"))
     return out.select("doc_id", "text", *[F.col(c) for c in carry], "_r.n_words", "_r.n_removed", "_r.kept")
