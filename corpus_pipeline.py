@@ -12,16 +12,16 @@ from supplylens.llm.common import read, written
 LEAST_LANGUAGE_SCORE = 0.4
 
 
-def whole_row(docs: DataFrame) -> Column:
-    """All columns of a row in one, so that none can clash with those of a stage."""
-    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+def whole_row(docs: DataFrame, but: str = "") -> Column:
+    """All columns of a row in one, so that none can clash with those of a stage; without the column ``but``."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != but]).alias("_row")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages. Null, empty and letterless texts go, and unsure ones."""
-    found = language_id.identified(docs.select("text", "lang", whole_row(docs)), F.lit(True))
+    found = language_id.identified(docs.select("text", "lang", whole_row(docs, but="text")), F.lit(True))
     sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(sure).select("_row.*")
+    return found.where(sure).select(*["text" if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document that loses nothing keeps its text as it is. n_chars follows the text.
     """
-    found = substring_dedup.removed(docs.select("doc_id", "text", whole_row(docs)), carry=["_row"])
+    found = substring_dedup.removed(docs.select("doc_id", "text", whole_row(docs, but="text")), carry=["_row"])
     left = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     new = {"text": text, "n_chars": F.char_length(text).cast("long")}
