@@ -42,6 +42,15 @@ def written(df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, batch: int) -> None:
+    """From now on an Arrow batch of this session has ``batch`` rows at most, for frames handed out with whole texts in them.
+
+    The bound is read when a frame is planned, which is after the operator has returned, so it stays; a smaller one holds.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= batch:
+        spark.conf.set(_BATCH, str(batch))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, everything else unchanged."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from supplylens.llm.common import bounded_batches
+
 #: Verdict on texts without letters.
 UNDETERMINED = "und"
 
@@ -33,6 +35,8 @@ class Settings:
     widths: tuple[int, ...] = (2, 3, 4)
     steps: int = 1200
     batch: int = 64
+    #: texts that reach a task in one Arrow batch
+    rows: int = 1_000
     rate: float = 0.004
     seed: int = 11
 
@@ -219,6 +223,7 @@ def identified(docs: DataFrame, usable: Column, s: Settings = Settings()) -> Dat
                 score.append(got[1])
             yield pd.DataFrame({"lang_pred": names, "score": np.concatenate(score) if score else np.zeros(0)})
 
+    bounded_batches(docs.sparkSession, s.rows)
     return kept.withColumn("_p", predict(F.col("text"))).select(
         *[F.col(f"`{f.name}`") for f in fields], F.col("_p.lang_pred"), F.col("_p.score")
     )

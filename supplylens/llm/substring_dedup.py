@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplylens.llm.common import span_hashes, text_slices, utf8, window_hashes, word_hashes, written
+from supplylens.llm.common import bounded_batches, span_hashes, text_slices, utf8, window_hashes, word_hashes, written
 from supplylens.llm.fm_index import FMIndex
 
 U = np.uint64
@@ -278,5 +278,6 @@ def removed(docs: DataFrame, d: Dedup = Dedup(), carry: Sequence[str] = ()) -> D
             columns = [pa.array(size, pa.int64()), pa.array(less, pa.int64()), pa.array(kept, pa.binary()).view(pa.string())]
             yield pa.StructArray.from_arrays(columns, ["n_words", "n_removed", "kept"])
 
+    bounded_batches(docs.sparkSession, d.batch)
     out = keyed.withColumn("_r", strip("text", "_spans", "_copy"))
     return out.select("doc_id", "text", *[F.col(c) for c in carry], "_r.n_words", "_r.n_removed", "_r.kept")
