@@ -114,7 +114,7 @@ def _(t):
     CASE WHEN {LAST.format(DAY)} THEN 'Last_Month' WHEN {PRIOR.format(DAY)} THEN 'Prior_Month'
          ELSE 'Older' END AS period FROM sales GROUP BY order_date, region, product_family"""))
 def _(t):
-    return R.revenue_trend(t.sales_orders(product=True), t.anchor)
+    return R.revenue_trend(t.sales_orders(product=True), t.anchor, t.line_parts())
 
 
 def scorecard(t):

@@ -23,6 +23,8 @@ from supplylens.operators.windows import latest_per_key, with_previous_month
 ANCHOR = date(2000, 1, 1)
 PLANNED_LEAD_DAYS = 30
 CURRENCY_SLA_RATE = 1000.0
+#: Lines that a task groups on average. Keys of lines hardly repeat, so its memory follows its rows, not its groups.
+LINES_PER_TASK = 250_000
 
 
 @dataclass(frozen=True)
@@ -38,6 +40,10 @@ class SupplyTables:
             self._read[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._read[name]
 
+    def line_parts(self) -> int:
+        """Into how many parts lines are dealt before they are grouped; the count comes from the footers."""
+        return max(1, -(-self.table("lineitem").count() // LINES_PER_TASK))
+
     # dimensions -------------------------------------------------------------
 
     def nations(self) -> DataFrame:

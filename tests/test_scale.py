@@ -129,3 +129,13 @@ def test_staged_facts_give_the_same_answers_and_prune_days(spark, small):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
     text = plan(Q.revenue_by_region_mom(staged.sales_orders(), staged.anchor))
     assert "Join" not in text and "PartitionFilters: [isnotnull(order_date" in text
+
+
+@pytest.mark.parametrize("name", ["revenue_trend"])
+def test_lines_are_dealt_by_their_number_before_they_are_grouped(spark, small, monkeypatch, name):
+    monkeypatch.setattr("supplylens.sources.domain.LINES_PER_TASK", 500)
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    text = plan(registry.queries()[name](spark, small))
+    assert text.count("REPARTITION_BY_NUM") == 1
+    above, below = text.split(", REPARTITION_BY_NUM")
+    assert above.endswith(f", {-(-lines // 500)})") and "HashAggregate" in above and "HashAggregate" not in below
