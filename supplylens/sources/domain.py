@@ -273,11 +273,15 @@ class SupplyTables:
         return derive.sla_evaluation(measured, shortfall)
 
     def inventory_ledger(self, product: bool = False) -> DataFrame:
-        """One row per warehouse x SKU; the lines collapse before dimensions join."""
+        """One row per warehouse x SKU; the lines collapse before dimensions join.
+
+        They are dealt by position first: grouping them where they are read would hold a split's positions in one task.
+        """
         inbound = F.col("l_linestatus") == "F"
         quantity = F.col("l_quantity").cast("bigint")
         positions = (
             self.table("lineitem")
+            .repartition(self.line_parts(), "l_suppkey", "l_partkey")
             .groupBy(F.col("l_suppkey").alias("warehouse_id"), F.col("l_partkey").alias("sku_id"))
             .agg(
                 F.greatest(F.lit(0), F.sum(F.when(inbound, quantity).otherwise(-quantity))).alias("on_hand_qty"),

@@ -131,7 +131,7 @@ def test_staged_facts_give_the_same_answers_and_prune_days(spark, small):
     assert "Join" not in text and "PartitionFilters: [isnotnull(order_date" in text
 
 
-@pytest.mark.parametrize("name", ["revenue_trend"])
+@pytest.mark.parametrize("name", ["revenue_trend", "stockouts_by_region", "inventory_positions"])
 def test_lines_are_dealt_by_their_number_before_they_are_grouped(spark, small, monkeypatch, name):
     monkeypatch.setattr("supplylens.sources.domain.LINES_PER_TASK", 500)
     lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
